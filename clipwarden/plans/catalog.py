@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from clipwarden.plans import scalar_queries  # noqa: F401
+from clipwarden.plans import rule_queries, scalar_queries  # noqa: F401
 from clipwarden.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
