@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,7 +28,7 @@ def fixed_text(value: Column, digits: int) -> Column:
     k = _scaled_round(F.abs(value), digits)
     unit = F.lit(10**digits).cast("bigint")
     body = F.concat(
-        F.floor(k.cast("decimal(20,0)") / unit).cast("string"),
+        ((k - k % unit) / unit).cast("bigint").cast("string"),
         F.lit("."),
         F.lpad((k % unit).cast("string"), digits, "0"),
     )
@@ -40,6 +40,40 @@ def percent_text(value: Column, digits: int = 2) -> Column:
     return F.concat(fixed_text(value * F.lit(100.0), digits), F.lit("%"))
 
 
+def with_fixed_text(df: DataFrame, columns: dict[str, tuple[Column, int]]) -> DataFrame:
+    """Add several fixed-point texts, given as name -> (value, decimals).
+
+    The steps are separate projections: one large expression would exceed the size up to which
+    the JVM compiles a generated method.
+    """
+    kept = df.columns
+    first, second, third, last = {}, {}, {}, {}
+    for name, (value, digits) in columns.items():
+        scale = F.lit(float(10**digits))
+        unit = F.lit(10**digits).cast("bigint")
+        v, p, w, h, k = (F.col(f"_{x}_{name}") for x in "vpwhk")
+        first[f"_v_{name}"] = F.abs(value)
+        second[f"_p_{name}"] = v * scale
+        second[f"_h_{name}"] = v * F.lit(134217729.0) - (v * F.lit(134217729.0) - v)
+        third[f"_w_{name}"] = F.floor(p)
+        err = (h * scale - p) + (v - h) * scale
+        tie = (p - w == 0.5) & ((err > 0) | ((err == 0) & (w % 2 != 0)))
+        last[f"_k_{name}"] = w + F.when((p - w > 0.5) | tie, 1).otherwise(0)
+    for step in (first, second, third, last):
+        df = df.withColumns(step)
+    texts = {}
+    for name, (value, digits) in columns.items():
+        unit = F.lit(10**digits).cast("bigint")
+        k = F.col(f"_k_{name}")
+        texts[name] = F.concat(
+            F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
+            ((k - k % unit) / unit).cast("bigint").cast("string"),
+            F.lit("."),
+            F.lpad((k % unit).cast("string"), digits, "0"),
+        )
+    return df.withColumns(texts).select(*kept, *columns)
+
+
 def round_even(value: Column) -> Column:
     """Nearest integer, ties to even, as bigint."""
     return F.bround(value, 0).cast("bigint")

@@ -42,19 +42,13 @@ def perceptual_dedup(
     Clips with a missing hash are kept and make the next clip a fresh reference. Adds `decision`
     (`kept` or `removed`), `distance` and `reference_clip`.
     """
-    out_cols = [*clips.columns, "decision", "distance", "reference_clip"]
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in clips.schema]
-        + ["decision string", "distance double", "reference_clip string"]
-    )
-
     def step(state, rows: pd.DataFrame):
         known = rows[HASHES].notna().all(axis=1).to_numpy()
         packed = rows[HASHES].fillna(0).astype("int64").to_numpy()
         ids = rows["clip_id"].to_numpy()
         n = len(rows)
         decision = np.full(n, "kept", dtype=object)
-        distance = np.full(n, np.nan)
+        distance = np.full(n, None, dtype=object)
         reference = np.full(n, None, dtype=object)
         i = 0
         while i < n:
@@ -87,10 +81,12 @@ def perceptual_dedup(
                     break
                 decision[i:end] = "removed"
                 i, width = end, min(width * 4, 65536)
-        out = rows.assign(decision=decision, distance=distance, reference_clip=reference)
-        return state, out[out_cols]
+        return state, {"decision": decision, "distance": distance, "reference_clip": reference}
 
-    return carry_fold(clips, [source], [start, *tiebreak], step, schema, partitions=partitions)
+    outputs = {"decision": "string", "distance": "double", "reference_clip": "string"}
+    return carry_fold(
+        clips, [source], [start, *tiebreak], ["clip_id", *HASHES], step, outputs, partitions=partitions
+    )
 
 
 def blank_removed_captions(decided: DataFrame, keep: bool = False) -> DataFrame:
@@ -184,11 +180,6 @@ def thin_overlaps(
     partitions: int | None = None,
 ) -> DataFrame:
     """Greedy thinning: keep the first start of a key, then each start `window` after the last kept."""
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + ["kept boolean"]
-    )
-    cols = [*df.columns, "kept"]
-
     def step(state, rows: pd.DataFrame):
         at = rows[start].to_numpy(dtype="float64")
         kept = np.zeros(len(at), dtype=bool)
@@ -197,9 +188,9 @@ def thin_overlaps(
             kept[i] = True
             state = float(at[i])
             i = max(i + 1, int(np.searchsorted(at - state, window, side="left")))
-        return state, rows.assign(kept=kept)[cols]
+        return state, {"kept": kept}
 
-    return carry_fold(df, [key], [start, *tiebreak], step, schema, partitions=partitions)
+    return carry_fold(df, [key], [start, *tiebreak], [start], step, {"kept": "boolean"}, partitions=partitions)
 
 
 def altered_copies(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwarden.functions import paths, scores, text
-from clipwarden.functions.numbers import fixed_text, percent_text
+from clipwarden.functions.numbers import with_fixed_text
 from clipwarden.spec import GradeThresholds, TargetSpec
 
 
@@ -27,36 +27,65 @@ def score_clips(df: DataFrame, spec: TargetSpec = TargetSpec()) -> DataFrame:
     )
 
 
-def grade_columns(limits: GradeThresholds = GradeThresholds()) -> tuple[Column, Column]:
-    """The (grade, reason) columns over a scored clip row."""
+def grade_column(limits: GradeThresholds = GradeThresholds()) -> Column:
+    """The grade over a scored clip row."""
     c = F.col
     clipping = c("black_pixel_ratio") + c("white_pixel_ratio")
-    dup, lapse = c("duplicate_frame_ratio"), c("timelapse_score")
-    conf, mean, cuts = c("conformance_score"), c("temporal_diff_mean"), c("scene_cut_count")
-    rules = [
-        (cuts > limits.scene_cut_max, F.concat(F.lit("scene_cuts="), cuts.cast("string"))),
-        (dup > limits.dup_ratio, F.concat(F.lit("duplicates="), percent_text(dup))),
-        (lapse > limits.timelapse_score, F.concat(F.lit("timelapse="), fixed_text(lapse, 2))),
-        (mean < 0.005, F.concat(F.lit("static_mean_delta="), fixed_text(mean, 4))),
-        (clipping > limits.clipping_ratio, F.concat(F.lit("clipping="), percent_text(clipping))),
-        (conf < limits.min_conformance, F.concat(F.lit("conformance="), fixed_text(conf, 3))),
-    ]
     failed = F.lit(False)
-    for hit, _ in rules:
+    for hit in _fail_rules(limits).values():
         failed = failed | F.coalesce(hit, F.lit(False))
-    strong = (conf >= 0.90) & (dup < 0.03) & (lapse < 0.3) & (clipping < 0.08)
-    grade = F.when(failed, "FAIL").when(strong, "PASS").otherwise("REVIEW")
-    reason = (
-        F.when(failed, F.concat_ws("; ", *[F.when(hit, msg) for hit, msg in rules]))
-        .when(strong, "passed all checks")
-        .otherwise("minor flags")
+    strong = (
+        (c("conformance_score") >= 0.90)
+        & (c("duplicate_frame_ratio") < 0.03)
+        & (c("timelapse_score") < 0.3)
+        & (clipping < 0.08)
     )
-    return grade, reason
+    return F.when(failed, "FAIL").when(strong, "PASS").otherwise("REVIEW")
+
+
+def _fail_rules(limits: GradeThresholds) -> dict[str, Column]:
+    """Conditions that fail a clip, in reporting order."""
+    c = F.col
+    return {
+        "scene_cuts": c("scene_cut_count") > limits.scene_cut_max,
+        "duplicates": c("duplicate_frame_ratio") > limits.dup_ratio,
+        "timelapse": c("timelapse_score") > limits.timelapse_score,
+        "static_mean_delta": c("temporal_diff_mean") < 0.005,
+        "clipping": c("black_pixel_ratio") + c("white_pixel_ratio") > limits.clipping_ratio,
+        "conformance": c("conformance_score") < limits.min_conformance,
+    }
 
 
 def grade_clips(df: DataFrame, limits: GradeThresholds = GradeThresholds()) -> DataFrame:
-    grade, reason = grade_columns(limits)
-    return df.withColumns({"grade": grade, "reason": reason})
+    """Add `grade` and `reason`; a fail reason lists all broken rules with their values."""
+    c = F.col
+    percent = F.lit(100.0)
+    graded = df.withColumn("grade", grade_column(limits))
+    texts = with_fixed_text(
+        graded,
+        {
+            "_duplicates": (c("duplicate_frame_ratio") * percent, 2),
+            "_timelapse": (c("timelapse_score"), 2),
+            "_static_mean_delta": (c("temporal_diff_mean"), 4),
+            "_clipping": ((c("black_pixel_ratio") + c("white_pixel_ratio")) * percent, 2),
+            "_conformance": (c("conformance_score"), 3),
+        },
+    )
+    shown = {
+        "scene_cuts": c("scene_cut_count").cast("string"),
+        "duplicates": F.concat(c("_duplicates"), F.lit("%")),
+        "timelapse": c("_timelapse"),
+        "static_mean_delta": c("_static_mean_delta"),
+        "clipping": F.concat(c("_clipping"), F.lit("%")),
+        "conformance": c("_conformance"),
+    }
+    flags = [F.when(hit, F.concat(F.lit(f"{k}="), shown[k])) for k, hit in _fail_rules(limits).items()]
+    reason = (
+        F.when(c("grade") == "FAIL", F.concat_ws("; ", *flags))
+        .when(c("grade") == "PASS", "passed all checks")
+        .otherwise("minor flags")
+    )
+    return texts.withColumn("reason", reason).select(*df.columns, "grade", "reason")
 
 
 def grade_dataset(summary: DataFrame) -> DataFrame:

@@ -14,10 +14,6 @@ from clipwarden.functions.scores import per_second
 from clipwarden.operators.ordered import carry_fold, rank_within
 
 
-def _schema_with(df: DataFrame, extra: str) -> str:
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [extra])
-
-
 def ema_values(values: np.ndarray, decay: float, before: float | None) -> np.ndarray:
     """Exponential moving average of `values`, going on from `before` or seeded by the first value."""
     out = np.empty(len(values))
@@ -42,22 +38,20 @@ def ema(
     The state of a block is an affine map of the state before it, so blocks of one long run are
     composed instead of replayed.
     """
-    cols = [*df.columns, name]
-
     def step(state, rows: pd.DataFrame):
         values = rows[value].to_numpy(dtype="float64")
         # state: (ema so far, decay^n, ema of the rows when started from zero)
         last, scale, offset = state if state is not None else (None, 1.0, 0.0)
         out = ema_values(values, decay, last)
         tail = ema_values(values, decay, offset)
-        return (float(out[-1]), scale * decay ** len(values), float(tail[-1])), rows.assign(**{name: out})[cols]
+        return (float(out[-1]), scale * decay ** len(values), float(tail[-1])), {name: out}
 
     def merge(before, tail):
         joined = tail[1] * before[0] + tail[2]
         return (joined, before[1] * tail[1], tail[1] * before[2] + tail[2])
 
     return carry_fold(
-        df, keys, order, step, _schema_with(df, f"`{name}` double"), merge=merge, partitions=partitions
+        df, keys, order, [value], step, {name: "double"}, merge=merge, partitions=partitions
     )
 
 
@@ -90,19 +84,15 @@ def early_stop(
     partitions: int | None = None,
 ) -> DataFrame:
     """Early-stop trace per run: `status`, best loss, best step and misses after each row."""
-    extra = "status string, best_loss double, best_step bigint, misses int"
-    cols = [*df.columns, "status", "best_loss", "best_step", "misses"]
+    outputs = {"status": "string", "best_loss": "double", "best_step": "bigint", "misses": "int"}
 
     def advance(state, rows: pd.DataFrame):
         state, flags = early_stop_scan(
             state, rows[step_col].tolist(), rows[loss].tolist(), warmup, min_delta, patience
         )
-        marked = pd.DataFrame(flags, columns=cols[-4:], index=rows.index)
-        marked["best_step"] = marked["best_step"].astype("Int64")
-        marked["best_loss"] = marked["best_loss"].astype("float64")
-        return state, pd.concat([rows, marked], axis=1)[cols]
+        return state, dict(zip(outputs, zip(*flags)))
 
-    return carry_fold(df, keys, [step_col], advance, _schema_with(df, extra), partitions=partitions)
+    return carry_fold(df, keys, [step_col], [step_col, loss], advance, outputs, partitions=partitions)
 
 
 def early_stop_result(trace: DataFrame, keys: list[str], step_col: str) -> DataFrame:

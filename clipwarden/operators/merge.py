@@ -80,8 +80,9 @@ def unique_ids(
             counted.filter("_child is not null").select("_fam", "_child", "_k", "_c"),
             ["_fam"],
             ["_k"],
+            ["_k", "_c"],
             _judge,
-            "_fam string, _child string, _at bigint, _taken boolean",
+            {"_at": "bigint", "_taken": "boolean"},
             partitions=partitions,
         )
         judged = cut_lineage(judged)
@@ -118,9 +119,7 @@ def _judge(state, rows: pd.DataFrame):
         at.append(nth)
         taken.append(took)
         held += 0 if took else 1
-    return held, pd.DataFrame(
-        {"_fam": rows["_fam"].to_numpy(), "_child": rows["_child"].to_numpy(), "_at": at, "_taken": taken}
-    )
+    return held, {"_at": at, "_taken": taken}
 
 
 def _suffix_simple(df, ids, column, order, name, partitions):

@@ -11,9 +11,12 @@ import pickle
 from collections.abc import Callable, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipwarden.session import cut_lineage
 
@@ -183,11 +186,21 @@ def exact_quantiles(
 
 # --- folds whose next state depends on every earlier row of the key --------
 
-Step = Callable[[Any, pd.DataFrame], "tuple[Any, pd.DataFrame | None]"]
+Step = Callable[[Any, pd.DataFrame], "tuple[Any, dict[str, Any]]"]
 
+ARROW_TYPES = {
+    "string": pa.string(),
+    "double": pa.float64(),
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "boolean": pa.bool_(),
+}
 
-def _key_runs(pdf: pd.DataFrame, keys: list[str]):
-    """Consecutive rows of one key, in order."""
+
+def _key_runs(batch: pa.RecordBatch, keys: list[str], inputs: list[str]):
+    """(key, first row, rows) of consecutive rows of one key; whole numbers stay exact."""
+    names = list(dict.fromkeys([*keys, *inputs, BLOCK]))
+    pdf = pa.Table.from_batches([batch]).select(names).to_pandas(integer_object_nulls=True)
     if pdf.empty:
         return
     changed = pd.Series(False, index=pdf.index)
@@ -195,38 +208,39 @@ def _key_runs(pdf: pd.DataFrame, keys: list[str]):
         prev = pdf[k].shift()
         changed |= (pdf[k] != prev) & ~(pdf[k].isna() & prev.isna())
     changed.iloc[0] = True
-    starts = [i for i, c in enumerate(changed.to_numpy()) if c] + [len(pdf)]
+    starts = [*np.flatnonzero(changed.to_numpy()).tolist(), len(pdf)]
     for lo, hi in zip(starts, starts[1:]):
         part = pdf.iloc[lo:hi]
-        key = tuple(None if pd.isna(v) else v for v in part.iloc[0][keys])
-        yield key, part
+        yield tuple(None if pd.isna(part[k].iloc[0]) else part[k].iloc[0] for k in keys), part
 
 
 def carry_fold(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
+    inputs: Sequence[str],
     step: Step,
-    schema: str,
+    outputs: dict[str, str],
     merge: Callable[[Any, Any], Any] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Ordered fold per key, split over blocks.
-
-    `step(state, rows)` consumes consecutive rows of one key and returns the new state and the
-    output rows; the state is `None` at the start of a key. Only blocks that lie wholly inside one
-    key make their successor depend on them; those are run again until the states at the block
-    borders stop changing, which is exact. With `merge(before, tail)` such a block is composed
-    instead, `tail` being its state when started from `None`.
+    """Ordered fold per key, split over blocks; adds the `outputs` columns to each row.
+
+    `step(state, rows)` consumes consecutive rows of one key (only the `inputs` columns) and returns
+    the new state and one value per row for each output; the state is `None` at the start of a key.
+    Only blocks that lie wholly inside one key make their successor depend on them; those are run
+    again until the states at the block borders stop changing, which is exact. With
+    `merge(before, tail)` such a block is composed instead, `tail` being its state when started
+    from `None`. All other columns pass through as Arrow data.
     """
-    keys = list(keys)
+    keys, inputs = list(keys), list(inputs)
     laid = layout(df, [*keys, *order], partitions)
 
     def border_states(entering: dict[int, Any]):
         def run(batches):
             block = first = last = state = None
-            for pdf in batches:
-                for key, rows in _key_runs(pdf, keys):
+            for batch in batches:
+                for key, rows in _key_runs(batch, keys, inputs):
                     if block is None:
                         block, first = int(rows[BLOCK].iloc[0]), key
                         state = entering.get(block)
@@ -235,20 +249,25 @@ def carry_fold(
                     last = key
                     state, _ = step(state, rows)
             if block is not None:
-                yield pd.DataFrame({"block": [block], "body": [pickle.dumps((first, last, state))]})
+                body = pickle.dumps((first, last, state))
+                yield pa.RecordBatch.from_pydict(
+                    {"block": pa.array([block], pa.int32()), "body": pa.array([body], pa.binary())}
+                )
 
         return run
 
+    needed = list(dict.fromkeys([*keys, *inputs, BLOCK]))
+
     def measure(blocks: list[int] | None, entering: dict[int, Any]) -> dict[int, tuple]:
         part = laid if blocks is None else laid.filter(F.col(BLOCK).isin(blocks))
-        found = part.mapInPandas(border_states(entering), "block int, body binary").collect()
-        return {r["block"]: pickle.loads(bytes(r["body"])) for r in found}
+        found = part.select(*needed).mapInArrow(border_states(entering), "block int, body binary")
+        return {r["block"]: pickle.loads(bytes(r["body"])) for r in found.collect()}
 
-    # the driver sees one state per block, never rows
-    tails = measure(None, {})
+    # the driver sees one state per block, never rows; a single block needs no states at all
+    tails = measure(None, {}) if laid.rdd.getNumPartitions() > 1 else {}
     blocks = sorted(tails)
     entering: dict[int, Any] = {}
-    while True:
+    while blocks:
         fresh: dict[int, Any] = {}
         for prev, here in zip(blocks, blocks[1:]):
             first_prev, last_prev, state = tails[prev]
@@ -257,10 +276,7 @@ def carry_fold(
                     state = merge(fresh[prev], state)
                 fresh[here] = state
         stale = [
-            b
-            for b in fresh
-            if tails[b][0] == tails[b][1]
-            and repr(fresh[b]) != repr(entering.get(b))
+            b for b in fresh if tails[b][0] == tails[b][1] and repr(fresh[b]) != repr(entering.get(b))
         ]
         entering = fresh
         if merge or not stale:
@@ -268,12 +284,14 @@ def carry_fold(
         tails.update(measure(stale, entering))
 
     final = dict(entering)
+    kept = df.columns
+    kinds = {name: ARROW_TYPES[kind] for name, kind in outputs.items()}
 
     def emit(batches):
         block = last = state = None
-        for pdf in batches:
-            outs = []
-            for key, rows in _key_runs(pdf, keys):
+        for batch in batches:
+            made: dict[str, list] = {name: [] for name in kinds}
+            for key, rows in _key_runs(batch, keys, inputs):
                 if block is None:
                     block = int(rows[BLOCK].iloc[0])
                     state = final.get(block)
@@ -281,9 +299,13 @@ def carry_fold(
                     state = None
                 last = key
                 state, out = step(state, rows)
-                if out is not None and len(out):
-                    outs.append(out)
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
-
-    return laid.mapInPandas(emit, schema)
+                for name, kind in kinds.items():
+                    made[name].append(pa.array(out[name], kind, from_pandas=False))
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            cols += [pa.concat_arrays(made[n]) if made[n] else pa.array([], k) for n, k in kinds.items()]
+            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *kinds])
+
+    schema = T.StructType(
+        [*df.schema.fields, *T._parse_datatype_string(", ".join(f"`{n}` {k}" for n, k in outputs.items())).fields]
+    )
+    return laid.mapInArrow(emit, schema)

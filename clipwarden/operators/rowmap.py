@@ -6,8 +6,11 @@ import time
 from collections.abc import Callable
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+ADDED = ["ok", "value", "error", "attempts"]
 
 
 def map_rows_with_retry(
@@ -20,11 +23,6 @@ def map_rows_with_retry(
 
     Adds `ok`, `value`, `error` and `attempts`. Retries wait `backoff_seconds * 2**attempt`.
     """
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
-        + ["ok boolean", "value string", "error string", "attempts int"]
-    )
-
     def one(row: dict[str, Any]):
         error = None
         for attempt in range(1, max_retries + 1):
@@ -37,9 +35,10 @@ def map_rows_with_retry(
         return False, None, error, max_retries
 
     def run(batches):
-        for pdf in batches:
-            done = [one(r) for r in pdf.to_dict("records")]
-            extra = pd.DataFrame(done, columns=["ok", "value", "error", "attempts"], index=pdf.index)
-            yield pd.concat([pdf, extra], axis=1)
+        for batch in batches:
+            done = list(zip(*(one(r) for r in batch.to_pylist()))) or [[], [], [], []]
+            made = [pa.array(list(v), k) for v, k in zip(done, (pa.bool_(), pa.string(), pa.string(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *ADDED])
 
-    return df.mapInPandas(run, schema)
+    fields = T._parse_datatype_string("ok boolean, value string, error string, attempts int").fields
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
