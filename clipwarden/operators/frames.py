@@ -400,16 +400,17 @@ def clip_hashes(hashes: DataFrame, indices: tuple[int, int, int] = (0, 60, 120))
 
 
 def array_dhash(gray: Column, cols: int, rows: int) -> Column:
-    """Difference hash of an already sized gray array of `(cols + 1) * rows` values, JVM only."""
-    width = cols + 1
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(cols * rows - 1)),
-        lambda i: (
-            F.get(gray, (F.floor(i / F.lit(cols)) * width + i % cols).cast("int"))
-            > F.get(gray, (F.floor(i / F.lit(cols)) * width + i % cols + 1).cast("int"))
-        ).cast("bigint"),
-    )
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
+    """Difference hash of an already sized gray array of `(cols + 1) * rows` values, JVM only.
+
+    `gray` should be a plain column: an expression would be evaluated again for every bit.
+    """
+    at = [r * (cols + 1) + i for r in range(rows) for i in range(cols)]
+
+    def fold(acc: Column, i: Column) -> Column:
+        bit = F.when(F.get(gray, i) > F.get(gray, i + 1), 1).otherwise(0)
+        return F.shiftleft(acc, 1).bitwiseOR(bit.cast("bigint"))
+
+    return F.aggregate(F.lit(at).cast("array<int>"), F.lit(0).cast("bigint"), fold)
 
 
 def gray_pixels(values: Column) -> Column:

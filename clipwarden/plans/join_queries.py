@@ -279,14 +279,15 @@ def w11(spark, d):
 
 def hashed_clips(spark, d):
     """Each embedding as a clip of its label, hashed three ways."""
-    v = b.frame_values()
-    return b.table(spark, d, "embeddings").select(
+    pixels = b.table(spark, d, "embeddings").withColumn("v", b.frame_values())
+    turned = pixels.withColumns({"rv": F.reverse("v"), "nv": F.transform("v", lambda x: 255 - x)})
+    return turned.select(
         F.concat(F.lit("c"), F.lpad(c("vec_id").cast("string"), 12, "0")).alias("clip_id"),
         c("label").cast("string").alias("source_video_id"),
         c("vec_id").cast("double").alias("clip_start_sec"),
-        F.when(c("vec_id") % 41 != 0, fr.array_dhash(v, 7, 8)).alias("first_hash"),
-        fr.array_dhash(F.reverse(v), 7, 8).alias("middle_hash"),
-        fr.array_dhash(F.transform(v, lambda x: 255 - x), 7, 8).alias("last_hash"),
+        F.when(c("vec_id") % 41 != 0, fr.array_dhash(c("v"), 7, 8)).alias("first_hash"),
+        fr.array_dhash(c("rv"), 7, 8).alias("middle_hash"),
+        fr.array_dhash(c("nv"), 7, 8).alias("last_hash"),
         F.lit("some caption").alias("caption"),
     )
 

@@ -398,9 +398,8 @@ def p28(spark, d):
 
 @query("P28_dhash_of_arrays", f"WITH {b.FRAMES_SQL}, {HASH_SQL} SELECT * FROM hashes")
 def p28b(spark, d):
-    return b.table(spark, d, "embeddings").select(
-        *b.frame_keys(), fr.array_dhash(b.frame_values(), 7, 8).alias("dhash")
-    )
+    t = b.table(spark, d, "embeddings").select(*b.frame_keys(), b.frame_values().alias("v"))
+    return t.select("clip_id", "frame_idx", fr.array_dhash(c("v"), 7, 8).alias("dhash"))
 
 
 @query(
