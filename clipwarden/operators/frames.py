@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions import scores
 from clipwarden.operators.ordered import exact_quantiles
+from clipwarden.session import cut_lineage
 from clipwarden.spec import TargetSpec
 
 BLOCK_FRAMES = 64
@@ -163,6 +164,8 @@ def clip_metrics(
     `single_frame` says what a clip without pairs becomes: `drop` leaves it out, `zero` counts one
     pair without change, `dup` reports it as all duplicate.
     """
+    # read twice below: one small row per frame instead of a second pass over the pixels
+    partials = cut_lineage(partials)
     sums = _sums(partials, duplicate_below, high_motion_above, scene_cut_above)
     p95 = exact_quantiles(pair_deltas(partials), ["clip_id"], "delta", {"motion_p95": 0.95}, partitions=partitions)
     m = _derive(sums).join(p95, "clip_id", "left").join(clips.select("clip_id", "fps"), "clip_id", "left")
@@ -299,7 +302,7 @@ def jerk(partials: DataFrame) -> DataFrame:
 
 
 def jerk_metrics(partials: DataFrame, partitions: int | None = None) -> DataFrame:
-    j = jerk(partials)
+    j = jerk(cut_lineage(partials))
     means = j.groupBy("clip_id").agg(F.avg("jerk").alias("jerk_mean"))
     return means.join(exact_quantiles(j, ["clip_id"], "jerk", {"jerk_p95": 0.95}, partitions=partitions), "clip_id")
 

@@ -36,11 +36,6 @@ def r02(spark, d):
     return grade.grade_dataset(m).select("source", "dataset_grade")
 
 
-@query("R02_grade_dataset_defaults", "SELECT region.r_regionkey, 'FAIL' AS dataset_grade FROM region")
-def r02b(spark, d):
-    return grade.grade_dataset(b.table(spark, d, "region")).select("r_regionkey", "dataset_grade")
-
-
 # --- manifest lint ---------------------------------------------------------
 
 # documents as manifest lines: broken JSON, non-objects, missing ids, blank videos and prompts
@@ -352,42 +347,54 @@ def r09(spark, d):
     return rec.usable_rows(rows, files).select("doc_id")
 
 
-FILES_SQL = """files AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_quantity * 60)::INTEGER AS height, (l_partkey % 4 * 640)::INTEGER AS width,
-    CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE (l_linenumber * 10)::DOUBLE END AS fps,
-    CASE WHEN l_partkey % 6 = 0 THEN '' ELSE 'f' || l_partkey || '_' || l_suppkey END AS link FROM lineitem)"""
+FILES_SQL = """files AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, unnest([
+      {'n': 0, 'height': (l_quantity * 60)::INTEGER, 'width': (l_partkey % 4 * 640)::INTEGER, 'fps': CASE WHEN l_suppkey % 5 <> 0 THEN (l_linenumber * 10)::DOUBLE END,
+        'link': CASE WHEN l_partkey % 6 = 0 THEN '' ELSE 'f' || l_partkey END},
+      {'n': 1, 'height': (l_quantity * 60)::INTEGER, 'width': 1920::INTEGER, 'fps': 25e0, 'link': 'g' || l_partkey},
+      {'n': 2, 'height': 1080::INTEGER, 'width': 1920::INTEGER, 'fps': 60e0, 'link': 'h' || l_partkey}], recursive := true) FROM lineitem)"""
 
 
 def video_files(spark, d):
-    """Orders as videos with their line items as nested files."""
-    f = F.struct(
-        (c("l_quantity") * 60).cast("int").alias("height"),
-        (c("l_partkey") % 4 * 640).cast("int").alias("width"),
-        F.when(c("l_suppkey") % 5 != 0, (c("l_linenumber") * 10).cast("double")).alias("fps"),
-        F.when(c("l_partkey") % 6 == 0, "").otherwise(
-            F.concat(F.lit("f"), c("l_partkey").cast("string"), F.lit("_"), c("l_suppkey").cast("string"))
-        ).alias("link"),
-        F.lit("video/mp4").alias("file_type"),
+    """Line items as videos with three nested renditions each."""
+    key = c("l_partkey").cast("string")
+
+    def rendition(height, width, fps, link):
+        return F.struct(
+            height.cast("int").alias("height"), width.cast("int").alias("width"), fps.cast("double").alias("fps"),
+            link.alias("link"), F.lit("video/mp4").alias("file_type"),
+        )
+
+    tall = c("l_quantity") * 60
+    return b.table(spark, d, "lineitem").select(
+        *b.ROW_ORDER,
+        F.array(
+            rendition(
+                tall, c("l_partkey") % 4 * 640, F.when(c("l_suppkey") % 5 != 0, c("l_linenumber") * 10),
+                F.when(c("l_partkey") % 6 == 0, "").otherwise(F.concat(F.lit("f"), key)),
+            ),
+            rendition(tall, F.lit(1920), F.lit(25.0), F.concat(F.lit("g"), key)),
+            rendition(F.lit(1080), F.lit(1920), F.lit(60.0), F.concat(F.lit("h"), key)),
+        ).alias("video_files"),
     )
-    return b.table(spark, d, "lineitem").groupBy(c("l_orderkey").alias("id")).agg(F.collect_list(f).alias("video_files"))
 
 
 _ELIGIBLE = "height >= 1200 AND NOT (coalesce(fps, 0) > 0 AND fps < 24) AND link <> ''"
 
 
-@query("R10_eligible_files", f"WITH {FILES_SQL} SELECT l_orderkey AS id, count(*) FILTER ({_ELIGIBLE})::INTEGER AS eligible FROM files GROUP BY 1")
+@query("R10_eligible_files", f"WITH {FILES_SQL} SELECT {ROW}, count(*) FILTER ({_ELIGIBLE})::INTEGER AS eligible FROM files GROUP BY {ROW}")
 def r10(spark, d):
-    return video_files(spark, d).select("id", F.size(select.eligible_files(c("video_files"), 1200, 24)).alias("eligible"))
+    return video_files(spark, d).select(*b.ROW_ORDER, F.size(select.eligible_files(c("video_files"), 1200, 24)).alias("eligible"))
 
 
 @query(
     "T01_best_file",
-    f"""WITH {FILES_SQL} SELECT l_orderkey AS id, max(coalesce(height, 0)) AS height, max_by(width, (height, width, coalesce(fps, 0))) AS width,
-    max_by(coalesce(fps, 0), (height, width, coalesce(fps, 0))) AS fps FROM files WHERE {_ELIGIBLE} GROUP BY 1""",
+    f"""WITH {FILES_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY {ROW} ORDER BY height DESC, width DESC, coalesce(fps, 0) DESC, n) AS rn FROM files WHERE {_ELIGIBLE})
+    SELECT {ROW}, height, width, fps, link FROM k WHERE rn = 1""",
 )
 def t01(spark, d):
     best = select.best_file(c("video_files"), 1200, 24)
-    t = video_files(spark, d).select("id", best.alias("f")).filter("f is not null")
-    return t.select("id", "f.height", "f.width", F.coalesce("f.fps", F.lit(0.0)).alias("fps"))
+    t = video_files(spark, d).select(*b.ROW_ORDER, best.alias("f")).filter("f is not null")
+    return t.select(*b.ROW_ORDER, "f.height", "f.width", "f.fps", "f.link")
 
 
 _REQ = "[" + ", ".join(f"'{k}'" for k in CLIP_COLUMNS) + "]"

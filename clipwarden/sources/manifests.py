@@ -10,7 +10,7 @@ from clipwarden.operators.lint import issue, missing_manifest
 from clipwarden.spec import ISSUE_STRUCT
 
 _BARE = r"(?<=[:\[,])(\s*)(-?Infinity|NaN)(?=\s*[,}\]])"
-MARK = "\x01number:"
+MARK = "#bare-number:"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -24,9 +24,11 @@ def quote_bare_numbers(raw: Column) -> Column:
     return F.regexp_replace(raw, _BARE, f'$1"{MARK}$2"')
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, continuous: bool = False) -> DataFrame:
     """(file, line, raw) with true 1-based line numbers, however large the files are.
 
+    With `continuous` the count goes on from one file of a folder to the next, by file name.
+
     Files are read in splits. Lines are counted per split first; a split's lines then go on from
     the count of the splits before it.
     """
@@ -36,11 +38,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    # windows over splits only: one row per split, whatever their size
+    files = Window.orderBy("file", "_at") if continuous else Window.partitionBy("file").orderBy("_at")
+    before = files.rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         raw.groupBy("file", "_at")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-        # one row per split: small, and joined by equality
         .select("file", "_at", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     )
     return raw.join(splits, ["file", "_at"]).select(
@@ -82,7 +85,7 @@ def read_lenient(spark: SparkSession, path: str) -> tuple[DataFrame | None, Data
     """(rows, issues); a missing file gives no rows and one issue."""
     if not path_exists(spark, path):
         return None, missing_manifest(spark, path)
-    classified = classify_lines(numbered_lines(spark, path))
+    classified = classify_lines(numbered_lines(spark, path, continuous=True))
     return parsed_rows(classified), read_issues(classified)
 
 
@@ -93,7 +96,7 @@ def read_strict(
 
     A row without an `id` key gets the stem of its first required field.
     """
-    classified = classify_lines(numbered_lines(spark, path))
+    classified = classify_lines(numbered_lines(spark, path, continuous=True))
     if check_rows and classified.isEmpty():
         raise ValueError(f"no rows found in {path}")
     lacks = F.lit(False)

@@ -111,21 +111,27 @@ def run_monitor(
 
 def overlap_monitor(
     clips: DataFrame, key: str, start: str, arrival: str, window: float = OVERLAP_WINDOW_SEC,
-    retention_seconds: float | None = None,
+    retention_seconds: float | None = None, windows_per_bin: int = 64,
 ) -> DataFrame:
     """Marks arriving clips that start closer than `window` to an earlier arrival of the same key.
 
-    State is kept per key and time bin, so a hot key spreads over tasks: each row is also shown to
-    the two neighbouring bins and judged in its own. Equal starts are stored once. A bin forgets
-    its starts `retention_seconds` (of processing time) after it last saw a row.
+    State is kept per key and time bin, so a hot key spreads over tasks: rows near the edge of a
+    bin are also shown to the neighbouring bin, and each row is judged in its own. Equal starts are
+    stored once. A bin forgets its starts `retention_seconds` (of processing time) after it last
+    saw a row.
     """
-    bins = F.floor(F.col(start) / F.lit(window))
+    width = F.lit(float(window * windows_per_bin))
+    bins = F.floor(F.col(start) / width)
+    into = F.col(start) - bins * width
+    reach = F.array(
+        bins, F.when(into <= window, bins - 1), F.when(into >= width - F.lit(float(window)), bins + 1)
+    )
     shown = clips.select(
         F.col(key).alias("key"),
         F.col(start).cast("double").alias("start"),
         F.col(arrival).cast("bigint").alias("arrival"),
         bins.alias("own"),
-        F.explode(F.array(bins - 1, bins, bins + 1)).alias("bin"),
+        F.explode(F.array_compact(reach)).alias("bin"),
     )
 
     def judge(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
