@@ -9,30 +9,38 @@ from pyspark.sql import functions as F
 def _scaled_round(value: Column, digits: int) -> Column:
     """round-half-even of the exact binary value times 10**digits, as bigint.
 
-    The product is split into high and low part so that its rounding error is known.
+    Where the product looks like a tie, it is split into a high and a low part, which tells the
+    true side. That rare step sits in a lambda: Spark does not inline it into the generated code,
+    which would otherwise outgrow the size up to which the JVM compiles a method.
     """
     scale = F.lit(float(10**digits))
-    big = value * F.lit(134217729.0)
-    high = big - (big - value)
-    low = value - high
     prod = value * scale
-    err = (high * scale - prod) + low * scale
     whole = F.floor(prod)
     rest = prod - whole
-    up = (rest > 0.5) | ((rest == 0.5) & ((err > 0) | ((err == 0) & (whole % 2 != 0))))
-    return (whole + F.when(up, 1).otherwise(0)).cast("bigint")
+
+    def tie_goes_up(v: Column) -> Column:
+        big = v * F.lit(134217729.0)
+        high = big - (big - v)
+        err = (high * scale - v * scale) + (v - high) * scale
+        return (err > 0) | ((err == 0) & (F.floor(v * scale) % 2 != 0))
+
+    tie = F.get(F.transform(F.array(value), tie_goes_up), F.lit(0))
+    return (whole + F.when(rest > 0.5, 1).when((rest == 0.5) & tie, 1).otherwise(0)).cast("bigint")
 
 
 def fixed_text(value: Column, digits: int) -> Column:
     """Fixed-point text with `digits` decimals (finite values below 1e15)."""
-    k = _scaled_round(F.abs(value), digits)
+    return _digits_text(value, _scaled_round(F.abs(value), digits), digits)
+
+
+def _digits_text(value: Column, scaled: Column, digits: int) -> Column:
     unit = F.lit(10**digits).cast("bigint")
-    body = F.concat(
-        ((k - k % unit) / unit).cast("bigint").cast("string"),
+    return F.concat(
+        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
+        ((scaled - scaled % unit) / unit).cast("bigint").cast("string"),
         F.lit("."),
-        F.lpad((k % unit).cast("string"), digits, "0"),
+        F.lpad((scaled % unit).cast("string"), digits, "0"),
     )
-    return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), body)
 
 
 def percent_text(value: Column, digits: int = 2) -> Column:
@@ -41,37 +49,10 @@ def percent_text(value: Column, digits: int = 2) -> Column:
 
 
 def with_fixed_text(df: DataFrame, columns: dict[str, tuple[Column, int]]) -> DataFrame:
-    """Add several fixed-point texts, given as name -> (value, decimals).
-
-    The steps are separate projections: one large expression would exceed the size up to which
-    the JVM compiles a generated method.
-    """
-    kept = df.columns
-    first, second, third, last = {}, {}, {}, {}
-    for name, (value, digits) in columns.items():
-        scale = F.lit(float(10**digits))
-        unit = F.lit(10**digits).cast("bigint")
-        v, p, w, h, k = (F.col(f"_{x}_{name}") for x in "vpwhk")
-        first[f"_v_{name}"] = F.abs(value)
-        second[f"_p_{name}"] = v * scale
-        second[f"_h_{name}"] = v * F.lit(134217729.0) - (v * F.lit(134217729.0) - v)
-        third[f"_w_{name}"] = F.floor(p)
-        err = (h * scale - p) + (v - h) * scale
-        tie = (p - w == 0.5) & ((err > 0) | ((err == 0) & (w % 2 != 0)))
-        last[f"_k_{name}"] = w + F.when((p - w > 0.5) | tie, 1).otherwise(0)
-    for step in (first, second, third, last):
-        df = df.withColumns(step)
-    texts = {}
-    for name, (value, digits) in columns.items():
-        unit = F.lit(10**digits).cast("bigint")
-        k = F.col(f"_k_{name}")
-        texts[name] = F.concat(
-            F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
-            ((k - k % unit) / unit).cast("bigint").cast("string"),
-            F.lit("."),
-            F.lpad((k % unit).cast("string"), digits, "0"),
-        )
-    return df.withColumns(texts).select(*kept, *columns)
+    """Add several fixed-point texts, given as name -> (value, decimals), in two projections."""
+    rounded = {f"_k_{n}": _scaled_round(F.abs(v), digits) for n, (v, digits) in columns.items()}
+    texts = {n: _digits_text(v, F.col(f"_k_{n}"), digits) for n, (v, digits) in columns.items()}
+    return df.withColumns(rounded).withColumns(texts).select(*df.columns, *columns)
 
 
 def round_even(value: Column) -> Column:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions.numbers import round_even
 
-# every character Python counts as white space
-WS = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# every character Python counts as white space, as a regex class and as a plain list
+WS = r"(?U)[\s\x1c-\x1f]"
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(value: Column) -> Column:
     """Trim white space of any kind on both ends."""
-    return F.regexp_replace(value, rf"^{WS}+|{WS}+$", "")
+    return F.btrim(value, F.lit(WS_CHARS))
 
 
 def word_count(value: Column) -> Column:

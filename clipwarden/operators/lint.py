@@ -196,23 +196,36 @@ def with_sample_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("sample_id", F.coalesce(F.nullif(F.col("id"), F.lit("")), by_video))
 
 
+def prepare_rows(rows: DataFrame, base: str) -> DataFrame:
+    """Add what several rules look at, so that each is worked out once per row."""
+    c = F.col
+    named = with_sample_id(rows).withColumn("path", paths.resolve_path(c("video"), base))
+    blank = lambda name: text.strip(F.coalesce(c(name), F.lit(""))) == ""
+    return named.withColumns(
+        {
+            "suffix": F.coalesce(paths.suffix(c("path")), F.lit("")),
+            "no_id": ~c("has_id") | (c("id").isNotNull() & blank("id")),
+            "no_video": blank("video"),
+            "words": text.word_count(c("prompt")),
+        }
+    )
+
+
 def row_text_rules() -> list[tuple[Column, Column]]:
     """Rules on a row's own fields, in order; later ones apply only to rows with a video."""
     c = F.col
     line, sample, video = c("line"), c("sample_id"), c("video")
-    no_video = text.strip(F.coalesce(video, F.lit(""))) == ""
-    no_prompt = text.strip(F.coalesce(c("prompt"), F.lit(""))) == ""
-    no_id = ~c("has_id") | (c("id").isNotNull() & (text.strip(c("id")) == ""))
+    has_video = ~c("no_video")
     return [
-        (no_id, issue("MISSING_ID", line, sample)),
-        (no_video, issue("MISSING_VIDEO_FIELD", line, sample)),
-        (~no_video & no_prompt, issue("MISSING_PROMPT_FIELD", line, sample, video)),
+        (c("no_id"), issue("MISSING_ID", line, sample)),
+        (c("no_video"), issue("MISSING_VIDEO_FIELD", line, sample)),
+        (has_video & (c("words") == 0), issue("MISSING_PROMPT_FIELD", line, sample, video)),
         (
-            ~no_video & ~no_prompt & (text.word_count(c("prompt")) < 6),
+            has_video & (c("words") > 0) & (c("words") < 6),
             issue("PROMPT_TOO_SHORT", line, sample, video, c("prompt")),
         ),
         (
-            ~no_video & ~F.lower(c("suffix")).isin([f".{e}" for e in VIDEO_EXTENSIONS]),
+            has_video & ~F.lower(c("suffix")).isin([f".{e}" for e in VIDEO_EXTENSIONS]),
             issue("UNUSUAL_VIDEO_EXTENSION", line, sample, c("path"), suffix=c("suffix")),
         ),
     ]
@@ -222,7 +235,7 @@ def _media_rules(cfg: LintConfig) -> list[tuple[Column, Column]]:
     """Rules on the file and its decoded stats, guarded so that earlier failures stop the row."""
     c, t = F.col, cfg.target
     line, sample, path = c("line"), c("sample_id"), c("path")
-    has_video = text.strip(F.coalesce(c("video"), F.lit(""))) != ""
+    has_video = ~c("no_video")
     found = has_video & c("file_found")
     failed = found & c("decode_error").isNotNull()
     decoded = found & ~failed
@@ -255,20 +268,14 @@ def _media_rules(cfg: LintConfig) -> list[tuple[Column, Column]]:
 
 
 def _explode_rules(df: DataFrame, rules: list[tuple[Column, Column]]) -> DataFrame:
+    # exploded as it is and filtered afterwards: a filter on the array would work out all rules twice
     hits = [F.when(F.coalesce(cond, F.lit(False)), body) for cond, body in rules]
-    return (
-        df.select(F.array_compact(F.array(*hits)).alias("_all"))
-        .filter(F.size("_all") > 0)
-        .select(F.explode("_all").alias("_i"))
-        .select("_i.*")
-    )
+    return df.select(F.explode(F.array(*hits)).alias("_i")).filter("_i is not null").select("_i.*")
 
 
 def lint_text(rows: DataFrame, base: str) -> DataFrame:
     """Row-local issues that need no file access; also works on a stream."""
-    prepared = with_sample_id(rows).withColumn("path", paths.resolve_path(F.col("video"), base))
-    prepared = prepared.withColumn("suffix", F.coalesce(paths.suffix(F.col("path")), F.lit("")))
-    return _explode_rules(prepared, row_text_rules())
+    return _explode_rules(prepare_rows(rows, base), row_text_rules())
 
 
 def lint_manifest(
@@ -288,8 +295,9 @@ def lint_manifest(
 
     The scan ends with the row of the last tolerated decode failure, as if rows were read in order.
     """
-    prepared = with_sample_id(rows).withColumn("path", paths.resolve_path(F.col("video"), base))
-    prepared = prepared.withColumn("suffix", F.coalesce(paths.suffix(F.col("path")), F.lit("")))
+    prepared = prepare_rows(rows, base).drop("fields")
+    # only short prompts appear in an issue: the others need not travel through the joins
+    prepared = prepared.withColumn("prompt", F.when(F.col("words") < 6, F.col("prompt")))
     joined = (
         prepared.join(files.select("path").distinct().withColumn("_file", F.lit(True)), "path", "left")
         .join(stats, "path", "left")
@@ -298,8 +306,7 @@ def lint_manifest(
     )
     joined = cut_lineage(joined)  # read four times below
     limit = cfg.max_decode_failures
-    has_video = text.strip(F.coalesce(F.col("video"), F.lit(""))) != ""
-    failures = joined.filter(has_video & F.col("file_found") & F.col("decode_error").isNotNull())
+    failures = joined.filter(~F.col("no_video") & F.col("file_found") & F.col("decode_error").isNotNull())
     # the limit is a small constant: at most that many lines meet in one task
     cut = failures.select("line").orderBy("line").limit(limit).agg(
         F.when(F.count(F.lit(1)) >= limit, F.max("line")).alias("_cut")

@@ -33,21 +33,25 @@ def unique_ids(
     level: the n-th repeat takes the n-th suffix that no earlier row holds, and a row whose id was
     taken before it came becomes a repeat itself. `order` has to be unique.
     """
-    ids = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first"))
-    ids = ids.withColumns(
+    counted = df.groupBy(column).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first")
+    )
+    repeated = cut_lineage(counted.filter("_n > 1"))
+    suffixed = F.nullif(F.regexp_extract(column, _CHILD, 1), F.lit(""))
+    contested = df.select(suffixed.alias(column)).filter(F.col(column).isNotNull())
+    if contested.join(repeated, column, "left_semi").isEmpty():
+        return _suffix_simple(df, repeated, column, order, name, partitions)
+
+    ids = counted.withColumns(
         {
-            "_parent": F.nullif(F.regexp_extract(column, _CHILD, 1), F.lit("")),
+            "_parent": suffixed,
             "_k": F.regexp_extract(column, _CHILD, 2).try_cast("bigint"),
             "_depth": F.length(F.regexp_replace(F.regexp_extract(column, _TAIL, 1), "[^_]", "")),
         }
     )
-    parents = ids.select(F.col(column).alias("_parent"), F.col("_n").alias("_pn"))
-    edges = ids.filter("_k is not null").join(parents, "_parent")
-    if edges.filter("_pn > 1").isEmpty():
-        return _suffix_simple(df, ids, column, order, name, partitions)
-
-    edges = cut_lineage(edges)
-    ids = cut_lineage(ids.filter("_n > 1").unionByName(edges.select(*ids.columns)).dropDuplicates([column]))
+    parents = ids.select(F.col(column).alias("_parent"))
+    edges = cut_lineage(ids.filter("_k is not null").join(parents, "_parent").select(*ids.columns))
+    ids = cut_lineage(ids.filter("_n > 1").unionByName(edges).dropDuplicates([column]))
     displaced = edges.select(F.col(column).alias("_fam")).limit(0)
     # bounded by the longest chain of suffixes in one id
     last = max(
@@ -122,8 +126,8 @@ def _judge(state, rows: pd.DataFrame):
     return held, {"_at": at, "_taken": taken}
 
 
-def _suffix_simple(df, ids, column, order, name, partitions):
-    repeated = ids.filter("_n > 1").select(column)
+def _suffix_simple(df, repeated, column, order, name, partitions):
+    repeated = repeated.select(column)
     once = df.join(repeated, column, "left_anti").withColumn(name, F.col(column))
     many = running_sums(
         df.join(repeated, column, "left_semi"), [column], order, {"_c": F.lit(1).cast("bigint")}, partitions

@@ -21,7 +21,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def quote_bare_numbers(raw: Column) -> Column:
     """`NaN` and `Infinity`, which JSON writers of some languages emit, as marked strings."""
-    return F.regexp_replace(raw, _BARE, f'$1"{MARK}$2"')
+    quoted = F.regexp_replace(raw, _BARE, f'$1"{MARK}$2"')
+    return F.when(raw.contains("NaN") | raw.contains("Infinity"), quoted).otherwise(raw)
 
 
 def numbered_lines(spark: SparkSession, path: str, continuous: bool = False) -> DataFrame:
@@ -53,24 +54,23 @@ def numbered_lines(spark: SparkSession, path: str, continuous: bool = False) ->
 
 def classify_lines(lines: DataFrame) -> DataFrame:
     """Add `kind` (`row`, `bad_json`, `not_object`) and the parsed fields; blank lines are dropped."""
-    body = text.strip(F.col("raw"))
-    parsed = lines.withColumn("_body", body).filter("_body <> ''")
-    parsed = parsed.withColumn("_v", F.try_parse_json(quote_bare_numbers(F.col("_body"))))
-    kind = (
-        F.when(F.col("_v").isNull(), "bad_json")
-        .when(F.schema_of_variant("_v").startswith("OBJECT"), "row")
-        .otherwise("not_object")
-    )
-    fields = F.from_json("_body", "map<string,string>")
-    return parsed.withColumns({"kind": kind, "_f": fields}).drop("_v")
+    parsed = lines.withColumn("_body", text.strip(F.col("raw"))).filter("_body <> ''")
+    valid = F.try_parse_json(quote_bare_numbers(F.col("_body"))).isNotNull()
+    kind = F.when(~valid, "bad_json").when(F.col("_body").startswith("{"), "row").otherwise("not_object")
+    return parsed.withColumn("kind", kind)
 
 
 def parsed_rows(classified: DataFrame, keys: tuple[str, ...] = ("id", "video", "prompt")) -> DataFrame:
     """Usable rows: line, `has_<key>` and the value per key, and all fields as a map."""
     cols = []
     for k in keys:
-        cols += [F.map_contains_key("_f", F.lit(k)).alias(f"has_{k}"), F.col("_f")[k].alias(k)]
-    return classified.filter("kind = 'row'").select("line", *cols, F.col("_f").alias("fields"))
+        cols += [F.map_contains_key("fields", F.lit(k)).alias(f"has_{k}"), F.col("fields")[k].alias(k)]
+    parsed = classified.filter("kind = 'row'").select("line", _fields().alias("fields"))
+    return parsed.select("line", *cols, "fields")
+
+
+def _fields() -> Column:
+    return F.from_json("_body", "map<string,string>")
 
 
 def read_issues(classified: DataFrame) -> DataFrame:
@@ -96,12 +96,12 @@ def read_strict(
 
     A row without an `id` key gets the stem of its first required field.
     """
-    classified = classify_lines(numbered_lines(spark, path, continuous=True))
+    classified = classify_lines(numbered_lines(spark, path, continuous=True)).withColumn("_f", _fields())
     if check_rows and classified.isEmpty():
         raise ValueError(f"no rows found in {path}")
     lacks = F.lit(False)
     for k in required:
-        lacks = lacks | ~F.map_contains_key("_f", F.lit(k))
+        lacks = lacks | ~F.coalesce(F.map_contains_key("_f", F.lit(k)), F.lit(False))
     where = F.concat(F.lit(f"{path}:"), F.col("line").cast("string"))
     broken = F.when(F.col("kind") == "bad_json", F.raise_error(F.concat(where, F.lit(" is not valid JSON")))).when(
         (F.col("kind") == "not_object") | lacks,

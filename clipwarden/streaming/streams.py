@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clipwarden.operators import grade, lint
 from clipwarden.operators.logs import early_stop_scan
-from clipwarden.sources.manifests import classify_lines, parsed_rows
+from clipwarden.sources.manifests import classify_lines, parsed_rows, read_issues
 from clipwarden.spec import OVERLAP_WINDOW_SEC, GradeThresholds
 
 
@@ -181,6 +181,4 @@ def activity_sessions(
 def linted_stream(lines: DataFrame, base: str, line: Column) -> DataFrame:
     """Row-local manifest issues on a stream of text lines."""
     classified = classify_lines(lines.select(line.alias("line"), F.col("value").alias("raw")))
-    from clipwarden.sources.manifests import read_issues
-
     return read_issues(classified).unionByName(lint.lint_text(parsed_rows(classified), base))
