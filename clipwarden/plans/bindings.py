@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clipwarden.operators import frames as fr
 from clipwarden.operators.grade import grade_clips, score_clips
 
-ROW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+ROW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +50,7 @@ def clips(spark: SparkSession, d: str) -> DataFrame:
 CLIPS_SQL = """clips AS (
   SELECT 'clip_' || l_orderkey || '_node' || l_linenumber AS clip_id,
     'clips/clip_' || l_orderkey || '_node' || l_linenumber || '.mp4' AS path,
-    'src' || l_suppkey AS source, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    'src' || l_suppkey AS source, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
     CAST(1280 - 64 * (l_partkey % 5) AS INTEGER) AS source_width,
     CAST(704 - 32 * (l_suppkey % 3) AS INTEGER) AS source_height,
     CAST(118 + l_linenumber AS INTEGER) AS source_frames,

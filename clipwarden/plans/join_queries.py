@@ -135,7 +135,7 @@ def j08b(spark, d):
 
 @query(
     "J09_map_ids",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN o_custkey % 2 = 0 THEN 'new_' || o_orderkey END AS clip_id
+    f"""SELECT {ROW}, CASE WHEN o_custkey % 2 = 0 THEN 'new_' || o_orderkey END AS clip_id
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
 )
 def j09(spark, d):

@@ -315,8 +315,8 @@ def latest_quality(spark, d):
 
 LATEST_SQL = (
     b.GRADED_SQL
-    + """, latest AS (SELECT * FROM (SELECT *, clip_id || '.mp4' AS name,
-      row_number() OVER (PARTITION BY clip_id ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM graded
+    + f""", latest AS (SELECT * FROM (SELECT *, clip_id || '.mp4' AS name,
+      row_number() OVER (PARTITION BY clip_id ORDER BY {", ".join(k + " DESC" for k in b.ROW_ORDER)}) AS rn FROM graded
       WHERE l_suppkey % 5 <> 0) WHERE rn = 1)"""
 )
 
@@ -348,11 +348,12 @@ def r09(spark, d):
     return rec.usable_rows(rows, files).select("doc_id")
 
 
-FILES_SQL = """files AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, unnest([
-      {'n': 0, 'height': (l_quantity * 60)::INTEGER, 'width': (l_partkey % 4 * 640)::INTEGER, 'fps': CASE WHEN l_suppkey % 5 <> 0 THEN (l_linenumber * 10)::DOUBLE END,
-        'link': CASE WHEN l_partkey % 6 = 0 THEN '' ELSE 'f' || l_partkey END},
-      {'n': 1, 'height': (l_quantity * 60)::INTEGER, 'width': 1920::INTEGER, 'fps': 25e0, 'link': 'g' || l_partkey},
-      {'n': 2, 'height': 1080::INTEGER, 'width': 1920::INTEGER, 'fps': 60e0, 'link': 'h' || l_partkey}], recursive := true) FROM lineitem)"""
+FILES_SQL = f"""filelist AS (SELECT {ROW}, [
+      {{'n': 0, 'height': (l_quantity * 60)::INTEGER, 'width': (l_partkey % 4 * 640)::INTEGER, 'fps': CASE WHEN l_suppkey % 5 <> 0 THEN (l_linenumber * 10)::DOUBLE END,
+        'link': CASE WHEN l_partkey % 6 = 0 THEN '' ELSE 'f' || l_partkey END}},
+      {{'n': 1, 'height': (l_quantity * 60)::INTEGER, 'width': 1920::INTEGER, 'fps': 25e0, 'link': 'g' || l_partkey}},
+      {{'n': 2, 'height': 1080::INTEGER, 'width': 1920::INTEGER, 'fps': 60e0, 'link': 'h' || l_partkey}}] AS fs FROM lineitem),
+    files AS (SELECT {ROW}, unnest(fs, recursive := true) FROM filelist)"""
 
 
 def video_files(spark, d):
@@ -382,7 +383,7 @@ def video_files(spark, d):
 _ELIGIBLE = "height >= 1200 AND NOT (coalesce(fps, 0) > 0 AND fps < 24) AND link <> ''"
 
 
-@query("R10_eligible_files", f"WITH {FILES_SQL} SELECT {ROW}, count(*) FILTER ({_ELIGIBLE})::INTEGER AS eligible FROM files GROUP BY {ROW}")
+@query("R10_eligible_files", f"WITH {FILES_SQL} SELECT {ROW}, len(list_filter(fs, lambda f: f.height >= 1200 AND NOT (coalesce(f.fps, 0) > 0 AND f.fps < 24) AND f.link <> ''))::INTEGER AS eligible FROM filelist")
 def r10(spark, d):
     return video_files(spark, d).select(*b.ROW_ORDER, F.size(select.eligible_files(c("video_files"), 1200, 24)).alias("eligible"))
 
