@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwarden.functions.numbers import field_equal, fixed_text
-from clipwarden.operators.ordered import carry_fold
+from clipwarden.operators.ordered import carry_fold, join_null_safe
 from clipwarden.spec import OVERLAP_WINDOW_SEC
 
 HASHES = ["first_hash", "middle_hash", "last_hash"]
@@ -124,7 +124,7 @@ def one_per_source(
     best = rows.groupBy(source).agg(
         F.min(F.when(c("_valid"), c("_rank"))).alias("_best"), F.min("_rank").alias("_first")
     )
-    joined = rows.join(best, source)
+    joined = join_null_safe(rows, best, [source])
     fallback = c("_best").isNull()
     chosen = F.coalesce(c("_rank") == c("_best"), F.lit(False))
     first = fallback & (c("_rank") == c("_first"))

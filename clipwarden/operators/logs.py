@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions.numbers import finite
 from clipwarden.functions.scores import per_second
-from clipwarden.operators.ordered import carry_fold, rank_within
+from clipwarden.operators.ordered import carry_fold, join_null_safe, rank_within
 
 
 def ema_values(values: np.ndarray, decay: float, before: float | None) -> np.ndarray:
@@ -128,7 +128,7 @@ def temporal_thirds(
     many = F.col("_n") >= 3
     v = F.col(value)
     return (
-        ranked.join(sizes, keys)
+        join_null_safe(ranked, sizes, keys)
         .groupBy(*keys)
         .agg(
             F.avg(F.when(many & (pos < third), v)).alias("first"),

@@ -63,6 +63,12 @@ def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column
     return cond
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on `keys` with nulls equal, so that a group without a key is not lost."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    return left.join(renamed, _null_safe(left, renamed, keys), how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -163,10 +169,9 @@ def exact_quantiles(
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
     )
     ranked = running_sums(counted, keys, [value], {"_upto": F.col("_c")}, partitions)
-    names = [f"_r_{k}" for k in keys]
-    totals = ranked.groupBy(*[F.col(k).alias(f"_r_{k}") for k in keys]).agg(F.sum("_c").alias("_n"))
+    totals = ranked.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     if keys:
-        both = ranked.join(totals, _null_safe(ranked, totals, keys))
+        both = join_null_safe(ranked, totals, keys)
     else:
         both = ranked.crossJoin(F.broadcast(totals))  # a single row
     aggs, outs = [], []
@@ -181,7 +186,7 @@ def exact_quantiles(
         outs.append(
             (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name)
         )
-    return both.groupBy(*keys).agg(*aggs).select(*keys, *outs).drop(*names)
+    return both.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
 # --- folds whose next state depends on every earlier row of the key --------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions.numbers import finite
 from clipwarden.functions.text import cue_text
-from clipwarden.operators.ordered import exact_quantiles, rank_within
+from clipwarden.operators.ordered import exact_quantiles, join_null_safe, rank_within
 
 LOG_QUANTILES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 SHORT_QUANTILES = {"p05": 0.05, "p50": 0.50, "p95": 0.95}
@@ -46,7 +46,7 @@ def key_stats(
         F.max(F.isnan("value")).alias("_nan"),
     )
     ranked = exact_quantiles(rows, ["key"], "value", quantiles, partitions=partitions)
-    both = base.join(ranked, "key")
+    both = join_null_safe(base, ranked, ["key"])
     stats = ["mean", "std", "min", *quantiles, "max"]
     nan = F.lit(float("nan"))
     return both.select("key", "n", *[F.when(F.col("_nan"), nan).otherwise(F.col(s)).alias(s) for s in stats])

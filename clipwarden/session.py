@@ -18,8 +18,8 @@ def build_session(app: str = "clipwarden", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # pixel rows are large: keep Arrow batches short
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+        # pixel rows are large: this bounds what a Python worker holds at a time
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     }
     defaults.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in defaults.items():

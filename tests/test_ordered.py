@@ -42,6 +42,12 @@ def test_running_sum_keeps_null_keys(spark):
     assert got == {(None, 1): 1, (None, 2): 2, ("a", 1): 1}
 
 
+def test_quantiles_keep_null_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 5.0)], "k string, v double")
+    got = {r["k"]: r["m"] for r in ordered.exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()}
+    assert got == {None: 1.5, "a": 5.0}
+
+
 def test_global_index(rows):
     df, pdf = rows
     got = ordered.global_index(df, ["v", "k", "o"], "i", partitions=6).toPandas().sort_values(["v", "k", "o"])
