@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 def basename(path: Column) -> Column:
     """Last path component; trailing slashes do not count, `.` and `..` keep their meaning."""
-    trimmed = F.regexp_replace(path, r"(/\.?)+$", "")
-    return F.element_at(F.split(trimmed, "/"), -1)
+    # the regular expression only runs where a path ends in a slash or in `/.`
+    odd = path.endswith("/") | path.endswith("/.")
+    trimmed = F.when(odd, F.regexp_replace(path, r"(/\.?)+$", "")).otherwise(path)
+    return F.substring_index(trimmed, "/", -1)
 
 
 def stem(path: Column) -> Column:

@@ -131,10 +131,8 @@ def filter_clips(
 
 def attach_quality(manifest: DataFrame, quality: DataFrame) -> DataFrame:
     """Left join of manifest rows to their quality row by base name, lenient defaults on a miss."""
-    name = F.coalesce(
-        F.nullif(paths.basename(F.coalesce(F.col("video"), F.lit(""))), F.lit("")),
-        F.concat(F.col("id"), F.lit(".mp4")),
-    )
+    by_id = F.concat(F.col("id"), F.lit(".mp4"))
+    name = F.when(F.coalesce(F.col("_base"), F.lit("")) == "", by_id).otherwise(F.col("_base"))
     right = quality.select(
         F.col("name"),
         F.col("grade").alias("_grade"),
@@ -142,7 +140,8 @@ def attach_quality(manifest: DataFrame, quality: DataFrame) -> DataFrame:
         F.lit(True).alias("_hit"),
     )
     return (
-        manifest.withColumn("name", name)
+        manifest.withColumn("_base", paths.basename(F.col("video")))
+        .withColumn("name", name)
         .join(right, "name", "left")
         .withColumns(
             {
@@ -150,7 +149,7 @@ def attach_quality(manifest: DataFrame, quality: DataFrame) -> DataFrame:
                 "duplicate_frame_ratio": F.when(F.col("_hit"), F.col("_dup")).otherwise(F.lit(0.0)),
             }
         )
-        .drop("_grade", "_dup", "_hit")
+        .drop("_base", "_grade", "_dup", "_hit")
     )
 
 

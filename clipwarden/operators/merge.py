@@ -33,16 +33,14 @@ def unique_ids(
     level: the n-th repeat takes the n-th suffix that no earlier row holds, and a row whose id was
     taken before it came becomes a repeat itself. `order` has to be unique.
     """
-    counted = df.groupBy(column).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first")
-    )
-    repeated = cut_lineage(counted.filter("_n > 1"))
+    repeated = cut_lineage(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
     suffixed = F.nullif(F.regexp_extract(column, _CHILD, 1), F.lit(""))
     contested = df.select(suffixed.alias(column)).filter(F.col(column).isNotNull())
     if contested.join(repeated, column, "left_semi").isEmpty():
         return _suffix_simple(df, repeated, column, order, name, partitions)
 
-    ids = counted.withColumns(
+    ids = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first"))
+    ids = ids.withColumns(
         {
             "_parent": suffixed,
             "_k": F.regexp_extract(column, _CHILD, 2).try_cast("bigint"),
