@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.functions.numbers import fixed_text  # noqa: F401  (re-exported for reports)
 from clipwarden.functions.paths import basename
 from clipwarden.spec import CLIP_COLUMNS, SPEC_DURATION_SEC, TargetSpec
 
