@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from clipwarden.plans.catalog import ORACLES, QUERIES
 from check_queries import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -22,12 +23,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    got_names, got = rows_of(queries()[name](spark, SF).toArrow())
-    want_names, want = rows_of(con.execute(oracle_sql()[name]).to_arrow_table())
+    got_names, got = rows_of(QUERIES[name](spark, SF).toArrow())
+    want_names, want = rows_of(con.execute(ORACLES[name]).to_arrow_table())
     assert got_names == want_names
     assert got == want
