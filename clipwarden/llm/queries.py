@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwarden.llm import bpe, exact, packing, wavelet
+from clipwarden.llm import bpe, debruijn, exact, minhash, packing, wavelet
 from clipwarden.llm.common import documents
 from clipwarden.session import scratch_path
 
@@ -39,6 +39,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.shard_documents(spark, path, ids_crc32=F.crc32("ids"))
 
 
+@query("op3_de_bruijn_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.deduplicated(documents(spark, sf_dir)).drop("kept_text")
+
+
+@query("op4_bbit_minhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), threshold=0.85)
+
+
 @query("op5_power_of_two_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), tokenizer_path())
