@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwarden.llm import bpe, debruijn, exact, minhash, packing, wavelet
+from clipwarden.llm import bpe, debruijn, exact, minhash, packing, syncmers, toxicity, urls, wavelet
 from clipwarden.llm.common import documents
 from clipwarden.session import scratch_path
 
@@ -39,6 +39,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.shard_documents(spark, path, ids_crc32=F.crc32("ids"))
 
 
+@query("op2_closed_syncmers")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(documents(spark, sf_dir))
+
+
 @query("op3_de_bruijn_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.deduplicated(documents(spark, sf_dir)).drop("kept_text")
@@ -57,6 +62,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = (
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+
+
+@query("op6_url_logistic")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urls.train(urls.seed_table(spark))
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), model, URL_RULES)
+
+
 @query("op7_prefix_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_path()).select(
@@ -67,6 +87,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_string_kernel_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.score(documents(spark, sf_dir), labels).select(
+        "doc_id",
+        F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query(
     "op10_exact_dedup",
     """
