@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwarden.llm import bpe, debruijn, exact, minhash, packing, syncmers, toxicity, urls, wavelet
+from clipwarden.llm import bpe, debruijn, exact, licenses, minhash, packing, syncmers, toxicity, urls, wavelet
 from clipwarden.llm.common import documents
 from clipwarden.session import scratch_path
 
@@ -98,6 +98,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 @query(
     "op10_exact_dedup",
     """

@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clipwarden.llm.common import id_and_text, stored, text_rows, worker_state
+from clipwarden.llm.common import id_and_text, stored, worker_state
 
 MAX_TEXTS, MAX_WORDS, LANDMARKS = 12_000, 2_000, 384
 REACH, DECAY = 4, 0.6
@@ -144,10 +145,20 @@ class Model:
     curve: tuple[float, float, float]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about `BLOCK_BYTES` of text."""
+    sizes = np.array([len(t or "") for t in batch.column(1).to_pylist()], np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES, prepend=0)).tolist()
+    edges = sorted({0, *cuts, batch.num_rows})
+    for a, z in zip(edges[:-1], edges[1:]):
+        yield batch.slice(a, z - a)
+
+
 def text_margins(df: DataFrame, table: np.ndarray, bias: float) -> DataFrame:
-    """doc_id, best, second: the two highest word margins of each text."""
+    """Adds best and second, the two highest word margins of each text, to (doc_id, text, ...); text is left out."""
     sent = df.sparkSession.sparkContext.broadcast((table.astype(np.float32), bias))  # of fixed size
     name = uuid.uuid4().hex
+    rest = [c for c in df.columns if c != "text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, base = sent.value
@@ -155,33 +166,24 @@ def text_margins(df: DataFrame, table: np.ndarray, bias: float) -> DataFrame:
         if state.get("toxicity") != name:
             state["toxicity"], state["toxicity_words"] = name, {}
         known = state["toxicity_words"]
-
-        def block(keys: list, texts: list[list[str]]) -> pa.RecordBatch:
+        for part in (s for b in batches for s in slices(b)):
+            texts = [words_of(t or "") for t in part.column(1).to_pylist()]
             new = list(set().union(*texts).difference(known))
             for at in range(0, len(new), 50_000):
-                part = new[at : at + 50_000]
-                known.update(zip(part, margins([plain(w) for w in part], weights, base).tolist()))
-            out = np.full((2, len(keys)), LOWEST)
+                some = new[at : at + 50_000]
+                known.update(zip(some, margins([plain(w) for w in some], weights, base).tolist()))
+            out = np.full((2, len(texts)), LOWEST)
             for i, words in enumerate(texts):
                 if words:
                     found = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
                     out[::-1, i] = np.partition(found, -2)[-2:] if len(found) > 1 else found[0]
             if len(known) > TABLE_ENTRIES:
                 known.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out[0]), pa.array(out[1])], ["doc_id", "best", "second"])
+            kept = [part.column(0), *part.columns[2:], pa.array(out[0]), pa.array(out[1])]
+            yield pa.RecordBatch.from_arrays(kept, [*rest, "best", "second"])
 
-        keys, texts, held = [], [], 0
-        for key, text in text_rows(batches):
-            keys.append(key)
-            texts.append(words_of(text))
-            held += len(text)
-            if held >= BLOCK_BYTES:
-                yield block(keys, texts)
-                keys, texts, held = [], [], 0
-        if keys:
-            yield block(keys, texts)
-
-    return df.mapInArrow(run, "doc_id bigint, best double, second double")
+    schema = T.StructType([df.schema[c] for c in rest]).add("best", "double").add("second", "double")
+    return df.mapInArrow(run, schema)
 
 
 def labelled_sentences(texts: DataFrame) -> DataFrame:
@@ -285,13 +287,23 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
 
 
-def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """doc_id, score, best, second of every row of `df`, after training on `labels` of rows that are not held out."""
+def score(
+    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    carry: bool = False,
+) -> DataFrame:
+    """doc_id, score, best, second of every row of `df`, after training on `labels` of rows that are not held out.
+
+    With `carry`, the whole row comes along in the column `row`, so that nothing has to be joined back.
+    """
+    whole = F.struct(*[F.col(c) for c in df.columns]).alias("row")
     docs = id_and_text(df, id_col, text_col)
+    sent = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), whole)
+    sent = sent if carry else docs
     known = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     model = train(docs, known.filter(~F.coalesce(held_out(), F.lit(True))))
     if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(LOWEST).alias("best"), F.lit(LOWEST).alias("second"))
+        lowest = F.lit(LOWEST)
+        return sent.drop("text").withColumns({"score": F.lit(0.0), "best": lowest, "second": lowest})
     a, b, c = model.curve
     curve = 1 / (1 + F.exp(-(F.col("best") * a + F.col("second") * b + c)))
-    return text_margins(docs, model.table, model.bias).select("doc_id", curve.alias("score"), "best", "second")
+    return text_margins(sent, model.table, model.bias).withColumn("score", curve)
