@@ -9,7 +9,7 @@ words at both ends of these coordinates are compared by digest, and only verifie
 Edges reach their sources by exchanges keyed on ranges of the hash space. A task (chunk) sends each
 distinct key once, so a passage that occurs in a third of all documents is one entry per chunk:
 
-1. Anchors thin out the edges: the least hash of the five-word grams inside a window is shared by equal
+1. Anchors thin out the edges: the least hash of the nine-word grams inside a window is shared by equal
    windows, and neighbouring windows mostly share theirs. Edges whose anchor occurs once cannot repeat.
 2. The edges that are left look up their source by 64-bit keys.
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from clipwarden.llm.common import id_and_text, stored
 from clipwarden.llm.words import BLOCK_BYTES, WordHasher, Words
 
-WIDTH, GRAM = 13, 5
+WIDTH, GRAM = 13, 9
 NO_ID = (1 << 63) - 1
 MESSAGE = "bucket int, chunk int, directory boolean, payload binary"
 
@@ -50,6 +50,21 @@ def unpack(data: bytes) -> Any:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
+def thin(values: np.ndarray) -> tuple[str, bytes]:
+    """The values byte plane by byte plane, so that equal high bytes compress to nothing."""
+    return values.dtype.str, values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def thick(kind: str, data: bytes) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def rises(values: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, modulo the type's range; `np.cumsum` of the same type undoes them."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def message(rows: list[tuple[int, int, bool, bytes]]) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [(), (), (), ()]
     kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
@@ -199,8 +214,10 @@ def send_edges(candidates: DataFrame, buckets: int, width: int, gram: int) -> Da
             chunk = Chunk(kept, buckets)
             places = np.concatenate([d[3] for d in kept])
             owner = np.repeat(np.array([d[0] for d in kept], np.int64), chunk.counts)
-            cols = lambda s, b: (chunk.keys[s], owner[chunk.first[s]], places[chunk.first[s]])
-            yield from chunk.messages(TaskContext.get().partitionId(), cols, (places, chunk.first.astype(np.uint32)))
+            cols = lambda s, b: (
+                thin(rises(chunk.keys[s])), thin(owner[chunk.first[s]]), thin(places[chunk.first[s]])
+            )
+            yield from chunk.messages(TaskContext.get().partitionId(), cols, thin(rises(places)))
 
     return candidates.mapInArrow(send, MESSAGE)
 
@@ -211,29 +228,34 @@ def find_sources(table: pa.Table) -> pa.Table:
     asked = [(r, unpack(r["payload"])) for r in rows if not r["directory"]]
     out = [(r["bucket"], r["chunk"], True, r["payload"]) for r in rows if r["directory"]]
     if asked:
-        keys, docs, places = (np.concatenate([v[c] for _, v in asked]) for c in range(3))
+        columns = [[thick(*c) for c in v] for _, v in asked]
+        keys = np.concatenate([np.cumsum(c[0], dtype=np.uint64) for c in columns])
+        docs, places = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
         order = np.lexsort((places, docs, keys))
         ranked = keys[order]
         head = np.concatenate(([True], ranked[1:] != ranked[:-1]))
         best = np.empty(len(keys), np.int64)
         best[order] = order[np.maximum.accumulate(np.where(head, np.arange(len(keys)), 0))]
         other, at = best != np.arange(len(keys)), 0
-        for r, values in asked:
+        for (r, _), values in zip(asked, columns):
             part = slice(at, at + len(values[0]))
             moved = best[part][other[part]]
-            out.append((r["bucket"], r["chunk"], False, pack((other[part], docs[moved], places[moved]))))
+            found = (np.packbits(other[part]), len(values[0]), thin(docs[moved]), thin(places[moved]))
+            out.append((r["bucket"], r["chunk"], False, pack(found)))
             at = part.stop
     return pa.Table.from_batches([message(out)])
 
 
 def compact(table: pa.Table) -> pa.Table:
     """Join consecutive edges whose sources follow each other: key, mark, start, edges, src, src_start."""
-    (ids, marks, counts, inverse), (places, first), replies = answers(table)
+    (ids, marks, counts, inverse), moves, replies = answers(table)
+    places = np.cumsum(thick(*moves), dtype=np.uint32)
     owner = np.repeat(np.arange(len(ids)), counts)
+    first = np.unique(inverse, return_index=True)[1]
     src, src_at = ids[owner[first]], places[first].astype(np.int64)
-    other = np.concatenate([m for m, _, _ in replies])
-    src[other] = np.concatenate([d for _, d, _ in replies])
-    src_at[other] = np.concatenate([p for _, _, p in replies])
+    other = np.concatenate([np.unpackbits(m)[:n].astype(bool) for m, n, _, _ in replies])
+    src[other] = np.concatenate([thick(*d) for _, _, d, _ in replies])
+    src_at[other] = np.concatenate([thick(*p) for _, _, _, p in replies])
     src, src_at, own, at = src[inverse], src_at[inverse], owner, places.astype(np.int64)
     hit = src < ids[own]
     own, at, src, src_at = own[hit], at[hit], src[hit], src_at[hit]
@@ -249,7 +271,7 @@ def compact(table: pa.Table) -> pa.Table:
 
 
 def span_digests(df: DataFrame, width: int) -> DataFrame:
-    """Digest of the words of each span of (key, spans, text): key, start, edges, digest."""
+    """Digests of the words of spans, of (key, mark, spans, text); a span is of one mark or, if null, of any."""
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,15 +279,17 @@ def span_digests(df: DataFrame, width: int) -> DataFrame:
             for key, mark, spans, text in zip(*[c.to_pylist() for c in batch.columns]):
                 words = text.encode().split()
                 for span in spans:
-                    part = b" ".join(words[span["start"] : span["start"] + span["edges"] + width - 1])
-                    out.append((key, mark, span["start"], span["edges"], hashlib.sha256(part).digest()))
-            cols = list(zip(*out)) or [()] * 5
-            kinds = [pa.int64()] * 4 + [pa.binary()]
+                    if span["of"] is None or span["of"] == mark:
+                        part = b" ".join(words[span["start"] : span["start"] + span["edges"] + width - 1])
+                        found = hashlib.sha256(part).digest()
+                        out.append((key, mark, span["of"], span["start"], span["edges"], found))
+            cols = list(zip(*out)) or [()] * 6
+            kinds = [pa.int64()] * 5 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "mark", "start", "edges", "digest"]
+                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "mark", "of", "start", "edges", "digest"]
             )
 
-    return df.mapInArrow(digest, "key bigint, mark bigint, start bigint, edges bigint, digest binary")
+    return df.mapInArrow(digest, "key bigint, mark bigint, of bigint, start bigint, edges bigint, digest binary")
 
 
 def removed_words(n: int, spans: list[Any], width: int) -> np.ndarray:
@@ -345,7 +369,11 @@ def stripped(
         .groupBy("chunk").applyInArrow(candidate_runs, "key bigint, mark bigint, runs binary")
         .dropDuplicates(["key", "mark"])
     )
-    candidates = stored(docs.join(flagged, ["key", "mark"]).select("key", "mark", "runs", "text"), "candidates")
+    # rows that repeat id and text are looked at once
+    candidates = stored(
+        docs.join(flagged, ["key", "mark"]).select("key", "mark", "runs", "text").dropDuplicates(["key", "mark"]),
+        "candidates",
+    )
     paths = stored(
         send_edges(candidates, buckets, width, gram)
         .groupBy("bucket").applyInArrow(find_sources, MESSAGE)
@@ -355,19 +383,23 @@ def stripped(
         .distinct(),
         "paths",
     )
-    texts = candidates.select("key", "mark", "text").dropDuplicates(["key", "mark"])
-    span = F.collect_list(F.struct("start", "edges")).alias("spans")
-    own = span_digests(
-        texts.join(paths.groupBy("key", "mark").agg(span), ["key", "mark"]).select("key", "mark", "spans", "text"), width
+    texts = candidates.select("key", "mark", "text")
+    # both ends of all paths in one pass over the texts; a source is named by its id alone
+    ends = paths.select("key", "mark", "start", "edges").union(
+        paths.select(F.col("src").alias("key"), F.lit(None).cast("bigint"), F.col("src_start"), "edges").distinct()
+    )
+    listed = ends.groupBy("key").agg(F.collect_list(F.struct(F.col("mark").alias("of"), "start", "edges")).alias("spans"))
+    digests = stored(
+        span_digests(texts.join(listed, "key").select("key", "mark", "spans", "text"), width), "span_digests"
+    )
+    own = digests.filter("of IS NOT NULL").select("key", "mark", "start", "edges", "digest")
+    theirs = digests.filter("of IS NULL").select(
+        F.col("key").alias("src"), F.col("start").alias("src_start"), "edges", "digest"
     )
-    wanted = paths.select(F.col("src").alias("key"), F.col("src_start").alias("start"), "edges").distinct()
-    theirs = span_digests(
-        texts.join(wanted.groupBy("key").agg(span), "key").select("key", "mark", "spans", "text"), width
-    ).select(F.col("key").alias("src"), F.col("start").alias("src_start"), "edges", "digest")
     verified = paths.join(own, ["key", "mark", "start", "edges"]).join(
         theirs, ["src", "src_start", "edges", "digest"], "left_semi"
     )
-    spans = verified.groupBy("key", "mark").agg(span)
+    spans = verified.groupBy("key", "mark").agg(F.collect_list(F.struct("start", "edges")).alias("spans"))
     return without_spans(texts.join(spans, ["key", "mark"]).select("key", "mark", "spans", "text"), width)
 
 
