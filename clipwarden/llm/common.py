@@ -29,7 +29,7 @@ def stored(df: DataFrame, name: str, *partition_by: str, codec: str = "zstd") ->
     path = scratch_path(spark, name)
     writer = df.write.option("compression", codec)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def worker_state() -> dict[str, Any]:
