@@ -83,7 +83,7 @@ def clean_id(value: Column, fallback: Column) -> Column:
 
 def sample_fallback(index: Column) -> Column:
     """Default id of the row at a 0-based position."""
-    return F.concat(F.lit("sample_"), F.lpad(index.cast("string"), 6, "0"))
+    return padded_name("sample", index, 6)
 
 
 def slug(value: Column) -> Column:

@@ -32,9 +32,14 @@ def caption_length(value: Column, null_as: str = "None") -> Column:
     return F.length(F.coalesce(value, F.lit(null_as)))
 
 
-def caption_or(new: Column, old: Column, limit: int = 300) -> Column:
-    """Trimmed new caption cut to `limit` characters; the old prompt where that is empty."""
-    return F.coalesce(F.nullif(F.substring(strip(new), 1, limit), F.lit("")), old)
+def at_most(value: Column, limit: int | None) -> Column:
+    """The first `limit` characters if a limit is given, else the whole text."""
+    return value if limit is None else F.substring(value, 1, limit)
+
+
+def caption_or(new: Column, old: Column, limit: int | None = None) -> Column:
+    """Trimmed new caption, whole unless `limit` is given; the old prompt where that is empty."""
+    return F.coalesce(F.nullif(at_most(strip(new), limit), F.lit("")), old)
 
 
 def prompt_or_default(prompt: Column, sample_id: Column) -> Column:

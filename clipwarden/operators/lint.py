@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions import paths, scores, text
 from clipwarden.functions.numbers import fixed_text
+from clipwarden.operators.ordered import running_sums
 from clipwarden.session import cut_lineage
 from clipwarden.spec import ISSUE_COLUMNS, ISSUE_STRUCT, VIDEO_EXTENSIONS, LintConfig
 
@@ -293,7 +294,8 @@ def lint_manifest(
     files        path of each file that exists
     stats        path, width, height, frames, fps, duplicate_frame_ratio, decode_error
 
-    The scan ends with the row of the last tolerated decode failure, as if rows were read in order.
+    Every row is judged. With `cfg.max_decode_failures` the issue TOO_MANY_DECODE_FAILURES is added where an
+    ordered scan would have stopped, and `after_stop` marks the issues of later lines; none is dropped.
     """
     prepared = prepare_rows(rows, base).drop("fields")
     # only short prompts appear in an issue: the others need not travel through the joins
@@ -305,19 +307,9 @@ def lint_manifest(
         .drop("_file")
     )
     joined = cut_lineage(joined)  # read four times below
-    limit = cfg.max_decode_failures
-    failures = joined.filter(~F.col("no_video") & F.col("file_found") & F.col("decode_error").isNotNull())
-    # the limit is a small constant: at most that many lines meet in one task
-    cut = failures.select("line").orderBy("line").limit(limit).agg(
-        F.when(F.count(F.lit(1)) >= limit, F.max("line")).alias("_cut")
-    )
-    seen = joined.crossJoin(F.broadcast(cut)).filter(F.col("_cut").isNull() | (F.col("line") <= F.col("_cut")))
-    row_issues = _explode_rules(seen, row_text_rules() + _media_rules(cfg))
-    stopped = (
-        cut.filter("_cut is not null").select(issue("TOO_MANY_DECODE_FAILURES").alias("_i")).select("_i.*")
-    )
+    row_issues = _explode_rules(joined, row_text_rules() + _media_rules(cfg))
     repeated = (
-        seen.groupBy("sample_id")
+        joined.groupBy("sample_id")
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
         .select(issue("DUPLICATE_ID", None, F.col("sample_id"), value=F.col("_n"), found=F.col("_n")).alias("_i"))
@@ -328,9 +320,25 @@ def lint_manifest(
         .select(issue("MANIFEST_EMPTY").alias("_i")).select("_i.*")
     )
     out = read_issues.select(*ISSUE_COLUMNS)
-    for part in (empty, row_issues, stopped, repeated, config_issues(rows.sparkSession, cfg)):
+    for part in (empty, row_issues, repeated, config_issues(rows.sparkSession, cfg)):
         out = out.unionByName(part)
-    return out
+    if cfg.max_decode_failures is None:
+        return out
+    failures = joined.filter(~F.col("no_video") & F.col("file_found") & F.col("decode_error").isNotNull())
+    return mark_after_stop(out, failures.select("line"), cfg.max_decode_failures)
+
+
+def mark_after_stop(issues: DataFrame, failures: DataFrame, limit: int) -> DataFrame:
+    """Add `after_stop` to issues, and the stop itself, given the lines that failed to decode."""
+    counted = running_sums(failures, [], ["line"], {"_k": F.lit(1).cast("bigint")})
+    stop = counted.filter(F.col("_k") == limit).select(F.col("line").alias("_stop"))  # one row or none
+    stopped = stop.select(issue("TOO_MANY_DECODE_FAILURES").alias("_i")).select("_i.*")
+    return (
+        issues.unionByName(stopped.select(*ISSUE_COLUMNS))
+        .join(F.broadcast(stop), F.col("line") > F.col("_stop"), "left")
+        .withColumn("after_stop", F.col("_stop").isNotNull())
+        .drop("_stop")
+    )
 
 
 def config_issues(spark, cfg: LintConfig) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwarden.functions.numbers import fixed_text, percent_text
+from clipwarden.functions.text import at_most
 from clipwarden.spec import KEEP_KEYWORDS, REJECT_KEYWORDS, SampleThresholds
 
 
@@ -142,15 +143,15 @@ def recommendation_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def report_columns(df: DataFrame) -> DataFrame:
-    """The report's text form: two decimals for scores, four for ratios, empty for missing."""
+def report_columns(df: DataFrame, title_limit: int | None = None) -> DataFrame:
+    """The report's text form: two decimals for scores, four for ratios, empty for missing; titles are whole by default."""
 
     def text(name: str, digits: int) -> Column:
         return F.coalesce(fixed_text(F.col(name), digits), F.lit("")).alias(name)
 
     return df.select(
         "url",
-        F.substring(F.coalesce(F.col("title"), F.lit("")), 1, 120).alias("title"),
+        at_most(F.coalesce(F.col("title"), F.lit("")), title_limit).alias("title"),
         "duration", "fps", "width", "height",
         text("metadata_score", 2),
         "metadata_reason",

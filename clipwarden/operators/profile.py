@@ -109,21 +109,10 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return counted.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
-def cue_lists(
-    df: DataFrame, url: str, start: str, per_line: int = 10_000, partitions: int | None = None
-) -> DataFrame:
-    """Ordered timestamps per url as one text; very long lists go on in further parts, none is cut."""
-    ranked = rank_within(df.select(url, start), [url], [start], "_rank", partitions)
-    part = F.floor((F.col("_rank") - 1) / F.lit(per_line))
-    return (
-        ranked.groupBy(url, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(start).alias("at")))).alias("_l"))
-        .select(
-            url,
-            "part",
-            F.array_join(F.transform("_l", lambda r: cue_text(r["at"])), ", ").alias("cues"),
-        )
-    )
+def cue_lists(df: DataFrame, url: str, start: str, partitions: int | None = None) -> DataFrame:
+    """One row per timestamp: url, its position in the url's ascending list, and its text."""
+    ranked = rank_within(df.select(url, start), [url], [start], "position", partitions)
+    return ranked.select(url, "position", cue_text(F.col(start)).alias("cue"))
 
 
 def storage_totals(files: DataFrame) -> DataFrame:

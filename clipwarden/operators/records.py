@@ -62,7 +62,7 @@ def rewrite_counts(rewritten: DataFrame) -> DataFrame:
     )
 
 
-def apply_captions(rows: DataFrame, captions: DataFrame, limit: int = 300) -> DataFrame:
+def apply_captions(rows: DataFrame, captions: DataFrame, limit: int | None = None) -> DataFrame:
     """Take over landed captions (`id, caption`); an empty or missing one leaves the prompt alone."""
     joined = rows.join(captions.select("id", F.col("caption").alias("_c")), "id", "left")
     return joined.withColumn("prompt", text.caption_or(F.col("_c"), F.col("prompt"), limit)).select(*rows.columns)

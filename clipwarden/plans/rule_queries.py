@@ -90,7 +90,7 @@ def written_manifest(spark, d):
     path = scratch_path(spark, "manifest")
     lines = manifest_lines(spark, d)
     # sorted by range, so that the line numbers follow doc_id across the part files
-    lines.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    lines.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
     return path
 
 
@@ -103,11 +103,9 @@ def manifest_issues(spark, d, cfg=LintConfig()):
     )
 
 
-def _lint_sql(limit: int) -> str:
-    return f"""WITH {_LINES}, cutline AS (SELECT CASE WHEN count(*) >= {limit} THEN max(line) END AS cut FROM (
-      SELECT line FROM rowz JOIN stat ON rowz.path = stat.path WHERE rowz.video <> '' AND found AND decode_error IS NOT NULL ORDER BY line LIMIT {limit})),
-    seen AS (SELECT r.line, r.id, r.video, r.prompt, r.path, r.sample_id, s.decode_error, s.frames, s.width, s.height, s.fps, s.dup, coalesce(s.found, false) AS file_found,
-      coalesce(trim(r.video), '') <> '' AS hv FROM rowz r LEFT JOIN (SELECT * FROM stat WHERE found) s ON r.path = s.path, cutline WHERE cut IS NULL OR r.line <= cut),
+def _lint_sql() -> str:
+    return f"""WITH {_LINES}, seen AS (SELECT r.line, r.id, r.video, r.prompt, r.path, r.sample_id, s.decode_error, s.frames, s.width, s.height, s.fps, s.dup,
+      coalesce(s.found, false) AS file_found, coalesce(trim(r.video), '') <> '' AS hv FROM rowz r LEFT JOIN (SELECT * FROM stat WHERE found) s ON r.path = s.path),
     ok AS (SELECT *, abs(width::DOUBLE / height - 1280e0 / 704e0) AS aspect FROM seen WHERE hv AND file_found AND decode_error IS NULL AND frames > 0)
     SELECT 'ERROR' AS severity, 'MANIFEST_BAD_JSON' AS code, line, NULL AS sample_id, '{{bad' AS value FROM raw WHERE kind = 'bad'
     UNION ALL SELECT 'ERROR', 'MANIFEST_ROW_NOT_OBJECT', line, NULL, NULL FROM raw WHERE kind = 'list'
@@ -118,7 +116,6 @@ def _lint_sql(limit: int) -> str:
     UNION ALL SELECT 'WARN', 'UNUSUAL_VIDEO_EXTENSION', line, sample_id, NULL FROM seen WHERE hv AND path LIKE '%.gif'
     UNION ALL SELECT 'ERROR', 'VIDEO_NOT_FOUND', line, sample_id, NULL FROM seen WHERE hv AND NOT file_found
     UNION ALL SELECT 'ERROR', 'VIDEO_DECODE_FAILED', line, sample_id, decode_error FROM seen WHERE hv AND file_found AND decode_error IS NOT NULL
-    UNION ALL SELECT 'ERROR', 'TOO_MANY_DECODE_FAILURES', NULL, NULL, NULL FROM cutline WHERE cut IS NOT NULL
     UNION ALL SELECT 'ERROR', 'VIDEO_EMPTY', line, sample_id, NULL FROM seen WHERE hv AND file_found AND decode_error IS NULL AND frames = 0
     UNION ALL SELECT 'WARN', 'WIDTH_MISMATCH', line, sample_id, width::VARCHAR FROM ok WHERE width <> 1280
     UNION ALL SELECT 'WARN', 'HEIGHT_MISMATCH', line, sample_id, height::VARCHAR FROM ok WHERE height <> 704
@@ -137,35 +134,41 @@ def _lint_sql(limit: int) -> str:
 _RISKY = {"train_batch_size": 2, "num_workers": 4, "pin_memory": True}
 
 
-@query("R03_lint_manifest", _lint_sql(1_000_000))
+@query("R03_lint_manifest", _lint_sql())
 def r03(spark, d):
-    issues = manifest_issues(spark, d, LintConfig(max_decode_failures=1_000_000, **_RISKY))
+    issues = manifest_issues(spark, d, LintConfig(**_RISKY))
     return issues.select("severity", "code", "line", "sample_id", "value")
 
 
-@query("R03_lint_early_stop", _lint_sql(5))
+@query(
+    "R03_lint_early_stop",
+    f"""WITH {_LINES}, stop AS (SELECT line AS at FROM (SELECT line, row_number() OVER (ORDER BY line) AS k
+      FROM rowz JOIN stat ON rowz.path = stat.path WHERE rowz.video <> '' AND found AND decode_error IS NOT NULL) WHERE k = 5)
+    SELECT i.*, coalesce(i.line > stop.at, false) AS after_stop FROM ({_lint_sql()}) i LEFT JOIN stop ON true
+    UNION ALL SELECT 'ERROR', 'TOO_MANY_DECODE_FAILURES', NULL, NULL, NULL, false FROM stop""",
+)
 def r03b(spark, d):
     return manifest_issues(spark, d, LintConfig(max_decode_failures=5, **_RISKY)).select(
-        "severity", "code", "line", "sample_id", "value"
+        "severity", "code", "line", "sample_id", "value", "after_stop"
     )
 
 
 @query(
     "R04_training_gate",
     f"""SELECT count(*) FILTER (severity = 'ERROR') AS error_count, count(*) FILTER (severity = 'WARN') AS warning_count,
-    count(*) FILTER (severity = 'ERROR') = 0 AS ok_to_train FROM ({_lint_sql(1_000_000)})""",
+    count(*) FILTER (severity = 'ERROR') = 0 AS ok_to_train FROM ({_lint_sql()})""",
 )
 def r04(spark, d):
-    return lint.training_gate(manifest_issues(spark, d, LintConfig(max_decode_failures=1_000_000, **_RISKY)))
+    return lint.training_gate(manifest_issues(spark, d, LintConfig(**_RISKY)))
 
 
 @query(
     "A03_issue_counts",
-    f"""SELECT severity, code, count(*) AS n FROM ({_lint_sql(1_000_000)}) GROUP BY severity, code
-    UNION ALL SELECT severity, NULL, count(*) FROM ({_lint_sql(1_000_000)}) GROUP BY severity""",
+    f"""SELECT severity, code, count(*) AS n FROM ({_lint_sql()}) GROUP BY severity, code
+    UNION ALL SELECT severity, NULL, count(*) FROM ({_lint_sql()}) GROUP BY severity""",
 )
 def a03(spark, d):
-    return lint.issue_counts(manifest_issues(spark, d, LintConfig(max_decode_failures=1_000_000, **_RISKY)))
+    return lint.issue_counts(manifest_issues(spark, d, LintConfig(**_RISKY)))
 
 
 @query(

@@ -202,7 +202,7 @@ def p09(spark, d):
 @query(
     "P10_clean_id",
     r"""WITH s AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 10 = 1 THEN '__' ELSE text END AS t,
-      'sample_' || lpad(doc_id::VARCHAR, 6, '0') AS fb FROM documents)
+      'sample_' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INT, '0') AS fb FROM documents)
     SELECT doc_id, coalesce(nullif(trim(regexp_replace(coalesce(nullif(t, ''), fb), '[^\p{L}\p{N}_.\-]', '_', 'g'), '_'), ''), fb) AS sample_id FROM s""",
 )
 def p10(spark, d):
@@ -288,7 +288,7 @@ def p16(spark, d):
 @query(
     "P17_caption_or_prompt",
     f"""WITH s AS (SELECT doc_id, source, CASE WHEN doc_id % 4 = 0 THEN '  ' ELSE '  ' || text || ' ' END AS t FROM documents)
-    SELECT doc_id, coalesce(nullif(substring(regexp_replace(regexp_replace(t, '^{WS}+', ''), '{WS}+$', ''), 1, 300), ''), source) AS prompt FROM s""",
+    SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(t, '^{WS}+', ''), '{WS}+$', ''), ''), source) AS prompt FROM s""",
 )
 def p17(spark, d):
     new = F.when(c("doc_id") % 4 == 0, "  ").otherwise(F.concat(F.lit("  "), c("text"), F.lit(" ")))

@@ -59,7 +59,7 @@ def _sound_lines(spark, d, first="video"):
 
 def _write_text(spark, lines, name):
     path = scratch_path(spark, name)
-    lines.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    lines.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
     return path
 
 
@@ -100,7 +100,7 @@ _QUALITY = ["path", "source_width", "source_frames", "source_fps", "duplicate_fr
 
 def _quality_csv(spark, d, keep):
     path = scratch_path(spark, "quality_report")
-    rows = b.graded(spark, d).filter(keep).repartitionByRange(4, *b.ROW_ORDER).sortWithinPartitions(*b.ROW_ORDER)
+    rows = b.graded(spark, d).filter(keep).repartitionByRange(*b.ROW_ORDER).sortWithinPartitions(*b.ROW_ORDER)
     writers.write_quality_csv(_report_rows(rows), path)
     return path
 
@@ -133,7 +133,8 @@ def s07(spark, d):
     "S08_quality_batches",
     _LATEST.format(
         o="batch DESC, " + _DESC,
-        f="SELECT *, 0 AS batch FROM graded WHERE l_suppkey % 2 = 0 UNION ALL SELECT *, 2 FROM graded WHERE l_suppkey % 3 = 0",
+        f="SELECT *, 0 AS batch FROM graded WHERE l_suppkey % 2 = 0 UNION ALL SELECT *, 2 FROM graded WHERE l_suppkey % 3 = 0"
+        " UNION ALL SELECT *, 3 FROM graded WHERE l_suppkey % 6 IN (1, 5)",
     )
     + " SELECT clip_id AS name, source_frames, duplicate_frame_ratio, grade FROM r WHERE rn = 1",
 )
@@ -142,6 +143,7 @@ def s08(spark, d):
         _quality_csv(spark, d, c("l_suppkey") % 2 == 0),
         scratch_path(spark, "absent"),
         _quality_csv(spark, d, c("l_suppkey") % 3 == 0),
+        _quality_csv(spark, d, (c("l_suppkey") % 6).isin(1, 5)),
     ]
     return tables.read_quality_batches(spark, batches).select("name", "source_frames", "duplicate_frame_ratio", "grade")
 
@@ -271,15 +273,16 @@ def s14(spark, d):
 
 @query(
     "S15_source_documents",
-    f"""WITH {_INFO}, last AS (SELECT max(doc_id) AS doc_id FROM info GROUP BY doc_id % 8)
+    f"""WITH {_INFO}, last AS (SELECT max(doc_id) AS doc_id FROM info GROUP BY doc_id // 20)
     SELECT url, duration, width::INTEGER AS width, height::INTEGER AS height, fps, error FROM info JOIN last USING (doc_id)""",
 )
 def s15(spark, d):
     path = scratch_path(spark, "dumps")
     infos = source_infos(spark, d).withColumn("n", F.regexp_extract("url", r"(\d+)$", 1).cast("bigint"))
     body = F.to_json(F.struct("url", "title", "description", "duration", "width", "height", "fps", "error"))
-    rows = infos.select((c("n") % 8).alias("part"), "n", F.concat(body, F.lit("\n  ")).alias("value"))
-    rows.repartition(8, "part").sortWithinPartitions("part", "n").select("part", "value").write.partitionBy("part").text(path)
+    # a dump of every twenty documents, one file each: their number grows with the table
+    rows = infos.select(F.floor(c("n") / 20).alias("dump"), "n", F.concat(body, F.lit("\n  ")).alias("value"))
+    rows.repartition("dump").sortWithinPartitions("dump", "n").select("dump", "value").write.partitionBy("dump").text(path)
     dumps = documents.read_source_dumps(spark, path)
     return dumps.select("url", "duration", "width", "height", "fps", "error")
 
@@ -296,7 +299,7 @@ def s16(spark, d):
 
 _UP = r"""WITH s AS (SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE 'https://h.org/v' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.MOV?x=1' ELSE '' END END AS link,
       CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN '  ' ELSE source END AS txt, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 'a b/' || doc_id END AS raw FROM documents),
-    k AS (SELECT *, CASE WHEN raw IS NULL THEN 'sample_' || lpad(doc_id::VARCHAR, 6, '0') ELSE 'a_b_' || doc_id END AS id FROM s)"""
+    k AS (SELECT *, CASE WHEN raw IS NULL THEN 'sample_' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INT, '0') ELSE 'a_b_' || doc_id END AS id FROM s)"""
 
 
 def _upstream(spark, d):
@@ -406,11 +409,11 @@ def k06(spark, d):
 
 @query(
     "K07_diagnostics",
-    f"SELECT severity, code, line, sample_id, value FROM ({_lint_sql(1_000_000)})",
+    f"SELECT severity, code, line, sample_id, value FROM ({_lint_sql()})",
 )
 def k07(spark, d):
     path = scratch_path(spark, "diagnostics")
-    issues = manifest_issues(spark, d, LintConfig(max_decode_failures=1_000_000, **_RISKY))
+    issues = manifest_issues(spark, d, LintConfig(**_RISKY))
     inventory = media_stats(spark, d).select(
         F.lit(1).alias("line"), F.lit("x").alias("id"), c("path").alias("video"), "width", "height", "frames", "fps",
         F.lit(0.0).alias("file_size_mb"), "duplicate_frame_ratio", F.lit(0.0).alias("aspect_error"),
@@ -489,7 +492,7 @@ def k10(spark, d):
 @query(
     "K11_cue_list_lines",
     f"""WITH {b.RECORDS_SQL}, s AS (SELECT source_video_url AS url, clip_start_sec, CAST(round_even(clip_start_sec, 0) AS BIGINT) AS x FROM records)
-    SELECT url || ' | ' || string_agg(CASE WHEN x < 60 THEN x::VARCHAR ELSE printf('%d:%02d', x // 60, x % 60) END, ', ' ORDER BY clip_start_sec) AS value FROM s GROUP BY url""",
+    SELECT url || ' | ' || CASE WHEN x < 60 THEN x::VARCHAR ELSE printf('%d:%02d', x // 60, x % 60) END AS value FROM s""",
 )
 def k11(spark, d):
     path = scratch_path(spark, "urls")

@@ -15,18 +15,23 @@ c = F.col
 ROW = ", ".join(b.ROW_ORDER)
 
 
-def _landed(spark, df, name, parts=3):
-    """Write `df` as the files of a stream; returns its path and the stream."""
-    path = scratch_path(spark, name)
-    df.repartition(parts).write.parquet(path)
-    return streams.file_stream(spark, path, df.schema, max_files=2)
+def _streamed(spark, name, parts, build, partition_by=()):
+    """Land `parts` one after the other and run the stream after each: state is carried from run to run.
+
+    The files keep the natural partitions of the data. Results go into batch folders, which are read back.
+    """
+    path, out, state = (scratch_path(spark, f"{name}_{k}") for k in ("in", "out", "checkpoint"))
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        stream = build(streams.file_stream(spark, path, parts[0].schema))
+        streams.run_available(streams.to_batches(stream, out, list(partition_by)), state)
+    return spark.read.parquet(out).drop("batch_id")
 
 
-def _result(spark, stream, name, partition_by=()):
-    """Run a stream to its end into batch folders and read them back."""
-    out, state = scratch_path(spark, name), scratch_path(spark, "checkpoint")
-    streams.run_available(streams.to_batches(stream, out, list(partition_by)), state)
-    return spark.read.parquet(out).drop("batch_id")
+def _halves(df, key):
+    """`df` in two parts by a hash of `key`."""
+    odd = F.pmod(F.xxhash64(key), F.lit(2)) == 1
+    return [df.filter(odd), df.filter(~odd)]
 
 
 @query(
@@ -34,13 +39,14 @@ def _result(spark, stream, name, partition_by=()):
     f"WITH {b.GRADED_SQL} SELECT {ROW}, reason, CASE WHEN grade = 'FAIL' THEN 'quarantine' ELSE lower(grade) END AS route FROM graded",
 )
 def g01(spark, d):
-    arriving = _landed(spark, score_clips(b.clips(spark, d)), "quality")
-    routed = streams.graded_stream(arriving).select(*b.ROW_ORDER, "reason", "route")
-    return _result(spark, routed, "routed", ["route"])
+    def build(arriving):
+        return streams.graded_stream(arriving).select(*b.ROW_ORDER, "reason", "route")
+
+    return _streamed(spark, "graded", _halves(score_clips(b.clips(spark, d)), "l_orderkey"), build, ["route"])
 
 
 def _events_with_end(spark, d):
-    """Events plus one late marker that moves the watermark past all of them."""
+    """Events, and after them one late marker that moves the watermark past all of them."""
     # watermarks need an instant; built from the epoch, it does not depend on the session's zone
     ts = F.timestamp_micros(b.epoch_micros("ts")).alias("ts")
     ev = b.table(spark, d, "events").select("event_id", ts, c("event_type"), "user_id", "value")
@@ -48,9 +54,7 @@ def _events_with_end(spark, d):
         F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit("end").alias("event_type"),
         F.lit(-1).cast("bigint").alias("user_id"), F.lit(0.0).alias("value"),
     )
-    path = scratch_path(spark, "events")
-    ev.unionByName(end).coalesce(1).write.parquet(path)
-    return streams.file_stream(spark, path, ev.schema)
+    return [ev, end]
 
 
 @query(
@@ -59,8 +63,10 @@ def _events_with_end(spark, d):
     min(value) AS min, max(value) AS max FROM events GROUP BY ALL""",
 )
 def g02(spark, d):
-    summary = streams.rolling_summary(_events_with_end(spark, d), "ts", ["event_type"], "value", "6 hours")
-    t = _result(spark, summary, "summary").filter("event_type <> 'end'")
+    def build(arriving):
+        return streams.rolling_summary(arriving, "ts", ["event_type"], "value", "6 hours")
+
+    t = _streamed(spark, "summary", _events_with_end(spark, d), build).filter("event_type <> 'end'")
     return t.select(
         F.unix_micros("window_start").alias("window_us"), "event_type", "n", F.round("mean", 6).alias("mean"), "min", "max"
     )
@@ -71,9 +77,11 @@ def g02(spark, d):
     "SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_custkey % 3 = 0)",
 )
 def g03(spark, d):
-    arriving = _landed(spark, b.table(spark, d, "lineitem").select(c("l_orderkey").alias("id")), "ids")
+    ids = b.table(spark, d, "lineitem").select(c("l_orderkey").alias("id"), "l_linenumber")
     history = b.table(spark, d, "orders").filter(c("o_custkey") % 3 == 0).select(c("o_orderkey").alias("id"))
-    return _result(spark, streams.new_rows(arriving, "id", history), "new")
+    # most ids arrive in both runs: the second one meets the memory of the first
+    parts = [ids.filter("l_linenumber % 2 = 1").select("id"), ids.filter("l_linenumber % 2 = 0").select("id")]
+    return _streamed(spark, "new", parts, lambda arriving: streams.new_rows(arriving, "id", history))
 
 
 @query(
@@ -90,14 +98,14 @@ def g03(spark, d):
       FROM e JOIN n ON n.run = e.run AND n.rn = e.rn + 1) SELECT run, step, round(ema, 9) AS loss_ema, status FROM e""",
 )
 def g04(spark, d):
-    # steps of a run arrive in order: one file holds early steps of all runs, the next the later ones
+    # steps of a run arrive in order: early steps of all runs first, then the later ones
     rows = b.runlog(spark, d).select("run", "step", "loss")
-    path = scratch_path(spark, "log")
-    rows.filter("step < 3").coalesce(1).write.parquet(path)
-    rows.filter("step >= 3").coalesce(1).write.mode("append").parquet(path)
-    arriving = streams.file_stream(spark, path, rows.schema, max_files=1)
-    watched = streams.run_monitor(arriving, "run", "step", "loss", 0.9, 1, 0.05, 2)
-    t = _result(spark, watched, "watched")
+    parts = [rows.filter("step < 2"), rows.filter("step >= 2 AND step < 4"), rows.filter("step >= 4")]
+
+    def build(arriving):
+        return streams.run_monitor(arriving, "run", "step", "loss", 0.9, 1, 0.05, 2)
+
+    t = _streamed(spark, "watched", parts, build)
     return t.select("run", "step", F.round("loss_ema", 9).alias("loss_ema"), "status")
 
 
@@ -107,12 +115,17 @@ def g04(spark, d):
       AND abs(y.start - x.start) < 3600e0) AS overlaps FROM starts x""",
 )
 def g05(spark, d):
-    # arrival is the event id, so files come in that order
-    path = scratch_path(spark, "starts")
+    # arrival is the event id, so a third of the range of ids comes at a time
     rows = b.starts(spark, d).select("event_id", "key", "start")
-    rows.repartitionByRange(3, "event_id").sortWithinPartitions("event_id").write.parquet(path)
-    arriving = streams.file_stream(spark, path, rows.schema)
-    return _result(spark, streams.overlap_monitor(arriving, "key", "start", "event_id", 3600.0), "judged")
+    ends = rows.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
+    step = ((ends.high or 0) - (ends.low or 0)) // 3 + 1
+    third = F.floor((c("event_id") - (ends.low or 0)) / step)
+    parts = [rows.filter(third == i) for i in range(3)]
+
+    def build(arriving):
+        return streams.overlap_monitor(arriving, "key", "start", "event_id", 3600.0)
+
+    return _streamed(spark, "judged", parts, build)
 
 
 @query(
@@ -122,8 +135,10 @@ def g05(spark, d):
     SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 7200000000 AS end_us, count(*) AS n FROM s GROUP BY user_id, sess""",
 )
 def g06(spark, d):
-    sessions = streams.activity_sessions(_events_with_end(spark, d), "user_id", "ts", "2 hours")
-    t = _result(spark, sessions, "sessions").filter("user_id >= 0")
+    def build(arriving):
+        return streams.activity_sessions(arriving, "user_id", "ts", "2 hours")
+
+    t = _streamed(spark, "sessions", _events_with_end(spark, d), build).filter("user_id >= 0")
     return t.select("user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n")
 
 
@@ -140,5 +155,7 @@ def g06(spark, d):
 )
 def g07(spark, d):
     lines = manifest_lines(spark, d).select((c("doc_id") + 1).alias("no"), "value")
-    found = streams.linted_stream(_landed(spark, lines, "lines"), "/data", c("no"))
-    return _result(spark, found.select("code", "line", "sample_id"), "issues")
+    def build(arriving):
+        return streams.linted_stream(arriving, "/data", c("no")).select("code", "line", "sample_id")
+
+    return _streamed(spark, "issues", _halves(lines, "no"), build)

@@ -148,7 +148,7 @@ def a11(spark, d):
 @query(
     "A12_cue_lists",
     f"""WITH {b.RECORDS_SQL}, s AS (SELECT source_video_url AS url, clip_start_sec, CAST(round_even(clip_start_sec, 0) AS BIGINT) AS x FROM records)
-    SELECT url AS source_video_url, 0::BIGINT AS part, string_agg(CASE WHEN x < 60 THEN x::VARCHAR ELSE printf('%d:%02d', x // 60, x % 60) END, ', ' ORDER BY clip_start_sec) AS cues FROM s GROUP BY url""",
+    SELECT url AS source_video_url, row_number() OVER (PARTITION BY url ORDER BY clip_start_sec) AS position, CASE WHEN x < 60 THEN x::VARCHAR ELSE printf('%d:%02d', x // 60, x % 60) END AS cue FROM s""",
 )
 def a12(spark, d):
     return profile.cue_lists(b.records(spark, d), "source_video_url", "clip_start_sec")

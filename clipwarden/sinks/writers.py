@@ -137,8 +137,9 @@ def write_decisions(decided: DataFrame, path: str) -> None:
 
 
 def write_cue_lists(lists: DataFrame, path: str, url: str) -> None:
-    """`url | ts, ts, ...` lines."""
-    lists.select(F.concat(F.col(url), F.lit(" | "), F.col("cues")).alias("value")).write.mode("overwrite").text(path)
+    """`url | ts` lines, by url and position."""
+    ordered = lists.repartitionByRange(url, "position").sortWithinPartitions(url, "position")
+    ordered.select(F.concat(F.col(url), F.lit(" | "), F.col("cue")).alias("value")).write.mode("overwrite").text(path)
 
 
 def append_log(rows: DataFrame, path: str, fmt: str = "json", fields: list[str] | None = None) -> None:

@@ -49,10 +49,10 @@ def read_search_results(spark: SparkSession, path: str) -> DataFrame:
     return pages.select(F.explode("videos").alias("v")).select("v.id", "v.url", "v.video_files")
 
 
-def read_source_dumps(spark: SparkSession, path: str) -> DataFrame:
+def read_source_dumps(spark: SparkSession, path: str, title_limit: int | None = None) -> DataFrame:
     """Source metadata from dump files: the last non-blank line of each file is the document.
 
-    An unparsable document yields `error = json_parse_failed`. Titles are cut to 120 characters.
+    An unparsable document yields `error = json_parse_failed`. Titles are whole unless `title_limit` is given.
     """
     lines = numbered_lines(spark, path).filter(text.strip(F.col("raw")) != "")
     last = lines.groupBy("file").agg(F.max_by("raw", "line").alias("raw"))
@@ -61,7 +61,7 @@ def read_source_dumps(spark: SparkSession, path: str) -> DataFrame:
     return last.withColumns({"_d": doc, "_bad": bad}).select(
         "file",
         "_d.url",
-        F.substring(F.coalesce("_d.title", F.lit("")), 1, 120).alias("title"),
+        text.at_most(F.coalesce("_d.title", F.lit("")), title_limit).alias("title"),
         "_d.description",
         F.coalesce("_d.duration", F.lit(0.0)).alias("duration"),
         "_d.width",

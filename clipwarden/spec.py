@@ -192,4 +192,5 @@ class LintConfig:
     train_batch_size: int = 1
     num_workers: int = 0
     pin_memory: bool = False
-    max_decode_failures: int = 25
+    #: Decode failures after which issues are marked `after_stop`; None marks nothing.
+    max_decode_failures: int | None = None

@@ -238,11 +238,24 @@ def test_modes_smallest_wins(spark):
     assert (r["distinct_values"], r["mode_value"]) == (3, 1.0)
 
 
-def test_cue_lists_split_long_lines(spark):
+def test_cue_lists_are_rows(spark):
     df = spark.range(25).select(F.lit("u").alias("url"), F.col("id").cast("double").alias("s"))
-    parts = profile.cue_lists(df, "url", "s", per_line=10, partitions=3).orderBy("part").collect()
-    assert ", ".join(p["cues"] for p in parts) == ", ".join(str(i) for i in range(25))
-    assert [p["part"] for p in parts] == [0, 1, 2]
+    cues = profile.cue_lists(df, "url", "s", partitions=3).orderBy("position").collect()
+    assert [(r["position"], r["cue"]) for r in cues] == [(i + 1, str(i)) for i in range(25)]
+
+
+def test_late_decode_failures_are_marked_not_dropped(spark):
+    from clipwarden.operators import lint
+
+    issues = spark.createDataFrame([("ERROR", "VIDEO_DECODE_FAILED", i) for i in range(40)], "severity string, code string, line bigint")
+    full = issues.select(*[F.col(n) if n in issues.columns else F.lit(None).cast("string").alias(n) for n in lint.ISSUE_COLUMNS])
+    got = lint.mark_after_stop(full, issues.select("line"), 30).collect()
+    assert len(got) == 41 and sum(r["after_stop"] for r in got) == 10
+    assert len(lint.mark_after_stop(full, issues.select("line"), 41).collect()) == 40
+
+
+def test_ids_beyond_the_padding_are_whole(spark):
+    assert spark.range(1).select(paths.sample_fallback(F.lit(1_234_567)).alias("v")).first()["v"] == "sample_1234567"
 
 
 ONE = "clip_id string, source_video_id string, clip_start_sec double, source_frames int, dup_ratio double"
