@@ -35,7 +35,7 @@ def grade_column(limits: GradeThresholds = GradeThresholds()) -> Column:
     for hit in _fail_rules(limits).values():
         failed = failed | F.coalesce(hit, F.lit(False))
     strong = (
-        (c("conformance_score") >= 0.90)
+        _above(c("conformance_score") >= 0.90, c("conformance_score"))
         & (c("duplicate_frame_ratio") < 0.03)
         & (c("timelapse_score") < 0.3)
         & (clipping < 0.08)
@@ -43,15 +43,21 @@ def grade_column(limits: GradeThresholds = GradeThresholds()) -> Column:
     return F.when(failed, "FAIL").when(strong, "PASS").otherwise("REVIEW")
 
 
+def _above(hit: Column, value: Column) -> Column:
+    """A comparison that NaN fails, though it sorts above all numbers."""
+    return hit & ~F.isnan(value.cast("double"))
+
+
 def _fail_rules(limits: GradeThresholds) -> dict[str, Column]:
     """Conditions that fail a clip, in reporting order."""
     c = F.col
+    clipping = c("black_pixel_ratio") + c("white_pixel_ratio")
     return {
         "scene_cuts": c("scene_cut_count") > limits.scene_cut_max,
-        "duplicates": c("duplicate_frame_ratio") > limits.dup_ratio,
-        "timelapse": c("timelapse_score") > limits.timelapse_score,
+        "duplicates": _above(c("duplicate_frame_ratio") > limits.dup_ratio, c("duplicate_frame_ratio")),
+        "timelapse": _above(c("timelapse_score") > limits.timelapse_score, c("timelapse_score")),
         "static_mean_delta": c("temporal_diff_mean") < 0.005,
-        "clipping": c("black_pixel_ratio") + c("white_pixel_ratio") > limits.clipping_ratio,
+        "clipping": _above(clipping > limits.clipping_ratio, clipping),
         "conformance": c("conformance_score") < limits.min_conformance,
     }
 

@@ -186,11 +186,12 @@ def map_ids(df: DataFrame, id_map: DataFrame, column: str = "clip_id") -> DataFr
     )
 
 
-def with_files(df: DataFrame, files: DataFrame, uri: str, how: str = "left") -> DataFrame:
-    """Join rows to a file listing (`name`, `size_mb`) on the base name of `uri`."""
-    from clipwarden.functions.paths import basename
+def with_files(df: DataFrame, files: DataFrame, uri: str, how: str = "left", base: str = "/") -> DataFrame:
+    """Join rows to a file listing (`path`, `size_mb`) by the resolved path of `uri`; each path counts once."""
+    from clipwarden.functions.paths import resolve_path
 
-    keyed = df.withColumn("name", basename(F.col(uri)))
+    there = files.groupBy(resolve_path(F.col("path"), base).alias("_path")).agg(F.max("size_mb").alias("size_mb"))
+    keyed = df.withColumn("_path", resolve_path(F.col(uri), base))
     if how in ("left_anti", "left_semi"):
-        return keyed.join(files.select("name"), "name", how).drop("name")
-    return keyed.join(files, "name", how)
+        there = there.select("_path")
+    return keyed.join(there, "_path", how).drop("_path")

@@ -38,10 +38,11 @@ def build_records(rows: DataFrame, spec: TargetSpec = TargetSpec(), strict: bool
     ).select(*CLIP_COLUMNS)
 
 
-def usable_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows with an id whose video is among the listed files (`name`)."""
-    named = rows.filter(F.coalesce("id", F.lit("")) != "").withColumn("name", paths.basename(F.col("video")))
-    return named.join(files.select("name"), "name", "left_semi").drop("name")
+def usable_rows(rows: DataFrame, files: DataFrame, base: str = "/") -> DataFrame:
+    """Rows with an id whose video, resolved against `base`, is among the listed files (`path`)."""
+    named = rows.filter(F.coalesce("id", F.lit("")) != "").withColumn("_path", paths.resolve_path(F.col("video"), base))
+    there = files.select(paths.resolve_path(F.col("path"), base).alias("_path"))
+    return named.join(there, "_path", "left_semi").drop("_path")
 
 
 def rewrite_paths(rows: DataFrame, dataset_dir: str) -> DataFrame:

@@ -7,15 +7,26 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.functions.paths import basename
+from clipwarden.functions.paths import resolve_path
 from clipwarden.spec import CLIP_COLUMNS, SPEC_DURATION_SEC, TargetSpec
 
 
 def schema_check(df: DataFrame, required: list[str] = CLIP_COLUMNS) -> DataFrame:
-    """One row per missing or extra column."""
-    missing = [("missing", c) for c in required if c not in df.columns]
-    extra = [("extra", c) for c in df.columns if c not in required]
-    return df.sparkSession.createDataFrame(missing + extra, "kind string, column string")
+    """One row per required or further column: whether it is there, of all rows how many have a value."""
+    kinds = [(c, "present" if c in df.columns else "missing") for c in required]
+    kinds += [(c, "extra") for c in df.columns if c not in required]
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(f"`{c}`").alias(f"_n{i}") for i, (c, kind) in enumerate(kinds) if kind != "missing"],
+    )
+    found = [
+        F.struct(
+            F.lit(kind).alias("kind"), F.lit(c).alias("column"),
+            (F.lit(0).cast("bigint") if kind == "missing" else F.col(f"_n{i}")).alias("non_null"), "rows",
+        )
+        for i, (c, kind) in enumerate(kinds)
+    ]
+    return counted.select(F.inline(F.array(*found)))
 
 
 def spec_violations(df: DataFrame, spec: TargetSpec = TargetSpec()) -> DataFrame:
@@ -67,15 +78,14 @@ def file_count_check(df: DataFrame, files: DataFrame, name: str) -> DataFrame:
 
 
 def hash_check(
-    df: DataFrame, files: DataFrame, uri: str, expected: str, missing: str = "skip"
+    df: DataFrame, files: DataFrame, uri: str, expected: str, missing: str = "skip", base: str = "/"
 ) -> DataFrame:
-    """Compare recorded hashes with content hashes (`files`: name, sha256).
+    """Compare recorded hashes with content hashes (`files`: path, sha256) of the file at `base`/`uri`.
 
     A row without a file passes with `missing="skip"` and fails with `missing="fail"`.
     """
-    joined = df.withColumn("_name", basename(F.col(uri))).join(
-        files.select(F.col("name").alias("_name"), F.col("sha256").alias("_actual")), "_name", "left"
-    )
+    there = files.groupBy(resolve_path(F.col("path"), base).alias("_path")).agg(F.max("sha256").alias("_actual"))
+    joined = df.withColumn("_path", resolve_path(F.col(uri), base)).join(there, "_path", "left")
     gone = F.col("_actual").isNull()
     state = (
         F.when(gone, F.lit("missing"))
@@ -83,7 +93,7 @@ def hash_check(
         .otherwise("mismatch")
     )
     ok = F.when(gone, F.lit(missing == "skip")).otherwise(F.col("_actual") == F.col(expected))
-    return joined.withColumns({"hash_state": state, "hash_ok": ok}).drop("_name", "_actual")
+    return joined.withColumns({"hash_state": state, "hash_ok": ok}).drop("_path", "_actual")
 
 
 def hash_totals(checked: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from clipwarden.operators import compare, dedup, grade, joins, logs, merge, orde
 from clipwarden.operators import frames as fr
 from clipwarden.plans import bindings as b
 from clipwarden.plans.registry import query
-from clipwarden.plans.rule_queries import LATEST_SQL, clip_manifest, latest_quality, listed_files
+from clipwarden.plans.rule_queries import LATEST_SQL, clip_manifest, latest_quality, all_files
 from clipwarden.plans.scalar_queries import HASH_SQL
 
 c = F.col
@@ -164,12 +164,12 @@ def j10(spark, d):
     f"WITH {b.RECORDS_SQL} SELECT clip_id, CASE WHEN o_orderkey % 21 <> 0 THEN (o_orderkey % 100) / 8e0 END AS size_mb FROM records",
 )
 def j11(spark, d):
-    return joins.with_files(b.records(spark, d), listed_files(spark, d), "clip_uri").select("clip_id", "size_mb")
+    return joins.with_files(b.records(spark, d), all_files(spark, d), "clip_uri", base="/data").select("clip_id", "size_mb")
 
 
 @query("J11_rows_without_files", f"WITH {b.RECORDS_SQL} SELECT clip_id FROM records WHERE o_orderkey % 21 = 0")
 def j11b(spark, d):
-    return joins.with_files(b.records(spark, d), listed_files(spark, d), "clip_uri", "left_anti").select("clip_id")
+    return joins.with_files(b.records(spark, d), all_files(spark, d), "clip_uri", "left_anti", "/data").select("clip_id")
 
 
 # --- windows and folds over logs -------------------------------------------

@@ -347,8 +347,12 @@ def r08(spark, d):
 )
 def r09(spark, d):
     rows = b.prompts(spark, d).withColumn("id", F.when(c("doc_id") % 4 != 0, c("id")))
-    files = b.prompts(spark, d).filter(c("doc_id") % 3 != 0).select(paths.basename(c("video")).alias("name"))
-    return rec.usable_rows(rows, files).select("doc_id")
+    # every video also lies in another folder, where it does not count
+    here, other = (F.concat(F.lit(f), paths.basename(c("video"))) for f in ("/data/clips/", "/data/old/"))
+    files = b.prompts(spark, d).filter(c("doc_id") % 3 != 0).select(here.alias("path"))
+    files = files.unionByName(b.prompts(spark, d).select(other.alias("path")))
+    rows = rows.withColumn("video", F.concat(F.lit("./clips/"), paths.basename(c("video"))))
+    return rec.usable_rows(rows, files, "/data").select("doc_id")
 
 
 FILES_SQL = f"""filelist AS (SELECT {ROW}, [
@@ -407,9 +411,11 @@ _REQ = "[" + ", ".join(f"'{k}'" for k in CLIP_COLUMNS) + "]"
 
 @query(
     "R11_schema_check",
-    f"""WITH {b.RECORDS_SQL}, have AS (SELECT unnest(['o_orderkey', 'clip_id', 'fps', 'caption']) AS k), want AS (SELECT unnest({_REQ}) AS k)
-    SELECT 'missing' AS kind, k AS column FROM want WHERE k NOT IN (SELECT k FROM have)
-    UNION ALL SELECT 'extra', k FROM have WHERE k NOT IN (SELECT k FROM want)""",
+    f"""WITH {b.RECORDS_SQL}, want AS (SELECT unnest({_REQ}) AS k), n AS (SELECT count(*) AS rows, count(clip_id) AS clip_id, count(fps) AS fps,
+      count(caption) AS caption, count(o_orderkey) AS o_orderkey FROM records)
+    SELECT CASE WHEN k IN ('clip_id', 'fps', 'caption') THEN 'present' ELSE 'missing' END AS kind, k AS column,
+      CASE k WHEN 'clip_id' THEN clip_id WHEN 'fps' THEN fps WHEN 'caption' THEN caption ELSE 0 END AS non_null, rows FROM want, n
+    UNION ALL SELECT 'extra', 'o_orderkey', o_orderkey, rows FROM n""",
 )
 def r11(spark, d):
     return validate.schema_check(b.records(spark, d).select("o_orderkey", "clip_id", "fps", "caption"))
@@ -445,15 +451,27 @@ def u02(spark, d):
 
 
 def listed_files(spark, d):
-    """Recorded files, a few of them gone or with other content."""
+    """Recorded files below /data, a few of them gone or with other content."""
     n = c("o_orderkey")
     return b.records(spark, d).filter(n % 21 != 0).select(
-        paths.basename(c("clip_uri")).alias("name"),
+        F.concat(F.lit("/data//./"), c("clip_uri")).alias("path"),
         F.when(n % 31 == 0, F.sha2(F.lit("changed"), 256)).otherwise(c("clip_sha256")).alias("sha256"),
+        F.when(n % 13 == 0, F.sha2(F.lit("changed"), 256)).otherwise(c("first_frame_sha256")).alias("frame_sha256"),
+        "first_frame_uri",
         ((n % 100) / F.lit(8.0)).alias("size_mb"),
     )
 
 
+def all_files(spark, d):
+    """The recorded files, listed twice, and one of the same base name in another folder for every record."""
+    listed = listed_files(spark, d).select("path", "sha256", "size_mb")
+    other = b.records(spark, d).select(
+        F.concat(F.lit("/data/old/"), paths.basename(c("clip_uri"))).alias("path"), F.lit("other").alias("sha256"),
+        F.lit(99.0).alias("size_mb"),
+    )
+    return listed.unionByName(listed).unionByName(other)
+
+
 @query(
     "R14_file_counts",
     f"WITH {b.RECORDS_SQL} SELECT 'clips' AS kind, count(*) AS rows, count(*) FILTER (o_orderkey % 21 <> 0) AS files, false AS ok FROM records",
@@ -468,18 +486,31 @@ _HASH = """SELECT o_orderkey, CASE WHEN o_orderkey % 21 = 0 THEN 'missing' WHEN
 
 @query("R15_hash_check_skip", _HASH.format(m="true"))
 def r15(spark, d):
-    return validate.hash_check(b.records(spark, d), listed_files(spark, d), "clip_uri", "clip_sha256", "skip").select(
+    return validate.hash_check(b.records(spark, d), all_files(spark, d), "clip_uri", "clip_sha256", "skip", "/data").select(
         "o_orderkey", "hash_state", "hash_ok"
     )
 
 
 @query("R15_hash_check_fail", _HASH.format(m="false"))
 def r15b(spark, d):
-    return validate.hash_check(b.records(spark, d), listed_files(spark, d), "clip_uri", "clip_sha256", "fail").select(
+    return validate.hash_check(b.records(spark, d), all_files(spark, d), "clip_uri", "clip_sha256", "fail", "/data").select(
         "o_orderkey", "hash_state", "hash_ok"
     )
 
 
+@query(
+    "R15_frame_hash_check",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 21 = 0 THEN 'missing' WHEN o_orderkey % 13 = 0 THEN 'mismatch' ELSE 'match' END AS hash_state,
+    o_orderkey % 21 = 0 OR o_orderkey % 13 <> 0 AS hash_ok FROM orders""",
+)
+def r15d(spark, d):
+    frames = listed_files(spark, d).select(
+        F.concat(F.lit("/data/"), c("first_frame_uri")).alias("path"), c("frame_sha256").alias("sha256")
+    )
+    checked = validate.hash_check(b.records(spark, d), frames, "first_frame_uri", "first_frame_sha256", "skip", "/data")
+    return checked.select("o_orderkey", "hash_state", "hash_ok")
+
+
 @query(
     "R16_verdict",
     f"""WITH {b.RECORDS2_SQL}, h AS ({_HASH.format(m="true")}), checks AS (
@@ -494,8 +525,8 @@ def r15b(spark, d):
 )
 def r16(spark, d):
     rows, v2 = b.records(spark, d), b.records_v2(spark, d)
-    schema = validate.schema_check(rows.select(*CLIP_COLUMNS)).agg(F.count(F.lit(1)).alias("n"))
-    hashes = validate.hash_totals(validate.hash_check(rows, listed_files(spark, d), "clip_uri", "clip_sha256"))
+    schema = validate.schema_check(rows.select(*CLIP_COLUMNS)).agg(F.count_if(c("kind") != "present").alias("n"))
+    hashes = validate.hash_totals(validate.hash_check(rows, all_files(spark, d), "clip_uri", "clip_sha256", base="/data"))
     return validate.verdict(
         [
             validate.check_row(schema, "schema", "n = 0", "n"),

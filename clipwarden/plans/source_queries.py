@@ -204,7 +204,7 @@ def s10(spark, d):
     f"WITH {_FILES}, s AS ({_BODY_SQL}) SELECT name, sha256(body) AS sha256 FROM names JOIN s USING (source)",
 )
 def r15c(spark, d):
-    return files.content_hashes(spark, _named_files(spark, d, _body()))
+    return files.content_hashes(spark, _named_files(spark, d, _body())).select("name", "sha256")
 
 
 @query("S11_url_list", "SELECT url FROM pages WHERE page_id % 3 = 1")

@@ -29,9 +29,10 @@ def discover_clips(spark: SparkSession, folder: str, extensions: list[str] = VID
 
 
 def content_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    """Name and sha256 per file; the content does not leave the scan."""
+    """Path, name and sha256 per file; the content does not leave the scan. Files are limited to 2 GB each."""
     files = spark.read.format("binaryFile").load(folder)
-    return files.select(paths.basename(F.col("path")).alias("name"), F.sha2("content", 256).alias("sha256"))
+    path = F.regexp_replace("path", "^file:/+", "/")
+    return files.select(path.alias("path"), paths.basename(path).alias("name"), F.sha2("content", 256).alias("sha256"))
 
 
 def read_urls(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwarden.functions import paths, text, urls
+from clipwarden.functions.numbers import number_of
 from clipwarden.operators.grade import latest_by_name
 from clipwarden.operators.merge import stack_datasets
 from clipwarden.sources.manifests import path_exists
@@ -59,7 +60,7 @@ def coerce_numeric(df: DataFrame, strict: bool = False) -> DataFrame:
     for name, kind in NUMERIC_COLUMNS.items():
         if name not in df.columns or dict(df.dtypes)[name] != "string":
             continue
-        number = F.trim(F.col(name)).try_cast("double")
+        number = number_of(F.col(name))
         if kind == "bigint":
             whole = F.when(number == F.floor(number), number.cast("bigint"))
             if strict:
