@@ -179,7 +179,7 @@ def near_duplicates(
     ).dropDuplicates(["digest"])
     heads = stored(heads.select("id", "n_shingles", "bands", "packed"), "heads")
 
-    banded = heads.select("id", F.explode("bands").alias("key"))
+    banded = heads.select("id", F.posexplode("bands").alias("band", "key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(banded.join(sizes, "key"), "members")
     # texts travel once: only those of classes that share a bucket are looked at again
@@ -209,7 +209,7 @@ def near_duplicates(
 
     labelled = stored(
         members.join(labels.withColumnRenamed("a", "id"), "id", "left").select(
-            "key", "id", F.coalesce("label", "id").alias("label")
+            "key", "band", "id", F.coalesce("label", "id").alias("label")
         ),
         "labelled",
     )
@@ -227,7 +227,7 @@ def near_duplicates(
         heads.join(open_ids, "id", "left_semi")
         .join(alone, "id", "left")
         .select(
-            "id", "packed", F.col("n_shingles").alias("n"),
+            "id", "packed", "bands", F.col("n_shingles").alias("n"),
             (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("sharable"),
         ),
         "facts",
@@ -235,14 +235,16 @@ def near_duplicates(
     full = unsettled.join(facts, "id")
     outer = full.filter("label <> main").select(*[F.col(c).alias(f"x_{c}") for c in full.columns])
     ratio = percent / (100 + percent)
-    # unequal labels; two members outside the main component meet once
+    # unequal labels; two members outside the main component meet once, and only in the first bucket they share
+    earlier = F.arrays_overlap(F.slice("x_bands", F.lit(1), F.col("band")), F.slice("bands", F.lit(1), F.col("band")))
     met = (
         outer.join(full, F.col("x_key") == F.col("key"))
         .filter("x_label <> label AND (label = main OR x_id < id)")
         .filter(F.least("x_sharable", "sharable") + 1e-6 >= ratio * (F.col("x_n") + F.col("n")))
         .filter(estimate("x_packed", "packed", hashes, bits) >= least)
+        .filter(~earlier)
     )
-    rest = met.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")).distinct()
+    rest = met.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b"))
     second = stored(confirmed(rest, texts, shingle, percent), "second_links")
     if not second.isEmpty():
         labels = components(first.union(second))
