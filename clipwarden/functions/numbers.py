@@ -113,3 +113,14 @@ def field_equal(a: Column, b: Column) -> Column:
         .when(num_a.isNotNull() & num_b.isNotNull(), num_a == num_b)
         .otherwise(a.cast("string") == b.cast("string"))
     )
+
+
+def comparable_text(value: Column) -> Column:
+    """A text that is the same for two values exactly if `field_equal` holds for them; never null."""
+    text = value.cast("string")
+    number = number_of(text)
+    return (
+        F.when(text.isNull() | (text == "NaN"), "missing")
+        .when(number.isNotNull(), F.concat(F.lit("number "), (number + F.lit(0.0)).cast("string")))
+        .otherwise(F.concat(F.lit("text "), text))
+    )

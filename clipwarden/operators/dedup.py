@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.functions.numbers import field_equal, fixed_text
+from clipwarden.functions.numbers import comparable_text, fixed_text
 from clipwarden.operators.ordered import carry_fold, join_null_safe
 from clipwarden.spec import OVERLAP_WINDOW_SEC
 
@@ -199,33 +199,23 @@ def altered_copies(
     match: list[str] = ["caption", "width", "height", "num_frames"],  # noqa: B006
     differ: list[str] = ["clip_sha256", "source_video_id", "clip_start_sec"],  # noqa: B006
 ) -> DataFrame:
-    """Suspected re-uploads: rows of `a` and `b` alike in `match` but with another hash, source or start.
+    """Suspected re-uploads: versions in `a` with rows in `b` alike in `match` but with another hash, source or start.
 
-    Groups that agree are first reduced to their distinct `differ` values with a count, so copies
-    do not multiply; a row stands for `pairs` row pairs.
+    One row per different version of `a`: match, differ, `rows` of that version, and `altered`, how many rows of
+    `b` are alike and differ. It is the size of the group in `b` less its rows of the same version, so no pairs
+    are formed; all counts are summed up before they are shuffled.
     """
-
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return (
-            df.select(*match, *differ)
-            .filter(F.col(match[0]).isNotNull() & (F.col(match[0]) != ""))
-            .groupBy(*match, *differ)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .select(*match, *[F.col(c).alias(f"{c}_{tag}") for c in differ], F.col("_n").alias(f"_n_{tag}"))
-        )
-
-    joined = side(a, "a").join(side(b, "b"), match)
-    flags = {f"{c}_same": field_equal(F.col(f"{c}_a"), F.col(f"{c}_b")) for c in differ}
-    changed = F.lit(False)
-    for c in flags.values():
-        changed = changed | ~c
-    return (
-        joined.withColumns({"_changed": changed, **flags})
-        .filter("_changed")
-        .select(
-            *match,
-            *[f"{c}_{t}" for c in differ for t in ("a", "b")],
-            *flags,
-            (F.col("_n_a") * F.col("_n_b")).alias("pairs"),
-        )
+    same = {f"_c{i}": comparable_text(F.col(c)) for i, c in enumerate(differ)}
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(*match, *differ).filter(F.col(match[0]).isNotNull() & (F.col(match[0]) != "")).withColumns(same)
+
+    alike = [F.col(m) for m in match]
+    shown = [F.min(c).alias(c) for c in differ]
+    versions = named(a).groupBy(*match, *same).agg(*shown, F.count(F.lit(1)).alias("rows"))
+    there = named(b).groupBy(*match, *same).agg(F.count(F.lit(1)).alias("_same"))
+    groups = named(b).groupBy(*alike).agg(F.count(F.lit(1)).alias("_all"))
+    found = versions.join(groups, match).join(there, [*match, *same], "left")
+    return found.withColumn("altered", F.col("_all") - F.coalesce("_same", F.lit(0))).filter("altered > 0").select(
+        *match, *differ, "rows", "altered"
     )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.operators.ordered import global_index
+from clipwarden.operators.ordered import global_index, running_sums
 from clipwarden.spec import OVERLAP_WINDOW_SEC
 
 
@@ -49,59 +49,59 @@ def _starts(df: DataFrame, key: str, start: str) -> DataFrame:
     )
 
 
-def overlap_pairs(
-    df: DataFrame, key: str, start: str, window: float = OVERLAP_WINDOW_SEC
-) -> DataFrame:
-    """Pairs of starts of one key closer than `window` (strictly), `start_a <= start_b`.
+def _window_end(start: Column, window: float, up: bool) -> Column:
+    """The last place whose difference to `start` is below `window`, as floating-point subtraction sees it.
 
-    A row stands for `pairs` pairs of clips, so a group of copies is one row. Starts meet only
-    inside one or two bins of the window's width, which spreads a hot key over many tasks.
+    It lies a few steps of the number format around `start` plus or minus `window`.
     """
-    starts = _starts(df, key, start)
-    binned = starts.withColumn("bin", F.floor(F.col("start") / F.lit(window)))
-    left = binned.select(
-        "key",
-        F.col("start").alias("start_a"),
-        F.col("copies").alias("copies_a"),
-        F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("bin"),
-    )
-    right = binned.select(
-        "key", F.col("start").alias("start_b"), F.col("copies").alias("copies_b"), "bin"
+    s, w = start, F.lit(float(window))
+    at = s + w if up else s - w
+    half_step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.abs(at), F.abs(s), w))) - 53)
+    tried = F.array(*[at + half_step * k for k in range(-4, 5)])
+    inside = F.filter(tried, lambda x: ((x - s) if up else (s - x)) < w)
+    return F.array_max(inside) if up else F.array_min(inside)
+
+
+def _near_counts(points: DataFrame, probes: DataFrame, window: float) -> DataFrame:
+    """For each start of `probes`, how many of `points` (key, start, copies) are closer than `window`.
+
+    Both ends of a start's window are sorted among the points; the difference of the running counts at the
+    two ends is the answer. No pairs are formed, and a hot key spans many blocks.
+    """
+    # at equal places: the lower end, then the points, then the upper end, as both ends lie inside the window
+    ends = F.array(
+        F.struct(_window_end(F.col("start"), window, True).alias("at"), F.lit(2).alias("turn"), F.lit(1).alias("sign")),
+        F.struct(_window_end(F.col("start"), window, False).alias("at"), F.lit(0).alias("turn"), F.lit(-1).alias("sign")),
     )
-    near = left.join(right, ["key", "bin"]).filter(
-        (F.col("start_a") < F.col("start_b")) & (F.col("start_b") - F.col("start_a") < window)
+    asked = probes.select("key", "start", F.col("copies").alias("own"), F.explode(ends).alias("e")).select(
+        "key", "start", "own", "e.at", "e.turn", "e.sign", F.lit(0).cast("bigint").alias("n")
     )
-    same = starts.filter("copies > 1").select(
-        "key",
-        F.col("start").alias("start_a"),
-        F.col("start").alias("start_b"),
-        F.expr("copies * (copies - 1) div 2").alias("pairs"),
+    there = points.select(
+        "key", "start", F.lit(None).cast("bigint").alias("own"), F.col("start").alias("at"), F.lit(1).alias("turn"),
+        F.lit(0).alias("sign"), F.col("copies").alias("n"),
+    )
+    counted = running_sums(asked.unionByName(there), ["key"], ["at", "turn"], {"upto": F.col("n")})
+    return (
+        counted.filter("sign <> 0")
+        .groupBy("key", "start")
+        .agg(F.max("own").alias("copies"), F.sum(F.col("upto") * F.col("sign")).alias("near"))
     )
-    return near.select(
-        "key", "start_a", "start_b", (F.col("copies_a") * F.col("copies_b")).alias("pairs")
-    ).unionByName(same)
 
 
-def cross_overlap_pairs(
+def overlap_counts(df: DataFrame, key: str, start: str, window: float = OVERLAP_WINDOW_SEC) -> DataFrame:
+    """Per different start: key, start, copies, and `overlaps`, the other clips of the key closer than `window`.
+
+    Half the sum of copies * overlaps is the number of overlapping pairs.
+    """
+    starts = _starts(df, key, start)
+    return _near_counts(starts, starts, window).select("key", "start", "copies", (F.col("near") - 1).alias("overlaps"))
+
+
+def cross_overlap_counts(
     a: DataFrame, b: DataFrame, key: str, start: str, window: float = OVERLAP_WINDOW_SEC
 ) -> DataFrame:
-    """Pairs of starts of the same key in two datasets closer than `window`; copies are counted."""
-
-    def binned(df: DataFrame, tag: str, offsets: list[int]) -> DataFrame:
-        starts = _starts(df, key, start).withColumn("bin", F.floor(F.col("start") / F.lit(window)))
-        return starts.select(
-            "key",
-            F.col("start").alias(f"start_{tag}"),
-            F.col("copies").alias(f"copies_{tag}"),
-            F.explode(F.array(*[F.col("bin") + o for o in offsets])).alias("bin"),
-        )
-
-    return (
-        binned(a, "a", [-1, 0, 1])
-        .join(binned(b, "b", [0]), ["key", "bin"])
-        .filter(F.abs(F.col("start_a") - F.col("start_b")) < window)
-        .select("key", "start_a", "start_b", (F.col("copies_a") * F.col("copies_b")).alias("pairs"))
-    )
+    """Per different start of `a`: key, start, copies, and `overlaps`, the clips of `b` closer than `window`."""
+    return _near_counts(_starts(b, key, start), _starts(a, key, start), window).withColumnRenamed("near", "overlaps")
 
 
 def touching(

@@ -74,14 +74,14 @@ def j05(spark, d):
     )
 
 
-@query(
-    "J06_overlap_pairs",
-    f"""WITH {b.STARTS_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY start, event_id) AS rn FROM starts)
-    SELECT x.key, x.start AS start_a, y.start AS start_b, count(*) AS pairs FROM n x JOIN n y ON x.key = y.key AND x.rn < y.rn AND y.start - x.start < {WINDOW}
-    GROUP BY ALL""",
-)
+def _near_sql(x, y, window, own):
+    """Counts of the rows of `y` near each different start of `x`; `own`: they are the same rows."""
+    return f"""SELECT x.key, x.start, x.copies, (SELECT count(*) FROM {y} y WHERE y.key = x.key AND abs(y.start - x.start) < {window}) - {own} AS overlaps FROM (SELECT key, start, count(*) AS copies FROM {x} GROUP BY ALL) x"""
+
+
+@query("J06_overlap_pairs", f"WITH {b.STARTS_SQL} {_near_sql('starts', 'starts', WINDOW, 1)}")
 def j06(spark, d):
-    return joins.overlap_pairs(b.starts(spark, d), "key", "start", WINDOW)
+    return joins.overlap_counts(b.starts(spark, d), "key", "start", WINDOW)
 
 
 def _copied_starts(spark, d):
@@ -91,13 +91,10 @@ def _copied_starts(spark, d):
 
 @query(
     "J06_overlap_pairs_of_copies",
-    f"""WITH {b.STARTS_SQL}, g AS (SELECT key, floor(start / 7200e0) * 7200e0 AS start, event_id FROM starts),
-    n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY start, event_id) AS rn FROM g)
-    SELECT x.key, x.start AS start_a, y.start AS start_b, count(*) AS pairs FROM n x JOIN n y ON x.key = y.key AND x.rn < y.rn AND y.start - x.start < 7200.5e0
-    GROUP BY ALL""",
+    f"WITH {b.STARTS_SQL}, g AS (SELECT key, floor(start / 7200e0) * 7200e0 AS start FROM starts) {_near_sql('g', 'g', '7200.5e0', 1)}",
 )
 def j06b(spark, d):
-    return joins.overlap_pairs(_copied_starts(spark, d), "key", "start", 7200.5)
+    return joins.overlap_counts(_copied_starts(spark, d), "key", "start", 7200.5)
 
 
 def _halves(spark, d):
@@ -107,11 +104,11 @@ def _halves(spark, d):
 
 @query(
     "J07_cross_overlap_pairs",
-    f"""WITH {b.STARTS_SQL} SELECT x.key, x.start AS start_a, y.start AS start_b, count(*) AS pairs FROM starts x JOIN starts y
-    ON x.key = y.key AND abs(x.start - y.start) < {WINDOW} WHERE x.event_id % 2 = 0 AND y.event_id % 2 = 1 GROUP BY ALL""",
+    f"""WITH {b.STARTS_SQL}, even AS (SELECT * FROM starts WHERE event_id % 2 = 0), odd AS (SELECT * FROM starts WHERE event_id % 2 = 1)
+    {_near_sql('even', 'odd', WINDOW, 0)}""",
 )
 def j07(spark, d):
-    return joins.cross_overlap_pairs(*_halves(spark, d), "key", "start", WINDOW)
+    return joins.cross_overlap_counts(*_halves(spark, d), "key", "start", WINDOW)
 
 
 @query(
@@ -373,10 +370,9 @@ def d06(spark, d):
 
 @query(
     "D07_altered_copies",
-    f"""WITH {b.RECORDS2_SQL} SELECT o.caption, o.clip_sha256 AS clip_sha256_a, t.clip_sha256 AS clip_sha256_b, o.clip_start_sec AS clip_start_sec_a, t.clip_start_sec AS clip_start_sec_b,
-    o.clip_sha256 = t.clip_sha256 AS clip_sha256_same, o.clip_start_sec = t.clip_start_sec AS clip_start_sec_same, count(*) AS pairs
-    FROM records o JOIN records2 t ON o.caption = t.caption AND o.width = t.width
-    WHERE o.clip_sha256 <> t.clip_sha256 OR o.clip_start_sec <> t.clip_start_sec GROUP BY ALL""",
+    f"""WITH {b.RECORDS2_SQL}, v AS (SELECT caption, width, clip_sha256, clip_start_sec, count(*) AS rows FROM records WHERE caption <> '' GROUP BY ALL)
+    SELECT caption, clip_sha256, clip_start_sec, rows, (SELECT count(*) FROM records2 t WHERE t.caption = v.caption AND t.width = v.width
+      AND (t.clip_sha256 <> v.clip_sha256 OR t.clip_start_sec <> v.clip_start_sec)) AS altered FROM v WHERE altered > 0""",
 )
 def d07(spark, d):
     t = dedup.altered_copies(

@@ -193,10 +193,10 @@ def test_unique_ids_random(spark):
     assert len(set(got)) == len(got)
 
 
-def test_overlap_pairs_golden_and_naive(spark):
+def test_overlap_counts_golden_and_naive(spark):
     df = spark.createDataFrame([("k", s) for s in (0.0, 4.0, 4.5, 9.0)], "key string, start double")
-    got = {(r["start_a"], r["start_b"]) for r in joins.overlap_pairs(df, "key", "start").collect()}
-    assert got == {(0.0, 4.0), (4.0, 4.5)}
+    got = {r["start"]: r["overlaps"] for r in joins.overlap_counts(df, "key", "start").collect()}
+    assert got == {0.0: 1, 4.0: 2, 4.5: 1, 9.0: 0}
     rng = np.random.default_rng(2)
     pts = [("h" if rng.random() < 0.7 else "c", float(np.round(rng.random() * 40, 1))) for _ in range(300)]
     df = spark.createDataFrame(pts, "key string, start double")
@@ -204,14 +204,15 @@ def test_overlap_pairs_golden_and_naive(spark):
     for i, a in enumerate(pts):
         for b in pts[i + 1 :]:
             want += a[0] == b[0] and abs(a[1] - b[1]) < 4.5
-    assert joins.overlap_pairs(df, "key", "start").agg(F.sum("pairs")).first()[0] == want
+    assert joins.overlap_counts(df, "key", "start").agg(F.sum(F.expr("copies * overlaps"))).first()[0] == 2 * want
     left, right = pts[:100], pts[100:]
     mk = lambda p: spark.createDataFrame(p, "key string, start double")
     touch = sum(any(a[0] == b[0] and abs(a[1] - b[1]) < 4.5 for b in right) for a in left)
     r = joins.overlap_count(mk(left), mk(right), "key", "start").first()
     assert (r["counted_side"], r["overlaps"]) == ("a", touch)
     cross = sum(a[0] == b[0] and abs(a[1] - b[1]) < 4.5 for a in left for b in right)
-    assert joins.cross_overlap_pairs(mk(left), mk(right), "key", "start").agg(F.sum("pairs")).first()[0] == cross
+    counts = joins.cross_overlap_counts(mk(left), mk(right), "key", "start")
+    assert counts.agg(F.sum(F.expr("copies * overlaps"))).first()[0] == cross
 
 
 def test_overlap_count_swaps_to_the_smaller_side(spark):

@@ -316,6 +316,13 @@ def test_missing_quality_defaults(spark):
     assert (r["source_frames"], r["dup_ratio"]) == (0, 1.0)
 
 
+def test_altered_copies_of_a_stock_caption_stay_linear(spark):
+    rows = [(f"h{i % 7}", "stock", float(i % 3)) for i in range(60)] + [("x", "", 0.0), (None, "only", 1.0)]
+    df = spark.createDataFrame(rows, "clip_sha256 string, caption string, clip_start_sec double")
+    got = dedup.altered_copies(df, df, ["caption"], ["clip_sha256", "clip_start_sec"]).collect()
+    assert len(got) == 21 and {r["altered"] + r["rows"] for r in got} == {60}
+
+
 def test_copies_do_not_multiply_in_comparisons(spark):
     df = spark.createDataFrame([("a", 1)] * 50, "clip_id string, width int")
     t = compare.compare_versions(df, df, fields=["width"])
