@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from clipwarden.functions import paths, scores, text
 from clipwarden.functions.numbers import fixed_text
 from clipwarden.operators.ordered import running_sums
-from clipwarden.session import cut_lineage
 from clipwarden.spec import ISSUE_COLUMNS, ISSUE_STRUCT, VIDEO_EXTENSIONS, LintConfig
 
 # --- Fixed values: severity, message and fix per code, in evaluation order --
@@ -142,6 +141,10 @@ CODES = {
 }
 
 
+#: A prompt of fewer words is reported as short.
+SHORT_PROMPT_WORDS = 6
+
+
 def _fill(template: str, parts: dict[str, Column]) -> Column:
     """Template text with `{name}` slots replaced by columns."""
     pieces, rest = [], template
@@ -207,7 +210,7 @@ def prepare_rows(rows: DataFrame, base: str) -> DataFrame:
             "suffix": F.coalesce(paths.suffix(c("path")), F.lit("")),
             "no_id": ~c("has_id") | (c("id").isNotNull() & blank("id")),
             "no_video": blank("video"),
-            "words": text.word_count(c("prompt")),
+            "words": c("words") if "words" in rows.columns else text.word_count(c("prompt")),
         }
     )
 
@@ -222,7 +225,7 @@ def row_text_rules() -> list[tuple[Column, Column]]:
         (c("no_video"), issue("MISSING_VIDEO_FIELD", line, sample)),
         (has_video & (c("words") == 0), issue("MISSING_PROMPT_FIELD", line, sample, video)),
         (
-            has_video & (c("words") > 0) & (c("words") < 6),
+            has_video & (c("words") > 0) & (c("words") < SHORT_PROMPT_WORDS),
             issue("PROMPT_TOO_SHORT", line, sample, video, c("prompt")),
         ),
         (
@@ -289,7 +292,7 @@ def lint_manifest(
 ) -> DataFrame:
     """All issues of a manifest.
 
-    rows         line, has_id, id, has_video, video, prompt
+    rows         line, has_id, id, has_video, video, prompt; words if they are counted already (see `scan_manifest`)
     read_issues  issues found while reading
     files        path of each file that exists
     stats        path, width, height, frames, fps, duplicate_frame_ratio, decode_error
@@ -299,14 +302,13 @@ def lint_manifest(
     """
     prepared = prepare_rows(rows, base).drop("fields")
     # only short prompts appear in an issue: the others need not travel through the joins
-    prepared = prepared.withColumn("prompt", F.when(F.col("words") < 6, F.col("prompt")))
+    prepared = prepared.withColumn("prompt", F.when(F.col("words") < SHORT_PROMPT_WORDS, F.col("prompt")))
     joined = (
         prepared.join(files.select("path").distinct().withColumn("_file", F.lit(True)), "path", "left")
         .join(stats, "path", "left")
         .withColumn("file_found", F.coalesce("_file", F.lit(False)))
         .drop("_file")
     )
-    joined = cut_lineage(joined)  # read four times below
     row_issues = _explode_rules(joined, row_text_rules() + _media_rules(cfg))
     repeated = (
         joined.groupBy("sample_id")

@@ -96,11 +96,9 @@ def written_manifest(spark, d):
 
 def manifest_issues(spark, d, cfg=LintConfig()):
     lines = manifest_lines(spark, d).select((c("doc_id") + 1).alias("line"), c("value").alias("raw"))
-    classified = manifests.classify_lines(lines)
+    rows, read_issues = manifests.scan_manifest(lines)
     stats = media_stats(spark, d)
-    return lint.lint_manifest(
-        manifests.parsed_rows(classified), manifests.read_issues(classified), stats.select("path"), stats, "/data", cfg
-    )
+    return lint.lint_manifest(rows, read_issues, stats.select("path"), stats, "/data", cfg)
 
 
 def _lint_sql() -> str:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipwarden.functions import paths, text
-from clipwarden.operators.lint import issue, missing_manifest
+from clipwarden.operators.lint import SHORT_PROMPT_WORDS, issue, missing_manifest
+from clipwarden.session import cut_lineage
 from clipwarden.spec import ISSUE_STRUCT
 
 _BARE = r"(?<=[:\[,])(\s*)(-?Infinity|NaN)(?=\s*[,}\]])"
@@ -69,6 +70,25 @@ def parsed_rows(classified: DataFrame, keys: tuple[str, ...] = ("id", "video", "
     return parsed.select("line", *cols, "fields")
 
 
+def scan_manifest(lines: DataFrame, keys: tuple[str, ...] = ("id", "video")) -> tuple[DataFrame, DataFrame]:
+    """(rows, issues) of manifest lines, parsed once.
+
+    What is kept of a line is narrow: its keys, the number of words of its prompt, the prompt if it is short, and
+    the text of a broken line. It is stored, since the linter looks at it several times.
+    """
+    parsed = classify_lines(lines).select(
+        "line", "kind", F.when(F.col("kind") == "bad_json", F.col("_body")).alias("_body"),
+        F.when(F.col("kind") == "row", _fields()).alias("fields"),
+    )
+    cols = []
+    for k in keys:
+        cols += [F.map_contains_key("fields", F.lit(k)).alias(f"has_{k}"), F.col("fields")[k].alias(k)]
+    words = text.word_count(F.col("prompt"))
+    counted = parsed.select("line", "kind", "_body", *cols, F.col("fields")["prompt"].alias("prompt")).withColumn("words", words)
+    kept = cut_lineage(counted.withColumn("prompt", F.when(F.col("words") < SHORT_PROMPT_WORDS, F.col("prompt"))))
+    return kept.filter("kind = 'row'").drop("kind", "_body"), read_issues(kept)
+
+
 def _fields() -> Column:
     return F.from_json("_body", "map<string,string>")
 
