@@ -36,6 +36,7 @@ def perceptual_dedup(
     start: str = "clip_start_sec",
     tiebreak: list[str] = ["clip_id"],  # noqa: B006
     partitions: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Compare each clip with the last kept clip of its source; drop it at distance <= threshold.
 
@@ -85,7 +86,8 @@ def perceptual_dedup(
 
     outputs = {"decision": "string", "distance": "double", "reference_clip": "string"}
     return carry_fold(
-        clips, [source], [start, *tiebreak], ["clip_id", *HASHES], step, outputs, partitions=partitions
+        clips, [source], [start, *tiebreak], ["clip_id", *HASHES], step, outputs, partitions=partitions,
+        block_rows=block_rows,
     )
 
 
@@ -178,6 +180,7 @@ def thin_overlaps(
     window: float = OVERLAP_WINDOW_SEC,
     tiebreak: list[str] = [],  # noqa: B006
     partitions: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Greedy thinning: keep the first start of a key, then each start `window` after the last kept."""
     def step(state, rows: pd.DataFrame):
@@ -190,7 +193,9 @@ def thin_overlaps(
             i = max(i + 1, int(np.searchsorted(at - state, window, side="left")))
         return state, {"kept": kept}
 
-    return carry_fold(df, [key], [start, *tiebreak], [start], step, {"kept": "boolean"}, partitions=partitions)
+    return carry_fold(
+        df, [key], [start, *tiebreak], [start], step, {"kept": "boolean"}, partitions=partitions, block_rows=block_rows
+    )
 
 
 def altered_copies(

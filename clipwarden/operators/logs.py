@@ -32,6 +32,7 @@ def ema(
     decay: float = 0.98,
     name: str = "ema",
     partitions: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Moving average per key in order, seeded by the first value.
 
@@ -51,7 +52,7 @@ def ema(
         return (joined, before[1] * tail[1], tail[1] * before[2] + tail[2])
 
     return carry_fold(
-        df, keys, order, [value], step, {name: "double"}, merge=merge, partitions=partitions
+        df, keys, order, [value], step, {name: "double"}, merge=merge, partitions=partitions, block_rows=block_rows
     )
 
 
@@ -82,6 +83,7 @@ def early_stop(
     min_delta: float = 0.005,
     patience: int = 2,
     partitions: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Early-stop trace per run: `status`, best loss, best step and misses after each row."""
     outputs = {"status": "string", "best_loss": "double", "best_step": "bigint", "misses": "int"}
@@ -92,7 +94,9 @@ def early_stop(
         )
         return state, dict(zip(outputs, zip(*flags)))
 
-    return carry_fold(df, keys, [step_col], [step_col, loss], advance, outputs, partitions=partitions)
+    return carry_fold(
+        df, keys, [step_col], [step_col, loss], advance, outputs, partitions=partitions, block_rows=block_rows
+    )
 
 
 def early_stop_result(trace: DataFrame, keys: list[str], step_col: str) -> DataFrame:

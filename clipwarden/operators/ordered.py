@@ -23,12 +23,17 @@ from clipwarden.session import cut_lineage
 BLOCK, POS = "_block", "_pos"
 
 
-def layout(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+def layout(
+    df: DataFrame, order: Sequence[str], partitions: int | None = None, block_rows: int | None = None
+) -> DataFrame:
     """Range partition and sort by `order`; adds block number and position inside the block.
 
-    The result is checkpointed: range borders come from a sample, so a second evaluation could
-    otherwise place rows differently.
+    There are `partitions` blocks, or as many as blocks of about `block_rows` rows need; by default Spark
+    decides from the data's size. The result is checkpointed: range borders come from a sample, so a second
+    evaluation could otherwise place rows differently.
     """
+    if block_rows and not partitions:
+        partitions = max(1, -(-df.count() // block_rows))
     cols = [F.col(c) for c in order]
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     fixed = cut_lineage(ranged.sortWithinPartitions(*cols))
@@ -228,33 +233,38 @@ def carry_fold(
     outputs: dict[str, str],
     merge: Callable[[Any, Any], Any] | None = None,
     partitions: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Ordered fold per key, split over blocks; adds the `outputs` columns to each row.
 
     `step(state, rows)` consumes consecutive rows of one key (only the `inputs` columns) and returns
     the new state and one value per row for each output; the state is `None` at the start of a key.
-    Only blocks that lie wholly inside one key make their successor depend on them; those are run
-    again until the states at the block borders stop changing, which is exact. With
-    `merge(before, tail)` such a block is composed instead, `tail` being its state when started
-    from `None`. All other columns pass through as Arrow data.
+    Only blocks that lie wholly inside one key make their successor depend on them. With
+    `merge(before, tail)` such a block is composed instead, `tail` being its state when started from `None`.
+    Without it, these blocks are run from several entering states at a time: all those which their predecessor
+    was seen to leave with, those that blocks further back leave with after a fresh start, looking back twice as
+    far in each round, and the true state where the chain is known. The chain is followed through what was seen:
+    a state that is soon forgotten, persists over many blocks or is one of a few that take turns costs a number
+    of rounds that hardly grows with the blocks. The result is exact. All other columns pass through as Arrow data.
     """
     keys, inputs = list(keys), list(inputs)
-    laid = layout(df, [*keys, *order], partitions)
+    laid = layout(df, [*keys, *order], partitions, block_rows)
 
-    def border_states(entering: dict[int, Any]):
+    def border_states(tried: dict[int, list]):
         def run(batches):
-            block = first = last = state = None
+            block = first = last = None
+            states: list = []
             for batch in batches:
                 for key, rows in _key_runs(batch, keys, inputs):
                     if block is None:
                         block, first = int(rows[BLOCK].iloc[0]), key
-                        state = entering.get(block)
+                        states = list(tried.get(block, [None]))
                     elif key != last:
-                        state = None
+                        states = [None]
                     last = key
-                    state, _ = step(state, rows)
+                    states = [step(state, rows)[0] for state in states]
             if block is not None:
-                body = pickle.dumps((first, last, state))
+                body = pickle.dumps((first, last, states))
                 yield pa.RecordBatch.from_pydict(
                     {"block": pa.array([block], pa.int32()), "body": pa.array([body], pa.binary())}
                 )
@@ -263,30 +273,48 @@ def carry_fold(
 
     needed = list(dict.fromkeys([*keys, *inputs, BLOCK]))
 
-    def measure(blocks: list[int] | None, entering: dict[int, Any]) -> dict[int, tuple]:
-        part = laid if blocks is None else laid.filter(F.col(BLOCK).isin(blocks))
-        found = part.select(*needed).mapInArrow(border_states(entering), "block int, body binary")
+    def measure(tried: dict[int, list] | None) -> dict[int, tuple]:
+        part = laid.filter(F.col(BLOCK).isin(list(tried))) if tried else laid
+        found = part.select(*needed).mapInArrow(border_states(tried or {}), "block int, body binary")
         return {r["block"]: pickle.loads(bytes(r["body"])) for r in found.collect()}
 
-    # the driver sees one state per block, never rows; a single block needs no states at all
-    tails = measure(None, {}) if laid.rdd.getNumPartitions() > 1 else {}
+    # the driver sees a few states per block, never rows; a single block needs no states at all
+    tails = measure(None) if laid.rdd.getNumPartitions() > 1 else {}
     blocks = sorted(tails)
+    left = {b: {repr(None): tails[b][2][0]} for b in blocks}  # state on leaving, by the state on entering
+    whole = {b: tails[b][0] == tails[b][1] for b in blocks}
     entering: dict[int, Any] = {}
-    while blocks:
-        fresh: dict[int, Any] = {}
-        for prev, here in zip(blocks, blocks[1:]):
-            first_prev, last_prev, state = tails[prev]
-            if last_prev == tails[here][0]:
-                if merge and first_prev == last_prev and prev in fresh:
-                    state = merge(fresh[prev], state)
-                fresh[here] = state
-        stale = [
-            b for b in fresh if tails[b][0] == tails[b][1] and repr(fresh[b]) != repr(entering.get(b))
-        ]
-        entering = fresh
-        if merge or not stale:
+    back = 1
+    while True:
+        entering, tried = {}, {}
+        lost = None  # the true state of the last known block, while the chain cannot be followed
+        for i, here in enumerate(blocks):
+            prev = blocks[i - 1] if i else None
+            if prev is None or tails[prev][1] != tails[here][0]:
+                lost = None
+                continue
+            if lost is None:
+                state = entering.get(prev)
+                if not whole[prev]:
+                    entering[here] = left[prev][repr(None)]
+                elif merge:
+                    tail = left[prev][repr(None)]
+                    entering[here] = merge(state, tail) if prev in entering else tail
+                elif repr(state) in left[prev]:
+                    entering[here] = left[prev][repr(state)]
+                else:
+                    lost = (state,)
+                    tried[prev] = [state]
+            if lost is not None and whole[here]:
+                before = [left[b][repr(None)] for b in blocks[max(0, i - back) : i]] + list(left[prev].values())
+                fresh = {repr(s): s for s in [lost[0], *before] if repr(s) not in left[here]}
+                if fresh:
+                    tried[here] = list(fresh.values())
+        if not tried:
             break
-        tails.update(measure(stale, entering))
+        for b, (_, _, states) in measure(tried).items():
+            left[b].update({repr(s): out for s, out in zip(tried[b], states)})
+        back *= 2
 
     final = dict(entering)
     kept = df.columns

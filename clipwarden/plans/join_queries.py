@@ -74,6 +74,10 @@ def j05(spark, d):
     )
 
 
+#: Rows of a block of the ordered folds: small enough for keys to cross blocks, large enough to be worth a task.
+FOLD_ROWS = 5_000
+
+
 def _near_sql(x, y, window, own):
     """Counts of the rows of `y` near each different start of `x`; `own`: they are the same rows."""
     return f"""SELECT x.key, x.start, x.copies, (SELECT count(*) FROM {y} y WHERE y.key = x.key AND abs(y.start - x.start) < {window}) - {own} AS overlaps FROM (SELECT key, start, count(*) AS copies FROM {x} GROUP BY ALL) x"""
@@ -189,7 +193,7 @@ def w01(spark, d):
     SELECT run, step, round(ema, 9) AS loss_ema FROM e""",
 )
 def w02(spark, d):
-    t = logs.ema(b.runlog(spark, d).select("run", "step", "loss"), ["run"], ["step"], "loss", 0.98, "loss_ema")
+    t = logs.ema(b.runlog(spark, d).select("run", "step", "loss"), ["run"], ["step"], "loss", 0.98, "loss_ema", block_rows=FOLD_ROWS)
     return t.select("run", "step", F.round("loss_ema", 9).alias("loss_ema"))
 
 
@@ -222,7 +226,7 @@ _STOP = f"""WITH RECURSIVE {b.RUNLOG_SQL}, n AS (SELECT run, step, loss, row_num
 )
 def w04(spark, d):
     rows = b.runlog(spark, d).select("run", "step", "loss")
-    trace = logs.early_stop(rows, ["run"], "step", "loss", warmup=1, min_delta=0.05, patience=2)
+    trace = logs.early_stop(rows, ["run"], "step", "loss", warmup=1, min_delta=0.05, patience=2, block_rows=FOLD_ROWS)
     return logs.early_stop_result(trace, ["run"], "step").withColumn("best_loss", F.round("best_loss", 9))
 
 
@@ -313,7 +317,7 @@ _FOLD = f"""WITH RECURSIVE {b.FRAMES_SQL}, hc AS (SELECT e.vec_id, e.label, 'c'
 
 @query("D01_perceptual_dedup", _FOLD + " SELECT clip_id, decision, round(distance, 9) AS distance, reference_clip FROM f")
 def d01(spark, d):
-    t = dedup.perceptual_dedup(hashed_clips(spark, d), threshold=24.0)
+    t = dedup.perceptual_dedup(hashed_clips(spark, d), threshold=24.0, block_rows=FOLD_ROWS)
     return t.select("clip_id", "decision", F.round("distance", 9).alias("distance"), "reference_clip")
 
 
@@ -322,7 +326,7 @@ def d01(spark, d):
     _FOLD + " SELECT clip_id, CASE WHEN decision = 'removed' THEN '' ELSE 'some caption' END AS caption FROM f",
 )
 def d02(spark, d):
-    t = dedup.perceptual_dedup(hashed_clips(spark, d), threshold=24.0)
+    t = dedup.perceptual_dedup(hashed_clips(spark, d), threshold=24.0, block_rows=FOLD_ROWS)
     return dedup.blank_removed_captions(t).select("clip_id", "caption")
 
 
@@ -365,7 +369,7 @@ def d04(spark, d):
 )
 def d06(spark, d):
     s = b.starts(spark, d).select("event_id", "key", "start")
-    return dedup.thin_overlaps(s, "key", "start", 86400.0, ["event_id"]).select("event_id", "key", "kept")
+    return dedup.thin_overlaps(s, "key", "start", 86400.0, ["event_id"], block_rows=FOLD_ROWS).select("event_id", "key", "kept")
 
 
 @query(

@@ -232,3 +232,52 @@ def test_split_is_disjoint_and_reproducible(spark):
     a = {r["id"]: r["split"] for r in select.split_rows(df, ["id"], 0.1, partitions=4).collect()}
     b = {r["id"]: r["split"] for r in select.split_rows(df.repartition(5), ["id"], 0.1).collect()}
     assert a == b and list(a.values()).count("val") == 20
+
+
+def jobs_of(spark, name, action):
+    spark.sparkContext.setJobGroup(name, name)
+    out = action()
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setJobGroup("", "")
+    return n, out
+
+
+@pytest.mark.parametrize("kind", ["one reference", "fresh references", "walk"])
+def test_hot_key_folds_take_few_rounds(spark, kind):
+    """One source over 24 and over 96 blocks: hardly more jobs, and the plain fold's decisions."""
+    rng = np.random.default_rng(4)
+    hashes, now = [], [0, 0, 0]
+    for i in range(960):
+        if kind == "fresh references":
+            now = rng.integers(0, 1 << 62, 3).tolist()
+        elif kind == "walk" and i % 3 == 0:
+            now = [h ^ (1 << int(rng.integers(0, 62))) for h in now]
+        hashes.append(now)
+    rows = [("s", float(i), f"c{i}", *h) for i, h in enumerate(hashes)]
+    df = spark.createDataFrame(rows, "source_video_id string, clip_start_sec double, clip_id string, first_hash bigint, middle_hash bigint, last_hash bigint")
+    seen = {}
+    for blocks in (24, 96):
+        run = lambda n=blocks: ordered_rows(dedup.perceptual_dedup(df, 4.0, partitions=n))
+        seen[blocks], got = jobs_of(spark, f"{kind} {blocks}", run)
+        assert got == plain_dedup([tuple(h) for h in hashes], 4.0)
+    assert seen[96] <= 2 * seen[24]
+
+
+def ordered_rows(df):
+    return [r["decision"] for r in df.orderBy("clip_start_sec").collect()]
+
+
+def test_thinning_of_a_hot_key_takes_few_rounds(spark):
+    rng = np.random.default_rng(9)
+    at = np.sort(rng.random(2000) * 900)
+    df = spark.createDataFrame([("k", float(a)) for a in at], "key string, start double")
+    want, last = [], None
+    for a in at:
+        want.append(last is None or a - last >= 4.5)
+        last = a if want[-1] else last
+    seen = {}
+    for blocks in (24, 96):
+        run = lambda n=blocks: [r["kept"] for r in dedup.thin_overlaps(df, "key", "start", 4.5, partitions=n).orderBy("start").collect()]
+        seen[blocks], got = jobs_of(spark, f"thin {blocks}", run)
+        assert got == want
+    assert seen[96] <= 2 * seen[24]
