@@ -402,6 +402,13 @@ def clip_hashes(hashes: DataFrame, indices: tuple[int, int, int] = (0, 60, 120))
     )
 
 
+def hash_triples(
+    frames: DataFrame, cols: int = 8, rows: int = 8, indices: tuple[int, int, int] = (0, 60, 120)
+) -> DataFrame:
+    """First, middle and last hash per clip from decoded frames; no other frame is sent to Python."""
+    return clip_hashes(frame_hashes(frames.filter(F.col("frame_idx").isin(list(indices))), cols, rows), indices)
+
+
 def array_dhash(gray: Column, cols: int, rows: int) -> Column:
     """Difference hash of an already sized gray array of `(cols + 1) * rows` values, JVM only.
 

@@ -284,7 +284,7 @@ def p19b(spark, d):
     max(dhash) FILTER (frame_idx = 24) AS last_hash FROM hashes WHERE frame_idx IN (0, 12, 24) GROUP BY clip_id""",
 )
 def d01b(spark, d):
-    return fr.clip_hashes(fr.frame_hashes(b.gray_frames(spark, d), 7, 8), (0, 12, 24))
+    return fr.hash_triples(b.gray_frames(spark, d), 7, 8, (0, 12, 24))
 
 
 # --- extension surface -----------------------------------------------------
@@ -377,9 +377,9 @@ def x04(spark, d):
     """SELECT o_orderkey, k AS clip_no, (k - 1) * 5e0 AS clip_start FROM (SELECT o_orderkey, unnest(range(1, CAST(floor(o_totalprice / 1e4 / 5e0) AS BIGINT) + 1)) AS k FROM orders)""",
 )
 def x05(spark, d):
-    from clipwarden.functions.plans import ClipPlan
+    from clipwarden.functions.plans import register_clip_plan
 
-    spark.udtf.register("clip_plan", ClipPlan)
+    register_clip_plan(spark)
     b.table(spark, d, "orders").createOrReplaceTempView("clipwarden_orders")
     return spark.sql(
         """SELECT o_orderkey, p.clip_no, p.clip_start FROM clipwarden_orders, LATERAL clip_plan(o_totalprice / 1e4D, 5D) p"""

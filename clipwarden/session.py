@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scope: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
 
 def build_session(app: str = "clipwarden", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators expect; `conf` keys use `__` for dots."""
@@ -46,8 +51,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/clipwarden-{uuid.uuid4().hex}/{name}"
+    """A fresh path under the shared folder, or under the folder of the scope that is open."""
+    root = _scope.get() or shared_dir(spark)
+    return f"{root.rstrip('/')}/clipwarden-{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables and checkpoints written inside are deleted at the end.
+
+    Store results before that: a frame built inside may still read them.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/scope-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    before, token = sc.getCheckpointDir(), _scope.set(folder)
+    sc.setCheckpointDir(f"{folder}/checkpoints")
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        # Spark appends a folder of its own to a checkpoint folder
+        sc.setCheckpointDir(before.rsplit("/", 1)[0])
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

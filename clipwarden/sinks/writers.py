@@ -5,6 +5,7 @@ All outputs are folders of part files, so a writer never passes the data through
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,21 +99,25 @@ def write_training_manifest(
 
 
 def write_diagnostics(issues: DataFrame, inventory: DataFrame, path: str) -> None:
-    """Issues as JSON lines and CSV, the video inventory as CSV and the counts as JSON."""
+    """Issues as JSON lines and CSV, the video inventory as CSV and the counts as JSON; issues are found once."""
+    issues = issues.persist(StorageLevel.DISK_ONLY)
     shown = issues.select(*ISSUE_COLUMNS)
     shown.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/diagnostics_jsonl")
     shown.write.mode("overwrite").csv(f"{path}/diagnostics_csv", header=True)
     inventory.select(*INVENTORY_COLUMNS).write.mode("overwrite").csv(f"{path}/video_inventory", header=True)
     lint.issue_counts(issues).write.mode("overwrite").json(f"{path}/diagnostics_summary")
+    issues.unpersist()
 
 
 def write_prescreen(screened: DataFrame, path: str) -> None:
-    """Report CSV, one url list per recommendation and the counts."""
+    """Report CSV, one url list per recommendation and the counts; sources are screened once."""
+    screened = screened.persist(StorageLevel.DISK_ONLY)
     prescreen.report_columns(screened).write.mode("overwrite").csv(f"{path}/report", header=True)
     screened.select("recommendation", "url").write.mode("overwrite").partitionBy("recommendation").text(
         f"{path}/urls"
     )
     prescreen.recommendation_counts(screened).write.mode("overwrite").json(f"{path}/summary")
+    screened.unpersist()
 
 
 def write_quarantine(graded: DataFrame, path: str) -> None:

@@ -282,6 +282,23 @@ def test_nan_ratio_is_for_review(spark):
     assert grade.grade_clips(odd).first()["reason"] == "scene_cuts=2; duplicates=inf%"
 
 
+def test_scratch_scope_leaves_nothing(spark):
+    import os
+
+    from clipwarden.session import cut_lineage, scratch_path, scratch_scope, shared_dir
+
+    shared_dir(spark)
+    before = spark.sparkContext.getCheckpointDir()
+    with scratch_scope(spark) as folder:
+        path = scratch_path(spark, "rows")
+        spark.range(3).write.parquet(path)
+        assert cut_lineage(spark.read.parquet(path)).count() == 3 and path.startswith(folder)
+    local = folder.removeprefix("file:")
+    assert not os.path.exists(local)
+    assert spark.sparkContext.getCheckpointDir().rsplit("/", 1)[0] == before.rsplit("/", 1)[0]
+    assert cut_lineage(spark.range(2)).count() == 2
+
+
 def test_ids_beyond_the_padding_are_whole(spark):
     assert spark.range(1).select(paths.sample_fallback(F.lit(1_234_567)).alias("v")).first()["v"] == "sample_1234567"
 
