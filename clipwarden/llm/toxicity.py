@@ -22,7 +22,6 @@ result. Other columns are never read.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipwarden.llm.common import id_and_text, stored, worker_state
+from clipwarden.llm.common import id_and_text, stored
 
 MAX_TEXTS, MAX_WORDS, LANDMARKS = 12_000, 2_000, 384
 REACH, DECAY = 4, 0.6
@@ -41,7 +40,7 @@ BEGIN, END = 95, 96
 #: A toxic word may occur in one clean sentence for so many toxic ones.
 CLEAN_SHARE = 20
 LOWEST = -4.0
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 300_000
 BLOCK_BYTES = 2 << 20
 AFFIXES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -105,17 +104,28 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def train_machine(toxic: list[str], clean: list[str], cost: float = 2000.0) -> tuple[np.ndarray, float]:
-    """Weights per subsequence and bias of the machine trained on words of both kinds."""
+def pick_landmarks(words: list[str], n: int) -> list[str]:
+    """Half of the landmarks from the head of the list, half evenly from the rest."""
+    head, rest = words[: n // 2], words[n // 2 :]
+    return head + [rest[i] for i in np.unique(np.linspace(0, len(rest) - 1, n - n // 2).astype(int))] if rest else head
+
+
+def train_machine(
+    toxic: list[str], clean: list[str], weight: list[float] | None = None, cost: float = 2000.0
+) -> tuple[np.ndarray, float]:
+    """Weights per subsequence and bias of the machine trained on words of both kinds.
+
+    Words come in the order of their importance; `weight` says how much each toxic word counts.
+    """
     half = LANDMARKS // 2
-    pick = lambda words: [words[i] for i in np.unique(np.linspace(0, len(words) - 1, half).astype(int))]
-    landmarks = pick(toxic) + pick(clean)
+    landmarks = pick_landmarks(toxic, half) + pick_landmarks(clean, half)
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
     keep = values > 1e-6 * values[-1]
     root = vectors[:, keep] / np.sqrt(values[keep])
     x = kernel(toxic + clean, landmarks) @ root
     y = np.array([1.0] * len(toxic) + [-1.0] * len(clean))
-    share = np.where(y > 0, 0.5 / len(toxic), 0.5 / len(clean)) * len(y)
+    heavy = np.ones(len(toxic)) if weight is None else np.asarray(weight, float)
+    share = np.concatenate((0.5 * heavy / heavy.sum(), np.full(len(clean), 0.5 / len(clean)))) * len(y)
     w = np.zeros(x.shape[1] + 1)
     x1 = np.hstack((x, np.ones((len(x), 1))))
     for _ in range(30):  # Newton steps on the squared hinge loss
@@ -157,15 +167,11 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def text_margins(df: DataFrame, table: np.ndarray, bias: float) -> DataFrame:
     """Adds best and second, the two highest word margins of each text, to (doc_id, text, ...); text is left out."""
     sent = df.sparkSession.sparkContext.broadcast((table.astype(np.float32), bias))  # of fixed size
-    name = uuid.uuid4().hex
     rest = [c for c in df.columns if c != "text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, base = sent.value
-        state = worker_state()
-        if state.get("toxicity") != name:
-            state["toxicity"], state["toxicity_words"] = name, {}
-        known = state["toxicity_words"]
+        known: dict[str, float] = {}
         for part in (s for b in batches for s in slices(b)):
             texts = [words_of(t or "") for t in part.column(1).to_pylist()]
             new = list(set().union(*texts).difference(known))
@@ -251,20 +257,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     share = min(max(about.share or 0.0, 1e-6), 0.5)
     # so many toxic sentences with a word, and hardly a clean one, are chance for less than a word in the table
     least = max(2, math.ceil((math.log(max(2, counts.count())) + 1) / -math.log(share)))
-    toxic = [
-        r.word
-        for r in counts.filter((F.col("toxic") >= least) & (F.col("clean") * CLEAN_SHARE <= F.col("toxic")))
+    found = (
+        counts.filter((F.col("toxic") >= least) & (F.col("clean") * CLEAN_SHARE <= F.col("toxic")))
         .orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()
-    ]
+    )
+    toxic, weight = [r.word for r in found], [float(r.toxic) ** 0.5 for r in found]
     usual = counts.filter("clean > 0 AND clean * 4 >= toxic")
     clean = [r.word for r in usual.orderBy(F.desc("clean"), "word").limit(MAX_WORDS // 4).collect()]
     clean += [r.word for r in usual.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS).collect()]
     if not toxic or not clean:
         return None
-    toxic += [v for w in toxic for v in disguised(w)]
-    table, bias = train_machine(toxic, clean)
+    for word, heavy in list(zip(toxic, weight)):
+        other = disguised(word)
+        toxic += other
+        weight += [0.2 * heavy] * len(other)
+    table, bias = train_machine(toxic, clean, weight)
     clean += hardest(usual, table, bias)
-    table, bias = train_machine(toxic, clean)
+    table, bias = train_machine(toxic, clean, weight)
     seen = text_margins(texts.select("doc_id", "text"), table, bias).join(texts.select("doc_id", "label"), "doc_id")
     rows = seen.select("best", "second", "label").toPandas().to_numpy(float)  # MAX_TEXTS rows of numbers
     return Model(table, bias, fit_curve(rows[:, :2], rows[:, 2]))
