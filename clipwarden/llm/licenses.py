@@ -127,9 +127,13 @@ class Index:
         near = sorted({(t, (place - p) // BAND) for place in at.tolist() for t, p in self.places[int(grams[place])]})
         found = set()
         for t, step in near:
-            matched, first, end = align(words, self.words[t], step * BAND + BAND // 2, BAND + BAND // 2)
-            if matched >= COVERAGE * len(self.words[t]):
+            left = words.copy()
+            while True:  # what is found is struck out, until no further copy lies near
+                matched, first, end = align(left, self.words[t], step * BAND + BAND // 2, BAND + BAND // 2)
+                if not matched or matched < COVERAGE * len(self.words[t]):
+                    break
                 found.add((t, matched, first, end))
+                left[first:end] = 0
         kept: list[tuple[int, int, int, int]] = []
         for hit in sorted(found, key=lambda h: (-h[1], h[3] - h[2], h[0], h[2])):
             if all(hit[3] <= k[2] or hit[2] >= k[3] for k in kept):
