@@ -38,10 +38,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages that stand in a document with a smaller id."""
-    cut = debruijn.stripped(docs).select("key", "mark", "kept_text")
-    text = F.coalesce("kept_text", "text")
-    joined = docs.join(cut, (F.col("doc_id") == F.col("key")) & (F.xxhash64("text") == F.col("mark")), "left")
-    size = F.when(F.col("kept_text").isNotNull(), F.length("kept_text")).otherwise(F.col("n_chars"))
+    cut = debruijn.stripped(docs).select(*[F.col(c).alias(f"_cut_{c}") for c in ("key", "mark", "kept_text")])
+    text = F.coalesce("_cut_kept_text", "text")
+    same = (F.col("doc_id") == F.col("_cut_key")) & (F.xxhash64("text") == F.col("_cut_mark"))
+    joined = docs.join(cut, same, "left")
+    size = F.when(F.col("_cut_key").isNotNull(), F.length("_cut_kept_text")).otherwise(F.col("n_chars"))
     return joined.withColumns({"text": text, "n_chars": size.cast("bigint")}).select(*docs.columns)
 
 

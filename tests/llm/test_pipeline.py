@@ -57,3 +57,24 @@ def test_stages(spark):
 def test_run_is_all_stages(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "substring_dedup", "packing"]
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, odd_rows, empty):
+    from pyspark.sql import functions as F
+
+    names = ["lang", "source", "key", "mark", "kept_text", "kept", "score", "best", "row", "text_a", "digest", "id"]
+    rows = [*odd_rows, odd_rows[6], (None, "no id"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs = docs.withColumns({n: F.lit(n) for n in names}).withColumn("n_chars", F.length("text").cast("bigint"))
+    for given in (docs, docs.limit(0)):
+        left = given
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            path = scratch_path(spark, name)
+            stage(spark, left, "/root/testdata/sf0.001").write.parquet(path)
+            left = spark.read.parquet(path)
+            assert left.columns == docs.columns
+        kept = {r.doc_id for r in left.collect()}
+        if given is docs:  # 12 is white space only, which is not empty; 18 and 23 are near copies
+            assert None in kept and {10, 12, 13, 16, 20, 22} <= kept and not {11, 14, 17, 18, 23} & kept
+        else:
+            assert not kept
