@@ -96,6 +96,13 @@ def estimate(a: str, b: str, hashes: int, bits: int) -> Column:
     return F.expr(f"({agree} - {chance}D) / {1 - chance}D")
 
 
+def deviation(similarity: float, hashes: int, bits: int) -> float:
+    """Standard deviation of `estimate` at a similarity: low bits agree by a common minimum or by chance."""
+    chance = 2.0**-bits
+    agree = chance + (1 - chance) * similarity
+    return (agree * (1 - agree) / hashes) ** 0.5 / (1 - chance)
+
+
 def signatures(df: DataFrame, shingle: int, hashes: int, rows: int, bits: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, bands, packed; of a frame of doc_id and text."""
 
@@ -169,7 +176,7 @@ def near_duplicates(
     """doc_id, n_shingles, component_id (smallest id reachable), kept; one row per row of `df`."""
     docs = id_and_text(df, id_col, text_col)
     percent = round(threshold * 100)
-    least = threshold - SPREAD * ((threshold * (1 - threshold) + 2.0**-bits) / hashes) ** 0.5
+    least = threshold - SPREAD * deviation(threshold, hashes, bits)
     signed = stored(signatures(docs, shingle, hashes, rows, bits), "signatures")
     filled = signed.filter("n_shingles > 0")
     classes = stored(filled.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
