@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from clipwarden.llm.common import id_and_text, text_rows, worker_state
-from clipwarden.llm.tokens import PRETOKENS, TABLE_ENTRIES, byte_symbols, unit_encoder
+from clipwarden.llm.tokens import PRETOKENS, TABLE_ENTRIES, byte_symbols, id_bytes, unit_encoder
 
 NEVER = 1 << 40
 BATCH_BYTES = 8 << 20
@@ -138,7 +138,7 @@ def prefix_encoder(path: str) -> tuple[Callable[[str], bytes], Vocabulary]:
                 raise ValueError(f"the vocabulary cannot encode {piece!r}")
             ids.append(last[at])
             at -= size[at]
-        return np.array(ids[::-1], "<u4").tobytes()
+        return id_bytes(ids[::-1])
 
     def unit(text: str) -> bytes:
         out = []
@@ -160,7 +160,7 @@ def prefix_encoder(path: str) -> tuple[Callable[[str], bytes], Vocabulary]:
                 out.append(unit(part))
         return b"".join(out)
 
-    state["prefixes", path] = unit_encoder(list(words.specials), whole, unit), words
+    state["prefixes", path] = unit_encoder(list(words.specials), whole, unit, encode_piece), words
     return state["prefixes", path]
 
 

@@ -9,21 +9,24 @@ would not be safe (runs of white space, strings of special tokens) are encoded w
 from __future__ import annotations
 
 import re
+import string
+import struct
 from collections.abc import Callable
 
-import numpy as np
-
 from clipwarden.llm.common import worker_state
 
 END_ID = 0
-#: Entries that a worker's unit table may hold before it is emptied; bounds its memory.
-TABLE_ENTRIES = 600_000
+#: Entries that each of a worker's two tables may hold before it is emptied; bounds its memory.
+TABLE_ENTRIES = 350_000
 
 # White space of the two regular expression dialects.
 WHITE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0            "
     "    　"
 )
+LATIN_END = "\u0250"
+#: ASCII signs that form one pretoken behind letters; an apostrophe may begin a contraction.
+SIGNS = string.punctuation.replace("'", "")
 # Fixed value: how byte-level vocabularies split text before merging.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -35,17 +38,43 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)]
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class UnitTable(dict):
-    """Unit -> bytes of its ids; a unit is what follows a single space."""
+    """Unit -> bytes of its ids; a unit is what follows a single space.
 
-    def __init__(self, encode_unit: Callable[[str], bytes], entries: int) -> None:
+    Letters alone are one pretoken, and so are the signs behind them: these units need no regular expression,
+    and a word with signs is made of entries for the word and for the signs.
+    """
+
+    def __init__(self, encode_unit: Callable[[str], bytes], encode_piece: Callable[[str], bytes], entries: int) -> None:
         super().__init__()
-        self.encode_unit, self.entries = encode_unit, entries
+        self.encode_unit, self.encode_piece, self.entries = encode_unit, encode_piece, entries
+        self.signs: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
         if len(self) >= self.entries:
             self.clear()
-        found = self[unit] = self.encode_unit(" " + unit)
+        # letters beyond Latin may be of a newer Unicode version than the library's
+        latin = unit.isascii() or max(unit) < LATIN_END
+        if latin and unit.isalpha():
+            found = self.encode_piece(" " + unit)
+        else:
+            word = unit.rstrip(SIGNS)
+            if latin and word.isalpha():
+                signs = unit[len(word) :]
+                tail = self.signs.get(signs)
+                if tail is None:
+                    if len(self.signs) >= self.entries:
+                        self.signs.clear()
+                    tail = self.signs[signs] = self.encode_piece(signs)
+                found = self[word] + tail
+            else:
+                found = self.encode_unit(" " + unit)
+        self[unit] = found
         return found
 
 
@@ -57,10 +86,14 @@ def cuttable(text: str) -> bool:
 
 
 def unit_encoder(
-    specials: list[str], encode_whole: Callable[[str], bytes], encode_unit: Callable[[str], bytes]
+    specials: list[str], encode_whole: Callable[[str], bytes], encode_unit: Callable[[str], bytes],
+    encode_piece: Callable[[str], bytes],
 ) -> Callable[[str], bytes]:
-    """Text -> little-endian unsigned 32-bit ids."""
-    table = UnitTable(encode_unit, TABLE_ENTRIES)
+    """Text -> little-endian unsigned 32-bit ids.
+
+    The functions encode a whole text, a unit with its space, and one pretoken.
+    """
+    table = UnitTable(encode_unit, encode_piece, TABLE_ENTRIES)
     look_up = table.__getitem__
 
     def encode(text: str) -> bytes:
@@ -98,18 +131,22 @@ def library_encoder(path: str) -> Callable[[str], bytes]:
     )
 
     def whole(text: str) -> bytes:
-        return np.asarray(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return id_bytes(tok.encode(text, add_special_tokens=False).ids)
 
     if not simple:
         state["library", path] = whole
         return whole
     split = regex.compile(PRETOKENS).findall
     symbols = str.maketrans(dict(enumerate(byte_symbols())))
-    model = tok.model
+    tokenize = tok.model.tokenize
     known: dict[str, bytes] = {}
 
+    def piece_ids(piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(symbols)
+        return id_bytes([t.id for t in tokenize(mapped)])
+
     def unit(text: str) -> bytes:
-        if not (text.isascii() or max(text) < "ɐ"):
+        if not (text.isascii() or max(text) < LATIN_END):
             return whole(text)
         out = []
         for piece in split(text):
@@ -117,10 +154,9 @@ def library_encoder(path: str) -> Callable[[str], bytes]:
             if ids is None:
                 if len(known) >= TABLE_ENTRIES:
                     known.clear()
-                mapped = piece.encode().decode("latin-1").translate(symbols)
-                ids = known[piece] = np.asarray([t.id for t in model.tokenize(mapped)], dtype="<u4").tobytes()
+                ids = known[piece] = piece_ids(piece)
             out.append(ids)
         return b"".join(out)
 
-    state["library", path] = unit_encoder([a["content"] for a in added], whole, unit)
+    state["library", path] = unit_encoder([a["content"] for a in added], whole, unit, piece_ids)
     return state["library", path]
