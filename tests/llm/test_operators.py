@@ -250,6 +250,18 @@ def test_toxicity(spark, make, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
+def test_toxicity_of_spaced_insults(spark, make):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text"), labels.withColumnRenamed("toxic", "label"))
+    forms = ["idiot moron", "i d i o t, m o r o n", "id iot mor on", "i--d--i--o--t m..o..r..o..n", "garden kitchen"]
+    odd = make([(i, f"the house {f} stands there") for i, f in enumerate(forms)]).select("doc_id", "text")
+    rows = toxicity.text_margins(odd, model.table, model.bias, model.longest, model.floor).collect()
+    a, b, c = model.curve
+    got = {r.doc_id: 1 / (1 + np.exp(-(a * r.best + b * r.second + c))) for r in rows}
+    assert min(got[i] for i in range(4)) >= 0.7 > got[4]
+
+
 def test_kernel_tolerates_gaps():
     toxic = ["idiot", "moron", "worthless", "pathetic"]
     toxic += [v for w in toxic for v in toxicity.disguised(w)]
@@ -260,6 +272,29 @@ def test_kernel_tolerates_gaps():
     assert min(got["idiot"], got["idi-ot"], got["mo*ron"], got["w.o.r.t.h.l.e.s.s"]) > max(got["on"], got["station"])
 
 
+def test_spaced_and_doubly_gapped_insults():
+    toxic = ["idiot", "moron", "worthless", "pathetic"]
+    toxic += [v for w in toxic for v in toxicity.disguised(w)]
+    rng = np.random.default_rng(3)
+    clean = ["".join(rng.choice(list("aeinorst"), rng.integers(3, 9))) for _ in range(400)]
+    table, bias = toxicity.train_machine(toxic, clean)
+    gapped = toxicity.margins(["i--d--i--o--t", "m**o**r**o**n", "w-.o-.r-.t-.h-.l-.e-.s-.s"], table, bias)
+    assert gapped.min() > max(0.5, toxicity.margins(["on", "station", "nation-state"], table, bias).max())
+    texts = ["on i d i o t station", "on id iot", "on m - o r - o n, station", "on station", "", "...", "on"]
+    spans = toxicity.Spans(texts, table, bias)
+    every = np.arange(len(spans.words))
+    assert np.allclose(spans.margins(every, every), toxicity.margins(spans.words, table, bias))
+    for first, last in spans.joins(9):
+        joined = [spans.join(a, z) for a, z in zip(first, last)]
+        assert max(map(len, joined)) <= 9
+        assert np.allclose(spans.margins(first, last), toxicity.margins(joined, table, bias))
+    best, second = spans.two_highest(9, -9.0)
+    whole = toxicity.margins(["idiot", "idiot", "moron", "on", "", "on"], table, bias)
+    assert (best[:3] >= whole[:3] - 1e-9).all() and best[:3].min() > 0.5 > best[3:].max()
+    assert second[:3].max() < 0.5 and (best[4], second[4]) == (toxicity.LOWEST, toxicity.LOWEST)
+    assert np.allclose(best[5:], whole[4:]) and np.allclose(second[5:], whole[4:])
+
+
 def test_folded_machine_equals_kernel_sums():
     words, marks = ["abc", "abdc", "xyz-abc"], ["abc", "bcd"]
     owner, found, weight = toxicity.subsequences(marks)
