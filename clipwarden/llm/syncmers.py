@@ -1,10 +1,10 @@
 """Document fingerprints of closed syncmers.
 
 A k-mer of code points is an anchor if the least of its inner s-mers is its first or its last one. That
-depends on the k-mer alone, so an edit moves no anchor it does not touch. A fingerprint holds the
-`ANCHORS` anchors with the least hashes, each with its first position, as base64 text. Two fingerprints are
-alike by the share of the least hashes of both that they have in common at positions whose shift agrees
-with the most frequent shift of the common anchors.
+depends on the k-mer alone, so an edit moves no anchor it does not touch. A fingerprint holds all
+anchors with all their positions, as base64 text, so it grows with the text. Two fingerprints are alike by the
+share of the anchors of both that they have in common, the n-th of a hash with the n-th, on any diagonal that a
+neighbouring common anchor is on too.
 
 Defined results: a null text is an empty one; a text too short for an anchor has one anchor, itself; an empty
 text has none; two fingerprints without anchors are alike (1.0), one without and one with are not (0.0);
@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from clipwarden.llm.common import id_and_text
 from clipwarden.llm.words import coefficients, mix
 
-K, S, ANCHORS = 12, 4, 64
-#: Shifts of common anchors are compared in steps of this many code points.
+K, S = 12, 4
+#: Neighbouring common anchors are on one diagonal if their shifts differ by at most this many code points.
 SHIFT_STEP = 16
+OUT_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
 
 
@@ -59,27 +60,23 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Sketch:
-    """The least anchors of a text: 32-bit hashes in ascending order and their first positions."""
+    """The anchors of a text: 32-bit hashes in ascending order and their positions, ascending for each hash."""
 
     def __init__(self, hashes: np.ndarray, positions: np.ndarray) -> None:
         self.hashes, self.positions = hashes, positions
 
     @classmethod
-    def of(cls, text: str, size: int = ANCHORS) -> Sketch:
+    def of(cls, text: str) -> Sketch:
         hashes, at = anchors(text)
         hashes = (hashes >> np.uint64(32)).astype(np.uint32)
-        if len(hashes) > 4 * size:
-            # repeats may fill the least places, so look until enough different ones are found
-            bound = 2 * size
-            while bound < len(hashes):
-                low = np.partition(hashes, bound)[bound]
-                part = hashes <= low
-                if len(np.unique(hashes[part])) >= size:
-                    hashes, at = hashes[part], at[part]
-                    break
-                bound *= 4
-        found, first = np.unique(hashes, return_index=True)
-        return cls(found[:size], at[first[:size]].astype(np.uint32))
+        order = np.argsort(hashes, kind="stable")
+        return cls(hashes[order], at[order].astype(np.uint32))
+
+    def keys(self) -> np.ndarray:
+        """Hash and number of the occurrence in one number."""
+        place = np.arange(len(self.hashes))
+        first = np.maximum.accumulate(np.where(np.diff(self.hashes, prepend=self.hashes[:1]) != 0, place, 0))
+        return self.hashes.astype(np.uint64) << np.uint64(32) | (place - first).astype(np.uint64)
 
     def text(self) -> str:
         return base64.b64encode(self.hashes.astype("<u4").tobytes() + self.positions.astype("<u4").tobytes()).decode()
@@ -89,19 +86,15 @@ class Sketch:
         both = np.frombuffer(base64.b64decode(text), "<u4")
         return cls(both[: len(both) // 2], both[len(both) // 2 :])
 
-    def likeness(self, other: Sketch, size: int = ANCHORS) -> float:
+    def likeness(self, other: Sketch) -> float:
         if not len(self.hashes) or not len(other.hashes):
             return float(len(self.hashes) == len(other.hashes))
-        both = np.union1d(self.hashes, other.hashes)[:size]
-        common, mine, theirs = np.intersect1d(self.hashes, other.hashes, assume_unique=True, return_indices=True)
-        near = common <= both[-1]
-        if not near.any():
-            return 0.0
-        shift = other.positions[theirs[near]].astype(np.int64) - self.positions[mine[near]].astype(np.int64)
-        steps, counts = np.unique(np.concatenate((shift // SHIFT_STEP, shift // SHIFT_STEP + 1)), return_counts=True)
-        best = steps[np.argmax(counts)]
-        agree = np.isin(shift // SHIFT_STEP, (best - 1, best)).sum()
-        return float(agree) / len(both)
+        common, mine, theirs = np.intersect1d(self.keys(), other.keys(), assume_unique=True, return_indices=True)
+        at = self.positions[mine].astype(np.int64)
+        shift = (other.positions[theirs].astype(np.int64) - at)[np.argsort(at)]
+        near = np.abs(np.diff(shift)) <= SHIFT_STEP
+        agree = int((np.append(near, False) | np.append(False, near)).sum()) if len(shift) > 1 else len(shift)
+        return agree / (len(self.hashes) + len(other.hashes) - agree)
 
 
 def in_order(docs: DataFrame, buckets: int) -> DataFrame:
@@ -152,6 +145,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = None  # bucket, id, text and sketch of the row that waits for its next one
         out: list[tuple] = []
+        held = 0
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         for batch in batches:
@@ -171,10 +165,11 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                             mine.text(), changed.text(), mine.likeness(changed), mine.likeness(sketch),
                         )
                     )
+                    held += len(out[-1][3]) + len(out[-1][4])
                 here = None if guest else (bucket, key, text, sketch)
-                if len(out) >= 1000:
+                if len(out) >= 1000 or held >= OUT_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
-                    out = []
+                    out, held = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 

@@ -198,6 +198,26 @@ def test_syncmers_are_context_free():
     assert plain_anchors and plain_anchors <= moved
 
 
+def test_syncmers_of_long_texts_and_insertions():
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(20_000)]
+    long, part = " ".join(words), " ".join(words[9000:9200])
+    whole, piece = syncmers.Sketch.of(long), syncmers.Sketch.of(part)
+    assert set(piece.hashes.tolist()) <= set(whole.hashes.tolist())
+    assert 0.9 < piece.likeness(whole) * len(whole.hashes) / len(piece.hashes) <= 1.0
+    text = words[:400]
+    inserted = text[:200] + words[500:510] + text[200:]
+    moved = text[200:] + text[:200]
+    often = [w for i in range(0, 400, 40) for w in [*text[i : i + 40], *words[600 + i : 605 + i]]]
+    own = syncmers.Sketch.of(" ".join(text))
+    assert own.likeness(syncmers.Sketch.of(" ".join(inserted))) > 0.9
+    assert own.likeness(syncmers.Sketch.of(" ".join(moved))) > 0.9
+    assert own.likeness(syncmers.Sketch.of(" ".join(often))) > 0.7
+    assert own.likeness(syncmers.Sketch.of(" ".join(words[1000:1400]))) < 0.05
+    back = syncmers.Sketch.parse(own.text())
+    assert back.likeness(own) == 1.0
+
+
 def test_urls(spark):
     odd = [
         None, "", "no scheme", "http://", "HTTP://Www.Example.COM/en/1", "x://example.com/en/", "x://example.com?en/",
