@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwarden.llm import bpe, debruijn, exact, licenses, minhash, packing, syncmers, toxicity, urls, wavelet
+from clipwarden.llm import bpe, debruijn, exact, licenses, minhash, packing, repair, syncmers, toxicity, urls, wavelet
 from clipwarden.llm.common import documents
 from clipwarden.session import scratch_path
 
@@ -119,3 +119,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query("op13_lightest_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair.repair(rows, gone_col="gone")
