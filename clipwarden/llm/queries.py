@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwarden.llm import bpe, debruijn, exact, licenses, minhash, packing, repair, syncmers, toxicity, urls, wavelet
+from clipwarden.llm import align, bpe, debruijn, exact, licenses, minhash, packing, repair, syncmers, toxicity, urls, wavelet
 from clipwarden.llm.common import documents
 from clipwarden.session import scratch_path
 
@@ -26,10 +26,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_wavelet_matrix")
@@ -121,6 +121,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_span_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query("op13_lightest_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
