@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwarden.llm import align, bpe, debruijn, exact, licenses, minhash, packing, repair, syncmers, toxicity, urls, wavelet
+from clipwarden.llm import align, bpe, debruijn, exact, licenses, minhash, packing, quality, repair, syncmers, toxicity, urls, wavelet
 from clipwarden.llm.common import documents
 from clipwarden.session import scratch_path
 
@@ -121,6 +121,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_positive_unlabelled")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return quality.score(documents(spark, sf_dir), labels).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op12_span_alignment")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
