@@ -12,13 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.llm.common import id_and_text, stored, text_rows
-from clipwarden.llm.tokens import END_ID, library_encoder
+from clipwarden.llm.common import id_and_text, stored
+from clipwarden.llm.tokens import encoded_rows
 
 LIMIT = 1024
 #: Bytes of ids after which a batch of pieces is handed to Spark.
@@ -42,7 +41,6 @@ def pack(
         raise ValueError("limit must be a power of two")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = library_encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         out: list[tuple] = []
         held = 0
 
@@ -51,8 +49,7 @@ def pack(
             cols = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             return pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "doc_tokens", "length", "ids"])
 
-        for key, text in text_rows(batches):
-            ids = encode(text) + end
+        for key, ids in encoded_rows(batches, tokenizer):
             n, at = len(ids) // 4, 0
             for length in piece_lengths(n, limit):
                 out.append((key, at, n, length, ids[4 * at : 4 * (at + length)]))

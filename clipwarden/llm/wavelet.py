@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipwarden.llm.common import id_and_text, text_rows
-from clipwarden.llm.tokens import END_ID, library_encoder
+from clipwarden.llm.common import id_and_text
+from clipwarden.llm.tokens import encoded_rows
 
 MAGIC = b"WVM1"
 BLOCK_BITS = 512
@@ -176,7 +176,6 @@ def write_shards(
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encode, end = library_encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         keys: list[Any] = []
         sizes: list[int] = []
         parts: list[bytes] = []
@@ -193,8 +192,7 @@ def write_shards(
             )
 
         held = 0
-        for key, text in text_rows(batches):
-            ids = encode(text) + end
+        for key, ids in encoded_rows(batches, tokenizer):
             keys.append(key)
             sizes.append(len(ids) // 4)
             parts.append(ids)

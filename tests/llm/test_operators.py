@@ -33,7 +33,7 @@ TEXTS = st.text(st.sampled_from("ab é\n\t \u00a0\u2003'’1.,<|>zß日🎉"), m
 @given(TEXTS)
 def test_both_encoders_match_the_library(text):
     want = plain.u32(ids_of(text))
-    assert tokens.library_encoder(PATH)(text) == want
+    assert tokens.block_encoder(PATH)([text, text + " x", text]) == [want, plain.u32(ids_of(text + " x")), want]
     assert bpe.prefix_encoder(PATH)[0](text) == want
 
 
