@@ -8,8 +8,10 @@ The share of minima whose low bits agree, corrected for chance agreement, estima
    centre; members are compared with the centre only. Candidates whose estimate is at most `SPREAD` standard
    deviations below the threshold are confirmed on full shingle sets, and components are formed.
 2. Buckets whose members already share one component need no more. In the others, members outside the
-   bucket's main component are compared with the members of other components, again by estimate and, without
-   loss, by a bound: of n shingles u may occur in no other candidate, so no more than n - u can be shared.
+   bucket's main component are compared with the members of other components: by an estimate from `FINE_HASHES`
+   minima, which these few classes get in addition and whose deviation is a third, and, without loss, by a bound: of
+   n shingles u may occur in no other candidate, so no more than n - u can be shared. Both stand in the join's
+   condition; only pairs near the threshold leave it.
 
 So no pair inside a group of copies that hang together is formed, and pairs of different components are
 all considered. At the threshold a pair shares no band with a probability below 1e-7 (1e-6 at 0.8).
@@ -38,6 +40,8 @@ THRESHOLD = 0.8
 HASHES, BAND_ROWS, BITS = 128, 4, 4
 #: Standard deviations of the estimate that a pair may lie below the threshold and still be confirmed.
 SPREAD = 5.5
+#: Minima of the longer signatures that the classes left open by the first round get.
+FINE_HASHES = 1024
 
 
 def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -230,11 +234,14 @@ def near_duplicates(
     unsettled = stored(labelled.join(main, "key"), "unsettled")
     open_ids = unsettled.select("id").distinct()
     alone = unshared(texts, open_ids, shingle)
+    fine = fine_signatures(texts, open_ids, shingle, rows, bits)
+    sharp = threshold - SPREAD * deviation(threshold, FINE_HASHES, bits)
     facts = stored(
         heads.join(open_ids, "id", "left_semi")
         .join(alone, "id", "left")
+        .join(fine, "id")
         .select(
-            "id", "packed", "bands", F.col("n_shingles").alias("n"),
+            "id", "fine", "bands", F.col("n_shingles").alias("n"),
             (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("sharable"),
         ),
         "facts",
@@ -248,7 +255,7 @@ def near_duplicates(
         outer.join(full, F.col("x_key") == F.col("key"))
         .filter("x_label <> label AND (label = main OR x_id < id)")
         .filter(F.least("x_sharable", "sharable") + 1e-6 >= ratio * (F.col("x_n") + F.col("n")))
-        .filter(estimate("x_packed", "packed", hashes, bits) >= least)
+        .filter(estimate("x_fine", "fine", FINE_HASHES, bits) >= sharp)
         .filter(~earlier)
     )
     rest = met.select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b"))
@@ -265,6 +272,22 @@ def near_duplicates(
     )
 
 
+def fine_signatures(texts: DataFrame, ids: DataFrame, shingle: int, rows: int, bits: int) -> DataFrame:
+    """For texts of the given ids: (id, fine), the packed low bits of `FINE_HASHES` minima."""
+
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, minima = WordHasher(), Minima(FINE_HASHES, rows, bits)
+        for keys, block in blocks(text_rows(batches), lower=True):
+            packed = [minima.packed(minima.minima(found)) for found in shingle_sets(hasher(block), shingle)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(packed, pa.list_(pa.int64()))], ["id", "fine"]
+            )
+
+    rows_of_ids = texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    # rows may repeat an id with another text, but equal rows count once
+    return rows_of_ids.mapInArrow(sign, "id bigint, fine array<bigint>").dropDuplicates(["id", "fine"])
+
+
 def unshared(texts: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """For texts of the given ids: (id, alone), how many of a text's shingles occur in no other of them."""
 
