@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.operators.ordered import global_index, running_sums
+from clipwarden.operators.ordered import global_index, neighbours, running_sums
+from clipwarden.session import cut_lineage
 from clipwarden.spec import OVERLAP_WINDOW_SEC
 
 
@@ -104,6 +105,43 @@ def cross_overlap_counts(
     return _near_counts(_starts(b, key, start), _starts(a, key, start), window).withColumnRenamed("near", "overlaps")
 
 
+def overlap_details(df: DataFrame, key: str, start: str, window: float = OVERLAP_WINDOW_SEC) -> DataFrame:
+    """Per different start that overlaps another clip: key, start, copies, `nearest` other start and its `distance`.
+
+    A start that stands more than once is its own nearest, at distance 0; of two equally near ones the earlier is named.
+    """
+    starts = _starts(df, key, start)
+    flagged = starts.select("key", "start", F.lit(True).alias("asked"), F.lit(True).alias("there"))
+    near = neighbours(flagged, ["key"], "start", "asked", "there").join(starts.filter("copies > 1"), ["key", "start"], "left")
+    return _nearest(near.withColumn("same", F.col("copies").isNotNull()), window).withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
+
+
+def cross_overlap_details(
+    a: DataFrame, b: DataFrame, key: str, start: str, window: float = OVERLAP_WINDOW_SEC
+) -> DataFrame:
+    """Per different start of `a` that overlaps a clip of `b`: key, start, copies, the `nearest` start of `b`, `distance`."""
+    sides = _starts(a, key, start).withColumn("side", F.lit("a")).unionByName(_starts(b, key, start).withColumn("side", F.lit("b")))
+    copies = {k: F.sum(F.when(F.col("side") == k, F.col("copies"))) for k in "ab"}
+    both = sides.groupBy("key", "start").agg(copies["a"].alias("copies"), copies["b"].isNotNull().alias("there"))
+    both = cut_lineage(both.withColumn("asked", F.col("copies").isNotNull()))
+    own = both.filter("asked").select("key", "start", "copies", F.col("there").alias("same"))
+    near = neighbours(both, ["key"], "start", "asked", "there").join(own, ["key", "start"])
+    return _nearest(near, window)
+
+
+def _nearest(near: DataFrame, window: float) -> DataFrame:
+    """Name the nearest place of rows with `same` (one lies at the row's own start), `before` and `after`."""
+    s = F.col("start")
+    back, ahead = s - F.col("before"), F.col("after") - s
+    nearest = (
+        F.when(F.col("same"), s)
+        .when(F.col("after").isNull() | (back <= ahead), F.col("before"))
+        .otherwise(F.col("after"))
+    )
+    named = near.withColumn("nearest", nearest).withColumn("distance", F.abs(F.col("nearest") - s))
+    return named.filter(F.col("distance") < window).select("key", "start", "copies", "nearest", "distance")
+
+
 def touching(
     a: DataFrame, b: DataFrame, key: str, start: str, window: float = OVERLAP_WINDOW_SEC
 ) -> DataFrame:

@@ -8,12 +8,13 @@ worked on by itself and only one small summary per block crosses block borders.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +75,51 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, _null_safe(left, renamed, keys), how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _runs(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, list[tuple]]:
+    """First rows of the runs of one key in a batch, and the keys of the first and the last run."""
+    n = batch.num_rows
+    changed = np.zeros(n, bool)
+    changed[:1] = True
+    ends = []
+    for k in keys:
+        col = batch.column(batch.schema.get_field_index(k))
+        ends.append((col[0].as_py(), col[n - 1].as_py()))
+        if n > 1:
+            gone = col.is_null()
+            differs = pc.fill_null(pc.not_equal(col[1:], col[:-1]), False)
+            either = pc.or_(differs, pc.xor(gone[1:], gone[:-1]))
+            changed[1:] |= either.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(changed), [tuple(e[i] for e in ends) for i in (0, 1)]
+
+
+def _scan_blocks(
+    laid: DataFrame, keys: Sequence[str], values: Sequence[str]
+) -> dict[int, tuple[tuple, tuple, list]]:
+    """Per block: its first key, its last key, and the sums of `values` over the run of the last key."""
+
+    def run(batches):
+        block = first = last = None
+        tail = [0] * len(values)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts, (low, high) = _runs(batch, keys)
+            if block is None:
+                block, first = batch.column(batch.schema.get_field_index(BLOCK))[0].as_py(), low
+            at = int(starts[-1])
+            if len(starts) > 1 or low != last:
+                tail = [0] * len(values)
+            last = high
+            for i, v in enumerate(values):
+                tail[i] += pc.sum(batch.column(batch.schema.get_field_index(v))[at:]).as_py() or 0
+        if block is not None:
+            body = pickle.dumps((first, last, tail))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "body": pa.array([body], pa.binary())})
+
+    found = laid.select(*dict.fromkeys([*keys, *values, BLOCK])).mapInArrow(run, "block int, body binary").collect()
+    return {r["block"]: pickle.loads(bytes(r["body"])) for r in found}
+
+
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -81,23 +127,170 @@ def running_sums(
     sums: dict[str, Column],
     partitions: int | None = None,
 ) -> DataFrame:
-    """Inclusive running sums per key in `order`; one output column per entry of `sums`."""
-    vals = {f"_v_{name}": col for name, col in sums.items()}
+    """Inclusive running sums per key in `order`; one output column per entry of `sums`.
+
+    Rows are shuffled once, into sorted blocks. Sums run inside each block in one Arrow pass; only the first key of a
+    block can have begun before, so its base is what the blocks before it leave, one row per block.
+    """
+    keys, vals = list(keys), {f"_v_{name}": col for name, col in sums.items()}
     laid = layout(df.withColumns(vals), [*keys, *order], partitions)
-    group = [BLOCK, *keys]
-    inside = Window.partitionBy(*group).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    # at most one row per block and key; per key no more rows than blocks
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = laid.groupBy(*group).agg(*[F.sum(v).alias(v) for v in vals])
-    base = totals.select(
-        *[F.col(c).alias(f"_r_{c}") for c in group],
-        *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_b{v}") for v in vals],
-    )
-    local = laid.withColumns({name: F.sum(f"_v_{name}").over(inside) for name in sums})
-    joined = local.join(base, _null_safe(local, base, group), "left")
-    return joined.withColumns({name: F.col(name) + F.col(f"_b_v_{name}") for name in sums}).select(
-        *df.columns, *sums
-    )
+    kinds = {name: dict(laid.dtypes)[f"_v_{name}"] for name in sums}
+    bases: dict[int, list] = {}
+    if laid.rdd.getNumPartitions() > 1:
+        carried_key, carried = None, [0] * len(vals)
+        # the driver sees one row per block
+        for block, (first, last, tail) in sorted(_scan_blocks(laid, keys, list(vals)).items()):
+            go_on = first == carried_key
+            if go_on:
+                bases[block] = carried
+            carried = [a + b for a, b in zip(carried, tail)] if go_on and first == last else tail
+            carried_key = last
+    kept, names = df.columns, list(sums)
+
+    def add(batches):
+        last, tails, block = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts, (low, high) = _runs(batch, keys)
+            if block is None:
+                block = batch.column(batch.schema.get_field_index(BLOCK))[0].as_py()
+                before = bases.get(block)
+            else:
+                before = tails if low == last else None
+            sizes = np.diff(starts, append=batch.num_rows)
+            made, tails = [], []
+            for i, name in enumerate(names):
+                col = pc.fill_null(batch.column(batch.schema.get_field_index(f"_v_{name}")), 0)
+                upto = np.cumsum(col.to_numpy(zero_copy_only=False))
+                shift = np.concatenate((upto[:1] * 0, upto))[starts]
+                if before is not None:
+                    shift[0] -= before[i]
+                upto = upto - np.repeat(shift, sizes)
+                tails.append(upto[-1].item())
+                made.append(pa.array(upto))
+            last = high
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*cols, *made], names=[*kept, *names])
+
+    fields = [T.StructField(n, T._parse_datatype_string(k)) for n, k in kinds.items()]
+    return laid.mapInArrow(add, T.StructType([*df.schema.fields, *fields]))
+
+
+def neighbours(
+    df: DataFrame, keys: Sequence[str], value: str, asked: str, there: str, partitions: int | None = None
+) -> DataFrame:
+    """The nearest places before and after each asked row: (keys, value, before, after).
+
+    `df` has distinct (keys, value) rows with two flags: `asked` rows get the greatest smaller and the least greater value
+    among the `there` rows of their key. As-of search in both directions over one sorted layout: within a block in
+    one Arrow pass, and the last and next place of a key that spans blocks are carried over their borders.
+    """
+    keys = list(keys)
+    slim = df.select(*keys, F.col(value).cast("double").alias(value), asked, there)
+    laid = layout(slim, [*keys, value], partitions)
+
+    def borders(batches):
+        """(first key, last key, first place of the first key, last place of the last key)."""
+        block = first = last = least = most = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts, (low, high) = _runs(batch, keys)
+            if block is None:
+                block, first = batch.column(batch.schema.get_field_index(BLOCK))[0].as_py(), low
+            at = batch.column(batch.schema.get_field_index(value)).to_numpy(zero_copy_only=False)
+            real = batch.column(batch.schema.get_field_index(there)).to_numpy(zero_copy_only=False).astype(bool)
+            if least is None and low == first:
+                stop = starts[1] if len(starts) > 1 else len(at)
+                head = at[:stop][real[:stop]]
+                least = float(head[0]) if len(head) else None
+            if len(starts) > 1 or low != last:
+                most = None
+            tail = at[starts[-1] :][real[starts[-1] :]]
+            most = float(tail[-1]) if len(tail) else most
+            last = high
+        if block is not None:
+            body = pickle.dumps((first, last, least, most))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "body": pa.array([body], pa.binary())})
+
+    before: dict[int, float | None] = {}
+    after: dict[int, float | None] = {}
+    if laid.rdd.getNumPartitions() > 1:
+        rows = laid.select(*keys, value, there, BLOCK).mapInArrow(borders, "block int, body binary").collect()
+        seen = sorted((r["block"], pickle.loads(bytes(r["body"]))) for r in rows)
+        key, place = None, None
+        for block, (first, last, _, most) in seen:
+            before[block] = place if first == key else None
+            place = most if most is not None or first != last or first != key else place
+            key = last
+        key, place = None, None
+        for block, (first, last, least, _) in reversed(seen):
+            after[block] = place if last == key else None
+            place = least if least is not None or first != last or last != key else place
+            key = first
+
+    def search(batches):
+        key = block = place = None  # `place`: the last one of the current key
+        waiting: list[tuple] = []  # asked rows of the current key whose next place is still to come
+
+        def told(nxt: float | None) -> Iterator[pa.RecordBatch]:
+            for cols, at, low in waiting:
+                high = np.full(len(at), np.nan if nxt is None else nxt)
+                yield answers(cols, at, low, high)
+            waiting.clear()
+
+        def answers(cols, at, low, high) -> pa.RecordBatch:
+            found = [pa.array(x, from_pandas=True) for x in (low, high)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(at), *found], [*keys, value, "before", "after"])
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            starts, (low_key, high_key) = _runs(batch, keys)
+            at, want, real = (
+                batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in (value, asked, there)
+            )
+            want, real, rows = want.astype(bool), real.astype(bool), np.arange(n)
+            sizes = np.diff(starts, append=n)
+            begin, end = np.repeat(starts, sizes), np.repeat(starts + sizes, sizes)
+            earlier = np.concatenate(([-1], np.maximum.accumulate(np.where(real, rows, -1))))[:-1]
+            following = np.minimum.accumulate(np.where(real, rows, n)[::-1])[::-1]
+            later = np.concatenate((following, [n]))[1:]
+            if block is None:
+                block = batch.column(batch.schema.get_field_index(BLOCK))[0].as_py()
+                key, place = low_key, before.get(block)
+            elif low_key != key:
+                yield from told(None)
+                place = None
+            head = following[0] if following[0] < end[0] else None
+            if head is not None:
+                yield from told(float(at[head]))
+            elif len(starts) > 1:
+                yield from told(None)
+            first = np.nan if place is None else place
+            low = np.where(earlier >= begin, at[earlier], np.where(begin == 0, first, np.nan))
+            high = np.where(later < end, at[np.minimum(later, n - 1)], np.nan)
+            open_rows = (later >= end) & (end == n)
+            for chosen, wait in ((want & ~open_rows, False), (want & open_rows, True)):
+                if chosen.any():
+                    cols = [batch.column(batch.schema.get_field_index(k)).filter(pa.array(chosen)) for k in keys]
+                    if wait:
+                        waiting.append((cols, at[chosen], low[chosen]))
+                    else:
+                        yield answers(cols, at[chosen], low[chosen], high[chosen])
+            tail = at[starts[-1] :][real[starts[-1] :]]
+            if len(tail):
+                place = float(tail[-1])
+            elif len(starts) > 1:
+                place = None
+            key = high_key
+        yield from told(after.get(block))
+
+    kinds = dict(slim.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, value]) + ", before double, after double"
+    return laid.mapInArrow(search, schema)
 
 
 def rank_within(

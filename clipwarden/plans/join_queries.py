@@ -115,6 +115,38 @@ def j07(spark, d):
     return joins.cross_overlap_counts(*_halves(spark, d), "key", "start", WINDOW)
 
 
+def _detail_sql(a: str, b_side: str, window: str, own: int) -> str:
+    """The nearest start within the window, found among all pairs of a key."""
+    other = "(x.start <> y.start OR x.copies > 1)" if own else "true"
+    return f""", x AS (SELECT key, start, count(*) AS copies FROM {a} GROUP BY ALL), y AS (SELECT DISTINCT key, start FROM {b_side}),
+    p AS (SELECT x.key, x.start, x.copies, y.start AS nearest, abs(x.start - y.start) AS distance,
+        row_number() OVER (PARTITION BY x.key, x.start ORDER BY abs(x.start - y.start), y.start) AS rn
+      FROM x JOIN y ON x.key = y.key AND abs(x.start - y.start) < {window} AND {other})
+    SELECT key, start, copies, nearest, distance FROM p WHERE rn = 1"""
+
+
+@query("J06_overlap_details", f"WITH {b.STARTS_SQL} {_detail_sql('starts', 'starts', WINDOW, 1)}")
+def j06c(spark, d):
+    return joins.overlap_details(b.starts(spark, d), "key", "start", WINDOW)
+
+
+@query(
+    "J06_overlap_details_of_copies",
+    f"WITH {b.STARTS_SQL}, g AS (SELECT key, floor(start / 7200e0) * 7200e0 AS start FROM starts) {_detail_sql('g', 'g', '7200.5e0', 1)}",
+)
+def j06d(spark, d):
+    return joins.overlap_details(_copied_starts(spark, d), "key", "start", 7200.5)
+
+
+@query(
+    "J07_cross_overlap_details",
+    f"""WITH {b.STARTS_SQL}, even AS (SELECT * FROM starts WHERE event_id % 2 = 0), odd AS (SELECT * FROM starts WHERE event_id % 2 = 1)
+    {_detail_sql('even', 'odd', WINDOW, 0)}""",
+)
+def j07b(spark, d):
+    return joins.cross_overlap_details(*_halves(spark, d), "key", "start", WINDOW)
+
+
 @query(
     "J08_touching_rows",
     f"""WITH {b.STARTS_SQL} SELECT event_id, key, start FROM starts x WHERE event_id % 2 = 0 AND EXISTS (SELECT 1 FROM starts y

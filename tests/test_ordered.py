@@ -1,5 +1,7 @@
 """Order-dependent operators over several blocks, with one hot key, against plain loops."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -281,3 +283,19 @@ def test_thinning_of_a_hot_key_takes_few_rounds(spark):
         seen[blocks], got = jobs_of(spark, f"thin {blocks}", run)
         assert got == want
     assert seen[96] <= 2 * seen[24]
+
+def test_neighbours_of_a_hot_key(spark):
+    """Both directions against plain loops; one key spans 24 blocks, long stretches have no place at all."""
+    rnd = random.Random(8)
+    rows = {(k, float(v)): (rnd.random() < 0.6, v % 97 > 90 or (v > 3000 and v % 2 == 0)) for k in ("hot", None) for v in rnd.sample(range(6000), 2500)}
+    rows |= {(f"k{rnd.randint(0, 400)}", float(rnd.randint(0, 50))): (True, rnd.random() < 0.5) for _ in range(1500)}
+    df = spark.createDataFrame([(k, v, a, t) for (k, v), (a, t) in rows.items()], "key string, v double, asked boolean, there boolean")
+    want = set()
+    for (k, v), (a, _) in rows.items():
+        if a:
+            own = [x for (key, x), (_, t) in rows.items() if key == k and t]
+            want.add((k, v, max((x for x in own if x < v), default=None), min((x for x in own if x > v), default=None)))
+    for blocks in (1, 24):
+        got = {tuple(r) for r in ordered.neighbours(df, ["key"], "v", "asked", "there", partitions=blocks).collect()}
+        assert got == want
+    assert ordered.neighbours(df.limit(0), ["key"], "v", "asked", "there").count() == 0
