@@ -102,10 +102,12 @@ def g04(spark, d):
     rows = b.runlog(spark, d).select("run", "step", "loss")
     parts = [rows.filter("step < 2"), rows.filter("step >= 2 AND step < 4"), rows.filter("step >= 4")]
 
-    def build(arriving):
-        return streams.run_monitor(arriving, "run", "step", "loss", 0.9, 1, 0.05, 2)
-
-    t = _streamed(spark, "watched", parts, build)
+    path, out, state = (scratch_path(spark, f"watched_{k}") for k in ("in", "out", "checkpoint"))
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        arriving = streams.file_stream(spark, path, parts[0].schema)
+        streams.run_available(streams.run_monitor(arriving, "run", "step", "loss", out, 0.9, 1, 0.05, 2), state)
+    t = spark.read.parquet(f"{out}/rows").drop("batch_id")
     return t.select("run", "step", F.round("loss_ema", 9).alias("loss_ema"), "status")
 
 

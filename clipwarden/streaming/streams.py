@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clipwarden.operators import grade, lint
-from clipwarden.operators.logs import early_stop_scan
-from clipwarden.sources.manifests import classify_lines, parsed_rows, read_issues
+from clipwarden.operators.logs import early_stop_scan, ema_values
+from clipwarden.operators.ordered import carry_fold
+from clipwarden.session import cut_lineage
+from clipwarden.sources.manifests import classify_lines, parsed_rows, path_exists, read_issues
 from clipwarden.spec import OVERLAP_WINDOW_SEC, GradeThresholds
 
 
@@ -78,35 +80,91 @@ def new_rows(
     return rows.dropDuplicates([key])
 
 
+def watched(
+    rows: DataFrame, states: DataFrame, decay: float = 0.98, warmup: int = 0, min_delta: float = 0.005, patience: int = 2,
+    block_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Moving average and early stop of new rows (run, step, loss), continuing from `states`: (rows, new states).
+
+    A run's state is a first row of its own in an ordered fold over blocks of (run, step), so a run may span many tasks.
+    States have one row per run: run, ema, best, best_step, misses, stopped.
+    """
+    known = states.join(rows.select("run").distinct(), "run", "left_semi")
+    lined = rows.select("run", "step", "loss", F.lit(1).alias("kind")).unionByName(
+        known.select("*", F.lit(0).alias("kind")), allowMissingColumns=True
+    )
+
+    def average(state, part: pd.DataFrame):
+        # (average so far, decay^n, average of the rows when started from zero); a state row forgets what was before
+        values, seeds = part["loss"].to_numpy(dtype="float64"), part["ema"].to_numpy(dtype="float64")
+        seeded = int(part["kind"].iloc[0] == 0)
+        last, scale, offset = state if state is not None else (None, 1.0, 0.0)
+        if seeded:
+            last, scale, offset = float(seeds[0]), 0.0, float(seeds[0])
+        out, tail = ema_values(values[seeded:], decay, last), ema_values(values[seeded:], decay, offset)
+        n = len(out)
+        ends = (float(out[-1]), scale * decay**n, float(tail[-1])) if n else (last, scale, offset)
+        return ends, {"loss_ema": [seeds[0]] * seeded + out.tolist()}
+
+    def joined(before, tail):
+        now = tail[1] * before[0] + tail[2]
+        return (now, before[1] * tail[1], tail[1] * before[2] + tail[2])
+
+    smooth = carry_fold(
+        lined, ["run"], ["kind", "step"], ["loss", "ema", "kind"], average, {"loss_ema": "double"}, merge=joined,
+        block_rows=block_rows,
+    )
+    outputs = {"status": "string", "now_best": "double", "now_best_step": "bigint", "now_misses": "bigint", "now_stopped": "bigint"}
+
+    def judge(state, part: pd.DataFrame):
+        made: list[tuple] = []
+        if part["kind"].iloc[0] == 0:
+            best, at, misses, stopped = (None if pd.isna(v) else v for v in part.iloc[0][["best", "best_step", "misses", "stopped"]])
+            state = (float("inf") if best is None else best, at, int(misses or 0), stopped)
+            made.append(("state", best, at, state[2], stopped))
+            part = part.iloc[1:]
+        steps = part["step"].tolist()
+        state, flags = early_stop_scan(state, steps, part["loss"].tolist(), warmup, min_delta, patience)
+        stopped = state[3]
+        for s, (flag, best, at, misses) in zip(steps, flags):
+            gone = stopped if flag in ("stopped", "after_stop") else None
+            made.append((flag, best, at, misses, gone))
+        return state, dict(zip(outputs, zip(*made)))
+
+    kept = ["step", "loss", "kind", "best", "best_step", "misses", "stopped"]
+    told = cut_lineage(carry_fold(smooth, ["run"], ["kind", "step"], kept, judge, outputs, block_rows=block_rows))
+    last = F.struct("kind", "step")
+    ends = told.groupBy("run").agg(
+        *[F.max_by(v, last).alias(n) for n, v in {
+            "ema": "loss_ema", "best": "now_best", "best_step": "now_best_step", "misses": "now_misses", "stopped": "now_stopped",
+        }.items()]
+    )
+    after = states.join(ends.select("run"), "run", "left_anti").unionByName(ends)
+    return told.filter("kind = 1").select("run", "step", "loss", "loss_ema", "status"), after
+
+
 def run_monitor(
-    log: DataFrame, run: str, step: str, loss: str, decay: float = 0.98, warmup: int = 0,
-    min_delta: float = 0.005, patience: int = 2,
-) -> DataFrame:
-    """Moving average and early stop per run; each micro batch continues from the kept state."""
-
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ema, best, best_step, misses, stopped = state.get if state.exists else (None, None, None, 0, None)
-        rows = pd.concat(list(batches)).sort_values(step)
-        memory = (float("inf") if best is None else best, best_step, misses, stopped)
-        memory, flags = early_stop_scan(memory, rows[step].tolist(), rows[loss].tolist(), warmup, min_delta, patience)
-        emas = []
-        for v in rows[loss].tolist():
-            ema = v if ema is None else decay * ema + (1 - decay) * v
-            emas.append(ema)
-        best, best_step, misses, stopped = memory
-        state.update((ema, None if best == float("inf") else best, best_step, misses, stopped))
-        yield pd.DataFrame(
-            {"run": key[0], "step": rows[step], "loss": rows[loss], "loss_ema": emas, "status": [f[0] for f in flags]}
-        )
+    log: DataFrame, run: str, step: str, loss: str, path: str, decay: float = 0.98, warmup: int = 0,
+    min_delta: float = 0.005, patience: int = 2, block_rows: int | None = None,
+):
+    """Writer of the watched rows of each micro batch to `path`/rows; each continues from the states of the one before.
 
+    States are a table per batch, `path`/states. A replayed batch starts from the same states and overwrites its own
+    folders, so it changes nothing. No task holds a run: see `watched`.
+    """
+    spark = log.sparkSession
     kind = dict(log.dtypes)[run]
-    return log.groupBy(run).applyInPandasWithState(
-        advance,
-        f"run {kind}, step bigint, loss double, loss_ema double, status string",
-        "ema double, best double, best_step bigint, misses int, stopped bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    schema = f"run {kind}, ema double, best double, best_step bigint, misses bigint, stopped bigint"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = f"{path}/states/batch_id={batch_id - 1}"
+        states = spark.read.schema(schema).parquet(earlier) if path_exists(spark, earlier) else spark.createDataFrame([], schema)
+        rows = batch.select(F.col(run).alias("run"), F.col(step).cast("bigint").alias("step"), F.col(loss).cast("double").alias("loss"))
+        found, after = watched(rows, states, decay, warmup, min_delta, patience, block_rows)
+        found.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        after.write.mode("overwrite").parquet(f"{path}/states/batch_id={batch_id}")
+
+    return log.writeStream.foreachBatch(write)
 
 
 def overlap_monitor(

@@ -299,3 +299,30 @@ def test_neighbours_of_a_hot_key(spark):
         got = {tuple(r) for r in ordered.neighbours(df, ["key"], "v", "asked", "there", partitions=blocks).collect()}
         assert got == want
     assert ordered.neighbours(df.limit(0), ["key"], "v", "asked", "there").count() == 0
+
+
+def test_run_monitor_over_blocks_and_batches(spark):
+    """One run holds most rows and spans many blocks; its rows arrive in batches, the answer equals one plain pass."""
+    from clipwarden.operators.logs import early_stop_scan, ema_values
+    from clipwarden.streaming import streams
+
+    rnd = random.Random(2)
+    runs = {1: 900, 2: 40, 3: 1, None: 30}
+    rows = [(r, s, rnd.random() - s / 800) for r, n in runs.items() if r is not None for s in range(n)]
+    states = spark.createDataFrame([], "run bigint, ema double, best double, best_step bigint, misses bigint, stopped bigint")
+    got = []
+    for low, high in ((0, 300), (300, 301), (301, 1000)):
+        part = spark.createDataFrame([r for r in rows if low <= r[1] < high], "run bigint, step bigint, loss double")
+        found, states = streams.watched(part, states, 0.9, 3, 0.01, 40, block_rows=60)
+        again, _ = streams.watched(part, states.limit(0), 0.9, 3, 0.01, 40) if low == 0 else (found, None)
+        assert {(r.run, r.step, r.status) for r in again.collect()} == {(r.run, r.step, r.status) for r in found.collect()}
+        got += found.collect()
+        states = spark.createDataFrame(states.collect(), states.schema)
+    want = {}
+    for run in (1, 2, 3):
+        own = sorted((s, v) for r, s, v in rows if r == run)
+        emas = ema_values(np.array([v for _, v in own]), 0.9, None)
+        _, flags = early_stop_scan(None, [s for s, _ in own], [v for _, v in own], 3, 0.01, 40)
+        want |= {(run, s): (e, f[0]) for (s, _), e, f in zip(own, emas, flags)}
+    assert {(r.run, r.step): r.status for r in got} == {k: v[1] for k, v in want.items()}
+    assert all(abs(r.loss_ema - want[r.run, r.step][0]) < 1e-9 for r in got)
