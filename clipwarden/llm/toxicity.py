@@ -20,7 +20,7 @@ Bounds: at most `MAX_TEXTS` labelled texts (those of the least id hashes), `MAX_
 kind and `LANDMARKS` landmarks are used. All texts are scored whole.
 
 Defined results: null and empty texts have the lowest margins; a text of one word has that word's margin twice;
-texts without any label to learn from score 0; repeated rows give repeated results; an empty table gives an empty
+texts score 0 without labels of both kinds to learn from, or words to tell them by; repeated rows give repeated results; an empty table gives an empty
 result. Other columns are never read.
 """
 
@@ -356,8 +356,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     share = min(max(about.share or 0.0, 1e-6), 0.5)
     # so many toxic sentences with a word, and hardly a clean one, are chance for less than a word in the table
     least = max(2, math.ceil((math.log(max(2, counts.count())) + 1) / -math.log(share)))
+    marked = counts.filter((F.col("toxic") > 0) & (F.col("clean") * CLEAN_SHARE <= F.col("toxic")))
+    best = marked.agg(F.max("toxic").alias("most")).first().most
+    # in few labelled texts no word may be that sure: those of most evidence speak then
     found = (
-        counts.filter((F.col("toxic") >= least) & (F.col("clean") * CLEAN_SHARE <= F.col("toxic")))
+        marked.filter(F.col("toxic") >= min(least, best or least))
         .orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()
     )
     toxic, weight = [r.word for r in found], [float(r.toxic) ** 0.5 for r in found]

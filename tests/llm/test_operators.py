@@ -282,6 +282,15 @@ def test_toxicity_of_spaced_insults(spark, make):
     assert min(got[i] for i in range(4)) >= 0.7 > got[4]
 
 
+def test_toxicity_of_few_labels(spark, make):
+    """With both labels present a model is trained, however few texts there are."""
+    bad = [(k, f"you are an idiot today {w}") for k, w in enumerate(["north", "south", "east", "west"])]
+    good = [(k + 10, f"the garden is green and {w}") for k, w in enumerate(["warm", "wide", "old", "calm"])]
+    labels = spark.createDataFrame([(k, 1) for k, _ in bad] + [(k, 0) for k, _ in good], "doc_id bigint, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(make(bad + good), labels.filter(~toxicity.held_out())).collect()}
+    assert min(got[k] for k, _ in bad) > max(got[k] for k, _ in good)
+
+
 def test_kernel_tolerates_gaps():
     toxic = ["idiot", "moron", "worthless", "pathetic"]
     toxic += [v for w in toxic for v in toxicity.disguised(w)]
