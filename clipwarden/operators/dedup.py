@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwarden.functions.numbers import comparable_text, fixed_text
+from clipwarden.operators.latest import edge_rows
 from clipwarden.operators.ordered import carry_fold, join_null_safe
 from clipwarden.spec import OVERLAP_WINDOW_SEC
 
@@ -112,7 +113,7 @@ def one_per_source(
     """Keep the earliest valid clip per source; every row gets one decision and a reason.
 
     Needs `source_frames` and `dup_ratio`; null in either means unusable metrics. The choice is one
-    small aggregate per source joined back, so a hot source is never gathered. With `compat=True`
+    small row per source joined back, so a hot source is never gathered. With `compat=True`
     a source without candidates reports its earliest clip as kept *and* as removed, and rows with
     unusable metrics vanish there and count as later rows elsewhere.
     """
@@ -123,10 +124,13 @@ def one_per_source(
     valid = usable & ~short & ~repeated
     rank = F.struct(start, *tiebreak)
     rows = clips.withColumns({"_rank": rank, "_valid": valid, "_short": short, "_rep": repeated})
-    best = rows.groupBy(source).agg(
-        F.min(F.when(c("_valid"), c("_rank"))).alias("_best"), F.min("_rank").alias("_first")
+    ranks = rows.select(source, start, *tiebreak, "_rank", "_valid")
+    first = edge_rows(ranks, [source], [start, *tiebreak], last=False)
+    best = edge_rows(ranks.filter("_valid"), [source], [start, *tiebreak], last=False)
+    picks = join_null_safe(
+        first.select(source, c("_rank").alias("_first")), best.select(source, c("_rank").alias("_best")), [source], "left"
     )
-    joined = join_null_safe(rows, best, [source])
+    joined = join_null_safe(rows, picks, [source])
     fallback = c("_best").isNull()
     chosen = F.coalesce(c("_rank") == c("_best"), F.lit(False))
     first = fallback & (c("_rank") == c("_first"))
@@ -164,13 +168,7 @@ def one_per_source(
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last row per key in `order`."""
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-        .select(*keys, "_last.*")
-        .select(*df.columns)
-    )
+    return edge_rows(df, keys, order)
 
 
 def thin_overlaps(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions import paths, scores, text
 from clipwarden.functions.numbers import with_fixed_text
+from clipwarden.operators.latest import edge_rows
 from clipwarden.spec import GradeThresholds, TargetSpec
 
 
@@ -160,15 +161,10 @@ def attach_quality(manifest: DataFrame, quality: DataFrame) -> DataFrame:
 
 
 def latest_by_name(quality: DataFrame, name: Column, order: list[str]) -> DataFrame:
-    """Last row per name in `order`; partial aggregation keeps hot names cheap."""
+    """Last row per name in `order`, without rows that have no name."""
     cols = [c for c in quality.columns if c != "name"]
-    return (
-        quality.withColumn("name", name)
-        .filter(F.col("name") != "")
-        .groupBy("name")
-        .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
-        .select("name", "_last.*")
-    )
+    named = quality.withColumn("name", name).filter(F.col("name") != "")
+    return edge_rows(named, ["name"], order, narrow_first=False).select("name", *cols)
 
 
 def quality_summary(graded: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.functions import numbers, paths, scores, text, urls
 from clipwarden.operators import compare, dedup, grade, lint, prescreen, profile, select, validate
+from clipwarden.operators.latest import edge_rows
 from clipwarden.sources import manifests
 from clipwarden.spec import GradeThresholds, LintConfig
 
@@ -345,3 +346,27 @@ def test_copies_do_not_multiply_in_comparisons(spark):
     t = compare.compare_versions(df, df, fields=["width"])
     assert t.count() == 1 and t.first()["pairs"] == 2500
     assert compare.field_agreement(t, ["width"]).first()["same"] == 2500
+
+
+def test_edge_rows_against_a_plain_loop(spark):
+    """Nulls, ties on the leading column, a hot key, both ends, and either way."""
+    rows = [(k, o, str(t), f"{k}{o}{t}") for k in ("a", "b", None) for o in (None, 1, 3, 3) for t in (2, 10)]
+    rows += [("hot", i % 7, str(i), f"h{i}") for i in range(500)] + [("void", None, None, "v")]
+    df = spark.createDataFrame(rows, "k string, o long, t string, p string").repartition(7)
+    low = lambda r: ((r[1] is not None, r[1] or 0), (r[2] is not None, r[2] or ""))
+    for last in (True, False):
+        expected = {}
+        for r in rows:
+            best = expected.get(r[0])
+            if best is None or (low(r) > low(best) if last else low(r) < low(best)):
+                expected[r[0]] = r
+        for narrow in (True, False):
+            got = edge_rows(df, ["k"], ["o", "t"], last, narrow).collect()
+            assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected.values()))
+    assert edge_rows(df.limit(0), ["k"], ["o", "t"]).count() == 0
+
+
+def test_edge_rows_needs_no_sort_aggregate(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS o", "cast(id AS string) AS p")
+    plan = edge_rows(df, ["k"], ["o"])._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and "WindowGroupLimit" in plan
