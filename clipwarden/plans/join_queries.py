@@ -281,6 +281,31 @@ def w07(spark, d):
     return merge.unique_ids(rows, "clip_id", b.ROW_ORDER).select(*b.ROW_ORDER, "new_id")
 
 
+# each customer's orders carry ids that repeats of shorter ids would get: c, c, c_1, c_2, c_1_1, ...
+_CONTESTED_SQL = """o AS (SELECT o_orderkey, o_custkey, 'c' || o_custkey || CASE o_orderkey % 7 WHEN 3 THEN '_1' WHEN 4 THEN '_2'
+    WHEN 5 THEN '_1_1' WHEN 6 THEN '_4' ELSE '' END AS id FROM orders),
+    n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM o)"""
+
+
+@query(
+    "W07_contested_ids",
+    f"""WITH RECURSIVE {_CONTESTED_SQL},
+    s AS (SELECT o_custkey, o_orderkey, rn, id AS new_id, [id] AS taken FROM n WHERE rn = 1
+      UNION ALL SELECT o_custkey, o_orderkey, rn, new_id, list_append(taken, new_id) FROM (
+        SELECT n.o_custkey, n.o_orderkey, n.rn, s.taken, CASE WHEN NOT list_contains(s.taken, n.id) THEN n.id
+          ELSE n.id || '_' || list_min(list_filter(range(1, len(s.taken) + 2), lambda k: NOT list_contains(s.taken, n.id || '_' || k))) END AS new_id
+        FROM s JOIN n ON n.o_custkey = s.o_custkey AND n.rn = s.rn + 1))
+    SELECT o_orderkey, new_id FROM s""",
+)
+def w07_contested(spark, d):
+    end = (
+        F.when(c("o_orderkey") % 7 == 3, "_1").when(c("o_orderkey") % 7 == 4, "_2")
+        .when(c("o_orderkey") % 7 == 5, "_1_1").when(c("o_orderkey") % 7 == 6, "_4").otherwise("")
+    )
+    rows = b.table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("c"), c("o_custkey").cast("string"), end).alias("id"))
+    return merge.unique_ids(rows, "id", ["o_orderkey"]).select("o_orderkey", "new_id")
+
+
 @query(
     "W10_temporal_thirds",
     f"""WITH {b.RUNLOG_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step) - 1 AS p, count(*) OVER (PARTITION BY run) AS n FROM runlog),

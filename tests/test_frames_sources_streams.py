@@ -1,5 +1,6 @@
 """Frame kernels against numpy, readers and writers on small files, streams against batches."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -202,3 +203,29 @@ def test_overlap_monitor_keeps_state(spark):
     streams.run_available(streams.to_batches(judged, out), scratch_path(spark, "state"))
     got = {r["arrival"]: r["overlaps"] for r in spark.read.parquet(out).collect()}
     assert got == {1: False, 2: False, 3: True, 4: True, 5: False, 6: False, 7: True}
+
+
+def test_content_hashes_of_any_size(spark, tmp_path):
+    """Small chunks, files on either side of the bound, empty files, names with spaces; nothing is lost or read twice."""
+    want = {}
+    for i, size in enumerate((0, 1, 6, 7, 8, 50, 1000)):
+        body = bytes((i * 31 + k) % 256 for k in range(size))
+        (tmp_path / f"clip {i}%.mp4").write_bytes(body)
+        want[f"clip {i}%.mp4"] = hashlib.sha256(body).hexdigest()
+    for bound in (0, 7, 8, 10**6):
+        got = files.content_hashes(spark, str(tmp_path), stream_from=bound, chunk_bytes=7).collect()
+        assert {r["name"]: r["sha256"] for r in got} == want and len(got) == len(want)
+    listed = {r["name"]: r["bytes"] for r in files.list_files(spark, str(tmp_path)).collect()}
+    assert listed.keys() == want.keys() and listed["clip 0%.mp4"] == 0 and listed["clip 6%.mp4"] == 1000
+
+
+def test_content_hashes_of_a_file_above_two_gigabytes(spark, tmp_path):
+    size = (1 << 31) + 5
+    with open(tmp_path / "large.bin", "wb") as out:
+        out.truncate(size)  # sparse: takes no room on the disk
+    digest, block = hashlib.sha256(), bytes(1 << 20)
+    for _ in range(1 << 11):
+        digest.update(block)
+    digest.update(bytes(5))
+    got = files.content_hashes(spark, str(tmp_path)).collect()
+    assert [(r["name"], r["sha256"]) for r in got] == [("large.bin", digest.hexdigest())]
