@@ -81,7 +81,12 @@ def g03(spark, d):
     history = b.table(spark, d, "orders").filter(c("o_custkey") % 3 == 0).select(c("o_orderkey").alias("id"))
     # most ids arrive in both runs: the second one meets the memory of the first
     parts = [ids.filter("l_linenumber % 2 = 1").select("id"), ids.filter("l_linenumber % 2 = 0").select("id")]
-    return _streamed(spark, "new", parts, lambda arriving: streams.new_rows(arriving, "id", history))
+    path, out, state = (scratch_path(spark, f"new_{k}") for k in ("in", "out", "checkpoint"))
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        arriving = streams.file_stream(spark, path, part.schema)
+        streams.run_available(streams.new_rows_writer(arriving, "id", out, history), state)
+    return spark.read.parquet(out).select("id")
 
 
 @query(

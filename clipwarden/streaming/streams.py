@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from clipwarden.operators import grade, lint
 from clipwarden.operators.logs import early_stop_scan, ema_values
-from clipwarden.operators.ordered import carry_fold
+from clipwarden.operators.ordered import carry_fold, join_null_safe
 from clipwarden.session import cut_lineage
 from clipwarden.sources.manifests import classify_lines, parsed_rows, path_exists, read_issues
 from clipwarden.spec import OVERLAP_WINDOW_SEC, GradeThresholds
@@ -72,7 +73,8 @@ def new_rows(
 ) -> DataFrame:
     """Rows whose key was seen neither in `history` nor earlier in the stream.
 
-    With `ts` the memory of seen keys is bounded by the watermark.
+    With `ts` the memory of seen keys is bounded by the watermark; without it the state store holds every key:
+    `new_rows_writer` keeps them in a table.
     """
     rows = stream if history is None else stream.join(history.select(key), key, "left_anti")
     if ts:
@@ -80,6 +82,60 @@ def new_rows(
     return rows.dropDuplicates([key])
 
 
+#: Bits of one bitmap of `bitmap_construct_agg`.
+BITMAP_BITS = 32768
+
+
+def maybe_in(rows: DataFrame, probe: DataFrame, key: str, blocks: int = 256, hashes: int = 4) -> DataFrame:
+    """Rows whose key may stand in `probe`: all that do, and a few that do not.
+
+    A blocked Bloom filter of the keys of `probe`: a hash picks one of `blocks` bitmaps, `hashes` others pick
+    its bits. It is broadcast and takes 4 KB a block however many keys there are; more keys only let more
+    rows through. Nothing of `rows` is shuffled.
+    """
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")
+    bits = [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(BITMAP_BITS)).cast("int") for i in range(hashes)]
+    maps = probe.select(block, F.explode(F.array(*bits)).alias("_bit")).groupBy("_block").agg(
+        F.bitmap_construct_agg("_bit").alias("_map")
+    )
+
+    def is_set(bit: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(F.col("_map"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.call_function("getbit", byte, bit % 8) == 1
+
+    held = rows.withColumn("_block", block).join(F.broadcast(maps), "_block")
+    for bit in bits:
+        held = held.filter(is_set(bit))
+    return held.select(*rows.columns)
+
+
+def unseen(rows: DataFrame, key: str, seen: DataFrame, blocks: int = 256) -> DataFrame:
+    """One row of each key of `rows` that is not in `seen`; a null is a key like any other.
+
+    Of the stored keys only those that pass the Bloom filter of `rows` are shuffled; the anti join is exact.
+    """
+    stored = maybe_in(seen.select(key), rows.select(key), key, blocks)
+    return join_null_safe(rows.dropDuplicates([key]), stored, [key], "left_anti")
+
+
+def new_rows_writer(stream: DataFrame, key: str, path: str, history: DataFrame | None = None, blocks: int = 256):
+    """Writer of the rows whose key is neither in `history` nor in an earlier micro batch.
+
+    The rows found so far, one folder per batch, are themselves the memory, so the state store stays empty.
+    A replayed batch looks at earlier batches only and overwrites its own folder.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = batch.select(key).limit(0) if history is None else history.select(key)
+        if path_exists(spark, path):
+            found = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(path)
+            seen = seen.unionByName(found.filter(F.col("batch_id") < batch_id).select(key))
+        unseen(batch, key, seen, blocks).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return stream.writeStream.foreachBatch(write)
+
+
 def watched(
     rows: DataFrame, states: DataFrame, decay: float = 0.98, warmup: int = 0, min_delta: float = 0.005, patience: int = 2,
     block_rows: int | None = None,

@@ -229,3 +229,33 @@ def test_content_hashes_of_a_file_above_two_gigabytes(spark, tmp_path):
     digest.update(bytes(5))
     got = files.content_hashes(spark, str(tmp_path)).collect()
     assert [(r["name"], r["sha256"]) for r in got] == [("large.bin", digest.hexdigest())]
+
+
+def test_new_rows_from_a_table(spark):
+    """Nulls, repeats, a history, and a filter of one bitmap that lets nearly everything through."""
+    parts = [[1, 2, 2, None], [2, 3, None], [1, 4, *range(100, 9000)]]
+    for blocks in (1, 64):
+        path, out = scratch_path(spark, "ids"), scratch_path(spark, "out")
+        for part in parts:
+            spark.createDataFrame([(i,) for i in part], "id int").coalesce(1).write.mode("append").parquet(path)
+        stream = streams.file_stream(spark, path, "id int", max_files=1)
+        history = spark.createDataFrame([(4,), *((i,) for i in range(100, 20000, 2))], "id int")
+        streams.run_available(streams.new_rows_writer(stream, "id", out, history, blocks), scratch_path(spark, "state"))
+        got = [r["id"] for r in spark.read.parquet(out).collect()]
+        assert len(got) == len(set(got)) and set(got) == {1, 2, 3, None, *range(101, 9000, 2)}
+
+
+def test_bloom_filter_keeps_all_and_leaves_out_most(spark):
+    rows, probe = spark.range(20000), spark.range(0, 20000, 40)
+    kept = {r["id"] for r in streams.maybe_in(rows, probe, "id", 16).collect()}
+    assert kept >= set(range(0, 20000, 40)) and len(kept) < 600
+    assert streams.maybe_in(rows, probe.limit(0), "id").count() == 0
+
+
+def test_replayed_batch_changes_nothing(spark):
+    out = scratch_path(spark, "out")
+    spark.createDataFrame([(1,), (2,)], "id int").write.parquet(f"{out}/batch_id=0")
+    batch, seen = spark.createDataFrame([(2,), (3,)], "id int"), spark.read.parquet(out)
+    for _ in range(2):
+        streams.unseen(batch, "id", seen.filter("batch_id < 1")).write.mode("overwrite").parquet(f"{out}/batch_id=1")
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
