@@ -5,7 +5,7 @@ host and path are arrays of substrings hashed by `HashingTF`, and the regression
 labelled table, by default one made of the seed words below.
 
 Defined results: a null url or one without `://` has an empty host and path, which no rule fits and the
-regression judges like any other; repeated rows give repeated results; an empty table gives an empty result.
+regression judges like any other; a very long url is judged whole, in time proportional to its length; repeated rows give repeated results; an empty table gives an empty result.
 Other columns are kept out of the result.
 """
 
@@ -87,16 +87,21 @@ def with_parts(df: DataFrame, url_col: str) -> DataFrame:
 
 
 def with_grams(df: DataFrame) -> DataFrame:
-    """Adds `grams`: all substrings of host and path of the lengths in `GRAMS`, ends marked."""
-    marked = df.withColumn("_marked", F.concat(F.lit("^"), "host", "path", F.lit("$")))
-    per_size = [
-        F.when(
-            F.length("_marked") >= n,
-            F.transform(F.sequence(F.lit(1), F.length("_marked") - (n - 1)), lambda i, n=n: F.substring("_marked", i, n)),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in GRAMS
-    ]
-    return marked.withColumn("grams", F.concat(*per_size)).drop("_marked")
+    """Adds `grams`: all substrings of host and path of the lengths in `GRAMS`, ends marked.
+
+    The text is cut into characters once and grams are put together from these, so a url takes time in
+    proportion to its length, however long it is.
+    """
+    marked = F.concat(F.lit("^"), "host", "path", F.lit("$"))
+
+    def per_size(chars: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size(chars) - n)
+        built = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)]))
+        return F.when(F.size(chars) >= n, built).otherwise(F.array().cast("array<string>"))
+
+    # bound by the outer lambda: a column could be inlined and cut anew for each gram
+    made = F.transform(F.array(F.split(marked, "")), lambda chars: F.concat(*[per_size(chars, n) for n in GRAMS]))
+    return df.withColumn("grams", F.get(made, F.lit(0)))
 
 
 def hashing() -> HashingTF:

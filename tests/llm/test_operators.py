@@ -255,6 +255,21 @@ def test_url_model_on_unseen_hosts(spark):
     assert min(got[i] for i in range(3)) > max(got[i] for i in range(3, 6))
 
 
+def test_url_scores_against_a_plain_sum(spark):
+    """Grams by slicing, their weights added up and squashed; one url of a million characters among them."""
+    odd = ["https://a.com/é😀b/c?x", "http://x", "", None, "http://" + "ab" * 20, "q://", "http://h/" + "xyzß" * 250_000]
+    df = spark.createDataFrame(list(enumerate(odd)), "page_id int, url string")
+    model, hashing = urls.train(urls.seed_table(spark)), urls.hashing()
+    weights = model.coefficients.toArray()
+    got = urls.judge(df, model).collect()
+    assert len(got) == len(odd)
+    for r in got:
+        marked = "^" + "".join(split_url(odd[r.page_id])) + "$"
+        grams = {marked[i : i + n] for n in urls.GRAMS for i in range(len(marked) - n + 1)}
+        total = model.intercept + sum(weights[k] for k in {hashing.indexOf(g) for g in grams})
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+
+
 def test_toxicity(spark, make, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
