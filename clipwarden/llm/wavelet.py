@@ -53,10 +53,11 @@ class WaveletMatrix:
             plane = np.zeros(size, np.uint8)
             packed = np.packbits(ones)
             plane[: len(packed)] = packed
-            low = row[~ones]
+            # by places, as a mask of mixed bits is slow to index with
+            low = row[np.flatnonzero(~ones)]
             planes.append(plane)
             zeros.append(len(low))
-            row = np.concatenate((low, row[ones]))
+            row = np.concatenate((low, row[np.flatnonzero(ones)]))
         return cls(n, planes, zeros)
 
     def decode(self) -> np.ndarray:
@@ -68,8 +69,8 @@ class WaveletMatrix:
             ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             up = np.empty(self.n, kind)
             z = self.zeros[level]
-            up[~ones] = row[:z]
-            up[ones] = row[z:] | kind(1 << (bits - 1 - level))
+            up[np.flatnonzero(~ones)] = row[:z]
+            up[np.flatnonzero(ones)] = row[z:] | kind(1 << (bits - 1 - level))
             row = up
         return row
 
