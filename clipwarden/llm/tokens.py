@@ -83,9 +83,13 @@ class UnitTable(dict):
         return found
 
 
+#: Looked for one by one: a single character is found much faster than two.
+BEFORE_SPACE = [(c, c + " ") for c in WHITE]
+
+
 def cuttable(text: str) -> bool:
     """Whether every single space of `text` may be a cut: none has white space on both sides."""
-    if any(c + " " in text for c in WHITE):
+    if any(c in text and pair in text for c, pair in BEFORE_SPACE):
         return re.search(rf"[{WHITE}] [{WHITE}]|[{WHITE}] \Z", text) is None
     return True
 
