@@ -224,16 +224,27 @@ def run_monitor(
 
 
 def overlap_monitor(
-    clips: DataFrame, key: str, start: str, arrival: str, window: float = OVERLAP_WINDOW_SEC,
-    retention_seconds: float | None = None, windows_per_bin: int = 64,
+    clips: DataFrame, key: str, start: str, arrival: str, window: float = OVERLAP_WINDOW_SEC, ts: str | None = None,
+    retention_seconds: float | None = None, watermark: str = "1 hour", windows_per_bin: int = 64,
 ) -> DataFrame:
     """Marks arriving clips that start closer than `window` to an earlier arrival of the same key.
 
-    State is kept per key and time bin, so a hot key spreads over tasks: rows near the edge of a
-    bin are also shown to the neighbouring bin, and each row is judged in its own. Equal starts are
-    stored once. A bin forgets its starts `retention_seconds` (of processing time) after it last
-    saw a row.
+    State is kept per key and time bin, so a hot key spreads over tasks: rows near the edge of a bin are also shown
+    to the neighbouring bin, and each row is judged in its own. A bin is cut into cells as wide as the window and
+    keeps the least and the greatest start of each, as these decide for every later row: the state of a bin has at
+    most `windows_per_bin` + 2 cells however many clips arrive.
+
+    With `ts` and `retention_seconds` a bin forgets its starts once the watermark has passed its latest row by that
+    much, so the answer does not depend on how fast rows arrive; rows behind the watermark are late and left out.
+    Without them nothing is forgotten. An arrival that is null comes first of its batch, and of
+    equal ones the smaller start; clips whose start is null or not a number are left out.
     """
+    if (ts is None) != (retention_seconds is None):
+        raise ValueError("ts and retention_seconds go together")
+    forget = ts is not None
+    if forget:
+        clips = clips.withWatermark(ts, watermark)
+    clips = clips.filter(F.col(start).isNotNull() & ~F.isnan(F.col(start).cast("double")))
     width = F.lit(float(window * windows_per_bin))
     bins = F.floor(F.col(start) / width)
     into = F.col(start) - bins * width
@@ -245,6 +256,7 @@ def overlap_monitor(
         F.col(start).cast("double").alias("start"),
         F.col(arrival).cast("bigint").alias("arrival"),
         bins.alias("own"),
+        *([F.col(ts).alias("ts")] if forget else []),
         F.explode(F.array_compact(reach)).alias("bin"),
     )
 
@@ -252,31 +264,38 @@ def overlap_monitor(
         if state.hasTimedOut:
             state.remove()
             return
-        import bisect
-
-        seen: list[float] = sorted(state.get[0]) if state.exists else []
-        rows = pd.concat(list(batches)).sort_values("arrival")
+        cells, low, high, latest = state.get if state.exists else ([], [], [], None)
+        ends = dict(zip(cells, zip(low, high)))
+        parts = []
+        for pdf in batches:
+            parts.append(pdf[["arrival", "start", "own"]].astype({"arrival": "Int64"}))
+            if forget and pdf["ts"].notna().any():
+                newest = int(pdf["ts"].max().timestamp() * 1000)
+                latest = newest if latest is None else max(latest, newest)
+        rows = pd.concat(parts).sort_values(["arrival", "start"], na_position="first")
         marks = []
-        for s, arrived, own in zip(rows["start"].tolist(), rows["arrival"].tolist(), rows["own"].tolist()):
-            at = bisect.bisect_left(seen, s)
-            near = [seen[i] for i in (at - 1, at) if 0 <= i < len(seen)]
+        for arrived, s, own in rows.itertuples(index=False):
+            cell = int(s // window)
+            # a start closer than the window lies at most one cell away, two where the division rounds
+            near = any(abs(s - q) < window for k in range(cell - 2, cell + 3) for q in ends.get(k, ()))
             if own == group[1]:
-                marks.append((group[0], s, arrived, any(abs(s - q) < window for q in near)))
-            if at == len(seen) or seen[at] != s:
-                seen.insert(at, s)
-        state.update((seen,))
-        if retention_seconds:
-            state.setTimeoutDuration(int(retention_seconds * 1000))
+                marks.append((group[0], s, arrived, near))
+            least, most = ends.get(cell, (s, s))
+            ends[cell] = (min(least, s), max(most, s))
+        state.update((list(ends), [e[0] for e in ends.values()], [e[1] for e in ends.values()], latest))
+        if forget and latest is not None:
+            due = latest + int(retention_seconds * 1000)
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         if marks:
-            yield pd.DataFrame(marks, columns=["key", "start", "arrival", "overlaps"])
+            yield pd.DataFrame(marks, columns=["key", "start", "arrival", "overlaps"]).astype({"arrival": "Int64"})
 
     kind = dict(shown.dtypes)["key"]
     return shown.groupBy("key", "bin").applyInPandasWithState(
         judge,
         f"key {kind}, start double, arrival bigint, overlaps boolean",
-        "starts array<double>",
+        "cells array<bigint>, low array<double>, high array<double>, latest bigint",
         "append",
-        GroupStateTimeout.ProcessingTimeTimeout if retention_seconds else GroupStateTimeout.NoTimeout,
+        GroupStateTimeout.EventTimeTimeout if forget else GroupStateTimeout.NoTimeout,
     )
 
 

@@ -1,7 +1,9 @@
 """Frame kernels against numpy, readers and writers on small files, streams against batches."""
 
+import datetime
 import hashlib
 import math
+import random
 
 import numpy as np
 import pytest
@@ -205,6 +207,40 @@ def test_overlap_monitor_keeps_state(spark):
     assert got == {1: False, 2: False, 3: True, 4: True, 5: False, 6: False, 7: True}
 
 
+def _judged(spark, batches, schema, window, **options):
+    """Verdicts by arrival, one micro batch and one run after the other."""
+    path, out, state = (scratch_path(spark, n) for n in ("clips", "out", "state"))
+    for part in batches:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        judged = streams.overlap_monitor(streams.file_stream(spark, path, schema), "key", "start", "n", window, **options)
+        streams.run_available(streams.to_batches(judged, out), state)
+    return {r["arrival"]: r["overlaps"] for r in spark.read.parquet(out).collect()}
+
+
+def test_overlap_monitor_against_all_pairs(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice("ab"), round(draw.uniform(-40, 40), draw.choice([0, 1, 3])), n) for n in range(240)]
+    rows[7] = ("a", float("nan"), 7)
+    got = _judged(spark, [rows[:90], rows[90:150], rows[150:]], "key string, start double, n long", 0.7, windows_per_bin=4)
+    starts = [r for r in rows if r[1] == r[1]]
+    assert got == {n: any(k == key and abs(s - q) < 0.7 for k, q, _ in starts[:i]) for i, (key, s, n) in enumerate(starts)}
+
+
+def test_overlap_monitor_forgets_by_event_time(spark):
+    day = datetime.datetime(2024, 1, 1, tzinfo=datetime.UTC)
+    batches = [
+        [("k", 10.0, 1, day)],
+        [("k", 1000.0, 2, day + datetime.timedelta(days=3))],
+        [("k", 11.0, 3, day + datetime.timedelta(days=3)), ("k", 1001.0, 4, day + datetime.timedelta(days=3))],
+    ]
+    schema = "key string, start double, n long, ts timestamp"
+    kept = _judged(spark, batches, schema, 4.5)
+    assert kept == {1: False, 2: False, 3: True, 4: True}
+    for days, seen in ((1, False), (30, True)):
+        got = _judged(spark, batches, schema, 4.5, ts="ts", retention_seconds=86400.0 * days)
+        assert got == {1: False, 2: False, 3: seen, 4: True}
+
+
 def test_content_hashes_of_any_size(spark, tmp_path):
     """Small chunks, files on either side of the bound, empty files, names with spaces; nothing is lost or read twice."""
     want = {}
