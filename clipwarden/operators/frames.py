@@ -9,16 +9,18 @@ a long clip is spread over many tasks. Kernels return sums, which Spark adds up
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipwarden.functions import scores
-from clipwarden.operators.ordered import exact_quantiles
-from clipwarden.session import cut_lineage
+from clipwarden.operators.joins import maybe_in
+from clipwarden.operators.ordered import exact_quantiles, rank_columns, ranked_quantiles
+from clipwarden.session import cut_lineage, scratch_path
 from clipwarden.spec import TargetSpec
 
 BLOCK_FRAMES = 64
@@ -307,21 +309,52 @@ def jerk_metrics(partials: DataFrame, partitions: int | None = None) -> DataFram
     return means.join(exact_quantiles(j, ["clip_id"], "jerk", {"jerk_p95": 0.95}, partitions=partitions), "clip_id")
 
 
-def luma_quantiles(frames: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Exact luma p01 and p99 per clip; equal lumas are counted per batch before any shuffle."""
+def luma_quantiles(frames: DataFrame, bins: int = 1024) -> DataFrame:
+    """Exact luma p01 and p99 per clip, selected in two steps.
+
+    Pixels are read once: each batch of frames leaves one stored row per clip and bin, with the bin's different lumas
+    and their counts. Bin totals, at most `bins` a clip, tell which bins hold the ranks; only lumas of those are shuffled.
+    """
+    spark, probs = frames.sparkSession, {"luma_p01": 0.01, "luma_p99": 0.99}
+    width = int(LUMA_UNIT) // bins + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for clip, part in pdf.groupby("clip_id", sort=False):
                 values = np.concatenate([luma_units(_image(r)).ravel() for r in part.itertuples(index=False)])
+                if not len(values):
+                    continue
                 uniq, n = np.unique(values, return_counts=True)
-                yield pd.DataFrame({"clip_id": clip, "units": uniq, "n": n})
-
-    counted = frames.select("clip_id", "height", "width", "channels", "pixels").mapInPandas(
-        run, "clip_id string, units bigint, n bigint"
+                cuts = np.flatnonzero(np.diff(uniq // width)) + 1
+                starts = np.concatenate(([0], cuts))
+                yield pd.DataFrame(
+                    {
+                        "clip_id": clip, "bin": uniq[starts] // width, "n": np.add.reduceat(n, starts),
+                        "units": np.split(uniq, cuts), "counts": np.split(n, cuts),
+                    }
+                )
+
+    path = scratch_path(spark, "luma_bins")
+    frames.select("clip_id", "height", "width", "channels", "pixels").mapInPandas(
+        run, "clip_id string, bin bigint, n bigint, units array<bigint>, counts array<bigint>"
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    clip = Window.partitionBy("clip_id")
+    totals = stored.groupBy("clip_id", "bin").agg(F.sum("n").alias("_c")).select(
+        "clip_id", "bin", "_c", F.sum("_c").over(clip.orderBy("bin")).alias("_upto"), F.sum("_c").over(clip).alias("_n")
+    )
+    first, upto = F.col("_upto") - F.col("_c"), F.col("_upto")
+    held = [(first <= rank) & (rank < upto) for pair in rank_columns(probs, F.col("_n")) for rank in pair]
+    wanted = totals.filter(reduce(Column.__or__, held)).select("clip_id", "bin", first.alias("_before"), "_n")
+    wanted = cut_lineage(wanted.withColumn("_at", F.xxhash64("clip_id", "bin")))
+    near = maybe_in(stored.withColumn("_at", F.xxhash64("clip_id", "bin")), wanted, "_at").drop("_at", "n")
+    lumas = near.join(wanted.drop("_at"), ["clip_id", "bin"]).select(
+        "clip_id", "bin", "_before", "_n", F.explode(F.arrays_zip("units", "counts")).alias("_e")
     )
-    q = exact_quantiles(counted, ["clip_id"], "units", {"luma_p01": 0.01, "luma_p99": 0.99}, "n", partitions)
-    return q.withColumns({c: F.col(c) / F.lit(LUMA_UNIT) for c in ("luma_p01", "luma_p99")})
+    counted = lumas.groupBy("clip_id", "bin", "_before", "_n", "_e.units").agg(F.sum("_e.counts").alias("_c"))
+    running = F.sum("_c").over(Window.partitionBy("clip_id", "bin").orderBy("units"))
+    q = ranked_quantiles(counted.withColumn("_upto", F.col("_before") + running), ["clip_id"], "units", probs)
+    return q.withColumns({c: F.col(c) / F.lit(LUMA_UNIT) for c in probs})
 
 
 def frame_pair_errors(a: DataFrame, b: DataFrame, frame_idx: int = 0) -> DataFrame:

@@ -372,11 +372,24 @@ def exact_quantiles(
         both = join_null_safe(ranked, totals, keys)
     else:
         both = ranked.crossJoin(F.broadcast(totals))  # a single row
+    return ranked_quantiles(both, keys, value, probs)
+
+
+def rank_columns(probs: dict[str, float], total: Column) -> list[tuple[Column, Column]]:
+    """Ranks (from 0) of the two values that each quantile of `total` values lies between."""
+    places = [F.lit(float(p)) * (total - 1) for p in probs.values()]
+    return [(F.floor(at), F.ceil(at)) for at in places]
+
+
+def ranked_quantiles(counted: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Quantiles from values with their count `_c`, the running count `_upto` and the key's total `_n`.
+
+    Only the rows at the quantiles' ranks need to be there.
+    """
     aggs, outs = [], []
     first = F.col("_upto") - F.col("_c")
-    for i, (name, p) in enumerate(probs.items()):
-        at = F.lit(float(p)) * (F.col("_n") - 1)
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+    for i, ((name, p), ranks) in enumerate(zip(probs.items(), rank_columns(probs, F.col("_n")))):
+        for side, rank in zip(("lo", "hi"), ranks):
             hit = (first <= rank) & (rank < F.col("_upto"))
             aggs.append(F.max(F.when(hit, F.col(value).cast("double"))).alias(f"_{side}{i}"))
         frac = F.lit(float(p)) * (F.max("_n") - 1)
@@ -384,7 +397,7 @@ def exact_quantiles(
         outs.append(
             (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name)
         )
-    return both.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    return counted.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
 # --- folds whose next state depends on every earlier row of the key --------

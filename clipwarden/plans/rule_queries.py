@@ -138,6 +138,56 @@ def r03(spark, d):
     return issues.select("severity", "code", "line", "sample_id", "value")
 
 
+def _messages_sql(issues: str) -> str:
+    """Message and fix of the rows of `issues` (severity, code, line, sample_id, value, path), by plain replacement."""
+    texts = ", ".join(
+        "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in (code, message, fix)) + ")"
+        for code, (_, message, fix) in lint.CODES.items()
+    )
+    slots = {
+        "line": "i.line::VARCHAR",
+        "sample": "i.sample_id",
+        "path": "i.path",
+        "suffix": "'.gif'",
+        "found": "CASE code WHEN 'FPS_MISMATCH' THEN printf('%.3f', i.value::DOUBLE) ELSE i.value END",
+        "want": "CASE code WHEN 'WIDTH_MISMATCH' THEN '1280' WHEN 'HEIGHT_MISMATCH' THEN '704' WHEN 'FPS_MISMATCH' THEN '24.000' ELSE '121' END",
+    }
+    message = "t.message"
+    for name, value in slots.items():
+        message = f"replace({message}, '{{{name}}}', coalesce({value}, ''))"
+    return f"""SELECT i.severity, i.code, i.line, i.sample_id, {message} AS message, t.fix
+    FROM ({issues}) i JOIN (VALUES {texts}) t(code, message, fix) USING (code)"""
+
+
+@query(
+    "R03_lint_messages",
+    _messages_sql(f"WITH {_LINES} SELECT l.*, rowz.path FROM ({_lint_sql()}) l LEFT JOIN rowz ON rowz.line = l.line"),
+)
+def r03c(spark, d):
+    issues = manifest_issues(spark, d, LintConfig(**_RISKY))
+    return issues.select("severity", "code", "line", "sample_id", "message", "fix")
+
+
+@query(
+    "R03_lint_without_rows",
+    _messages_sql(
+        f"""WITH {_LINES}, none AS (SELECT NULL::VARCHAR AS sample_id, NULL::VARCHAR AS value)
+    SELECT 'ERROR' AS severity, CASE kind WHEN 'bad' THEN 'MANIFEST_BAD_JSON' ELSE 'MANIFEST_ROW_NOT_OBJECT' END AS code, line,
+      sample_id, value, NULL::VARCHAR AS path FROM raw, none WHERE kind IN ('bad', 'list')
+    UNION ALL SELECT 'ERROR', 'MANIFEST_EMPTY', NULL, sample_id, value, NULL FROM none
+    UNION ALL SELECT 'ERROR', 'MANIFEST_NOT_FOUND', NULL, sample_id, value, '/data/absent/manifest.jsonl' FROM none"""
+    ),
+)
+def r03d(spark, d):
+    # the broken and blank lines of the manifest alone, and beside them a manifest that is not there
+    lines = manifest_lines(spark, d).filter("doc_id % 40 IN (1, 2, 3)")
+    rows, read_issues = manifests.scan_manifest(lines.select((c("doc_id") + 1).alias("line"), c("value").alias("raw")))
+    stats = media_stats(spark, d)
+    found = lint.lint_manifest(rows, read_issues, stats.select("path"), stats, "/data")
+    _, absent = manifests.read_lenient(spark, "/data/absent/manifest.jsonl")
+    return found.unionByName(absent).select("severity", "code", "line", "sample_id", "message", "fix")
+
+
 @query(
     "R03_lint_early_stop",
     f"""WITH {_LINES}, stop AS (SELECT line AS at FROM (SELECT line, row_number() OVER (ORDER BY line) AS k

@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from clipwarden.operators import grade, lint
+from clipwarden.operators.joins import maybe_in
 from clipwarden.operators.logs import early_stop_scan, ema_values
 from clipwarden.operators.ordered import carry_fold, join_null_safe
 from clipwarden.session import cut_lineage
@@ -82,33 +83,6 @@ def new_rows(
     return rows.dropDuplicates([key])
 
 
-#: Bits of one bitmap of `bitmap_construct_agg`.
-BITMAP_BITS = 32768
-
-
-def maybe_in(rows: DataFrame, probe: DataFrame, key: str, blocks: int = 256, hashes: int = 4) -> DataFrame:
-    """Rows whose key may stand in `probe`: all that do, and a few that do not.
-
-    A blocked Bloom filter of the keys of `probe`: a hash picks one of `blocks` bitmaps, `hashes` others pick
-    its bits. It is broadcast and takes 4 KB a block however many keys there are; more keys only let more
-    rows through. Nothing of `rows` is shuffled.
-    """
-    block = F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")
-    bits = [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(BITMAP_BITS)).cast("int") for i in range(hashes)]
-    maps = probe.select(block, F.explode(F.array(*bits)).alias("_bit")).groupBy("_block").agg(
-        F.bitmap_construct_agg("_bit").alias("_map")
-    )
-
-    def is_set(bit: Column) -> Column:
-        byte = F.conv(F.hex(F.substring(F.col("_map"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.call_function("getbit", byte, bit % 8) == 1
-
-    held = rows.withColumn("_block", block).join(F.broadcast(maps), "_block")
-    for bit in bits:
-        held = held.filter(is_set(bit))
-    return held.select(*rows.columns)
-
-
 def unseen(rows: DataFrame, key: str, seen: DataFrame, blocks: int = 256) -> DataFrame:
     """One row of each key of `rows` that is not in `seen`; a null is a key like any other.
 
