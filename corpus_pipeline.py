@@ -1,7 +1,8 @@
 """A training corpus from `documents`: toxic texts and duplicates go, repeated passages are cut, the rest is packed.
 
-Rows that share an id are one document to the stages that drop documents. Rows without an id are kept, as no
-decision names them. Further columns pass through unchanged; n_chars follows the text where it was cut.
+Each row is a document of its own to the stages that drop or cut documents, also where ids are null or stand more
+than once: such tables are numbered first, by id (nulls last) and text, and the number decides instead of the id.
+Further columns pass through unchanged; n_chars follows the text where it was cut.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from clipwarden.llm import debruijn, exact, minhash, packing, toxicity
 from clipwarden.llm.queries import tokenizer_path
-from clipwarden.session import scratch_path
+from clipwarden.operators.ordered import global_index
+from clipwarden.session import cut_lineage, scratch_path
 
 #: Score from which a document is rejected as toxic.
 TOXIC_AT = 0.7
@@ -24,24 +26,41 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("score") < TOXIC_AT).select("row.*")
 
 
+#: The column that names a row.
+ROW = "_pipeline_row"
+
+
+def named_rows(docs: DataFrame) -> DataFrame:
+    """`docs` with a number of its own for each row, in the order of ids; the id itself where ids are whole and unique."""
+    clashing = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if clashing.isEmpty():
+        return docs.withColumn(ROW, F.col("doc_id").cast("bigint"))
+    numbered = global_index(docs.withColumn("_no_id", F.col("doc_id").isNull()), ["_no_id", "doc_id", "text"], ROW)
+    # equal rows have no order of their own: the numbers must not change when a task runs again
+    return cut_lineage(numbered.drop("_no_id"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id."""
-    gone = exact.exact_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = named_rows(docs)
+    gone = exact.exact_duplicates(rows, ROW).filter(~F.col("kept")).select(F.col("doc_id").alias(ROW))
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = named_rows(docs)
+    gone = minhash.near_duplicates(rows, ROW).filter(~F.col("kept")).select(F.col("doc_id").alias(ROW))
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages that stand in a document with a smaller id."""
-    cut = debruijn.stripped(docs).select(*[F.col(c).alias(f"_cut_{c}") for c in ("key", "mark", "kept_text")])
+    rows = named_rows(docs)
+    cut = debruijn.stripped(rows, ROW).select(*[F.col(c).alias(f"_cut_{c}") for c in ("key", "mark", "kept_text")])
     text = F.coalesce("_cut_kept_text", "text")
-    same = (F.col("doc_id") == F.col("_cut_key")) & (F.xxhash64("text") == F.col("_cut_mark"))
-    joined = docs.join(cut, same, "left")
+    same = (F.col(ROW) == F.col("_cut_key")) & (F.xxhash64("text") == F.col("_cut_mark"))
+    joined = rows.join(cut, same, "left")
     size = F.when(F.col("_cut_key").isNotNull(), F.length("_cut_kept_text")).otherwise(F.col("n_chars"))
     return joined.withColumns({"text": text, "n_chars": size.cast("bigint")}).select(*docs.columns)
 
