@@ -75,6 +75,29 @@ def test_stages_with_odd_rows_and_clashing_columns(spark, odd_rows, empty):
             assert left.columns == docs.columns
         kept = {r.doc_id for r in left.collect()}
         if given is docs:  # 12 is white space only, which is not empty; 18 and 23 are near copies
-            assert None in kept and {10, 12, 13, 16, 20, 22} <= kept and not {11, 14, 17, 18, 23} & kept
+            assert {10, 12, 13, 16, 20, 22} <= kept and not {11, 14, 17, 18, 23} & kept
         else:
             assert not kept
+
+
+def test_rows_are_told_apart_without_ids(spark):
+    """A unique text stays though its id stands on a copy as well; of rows without ids and of repeated rows one stays."""
+    words = [" ".join(f"{name}{i}" for i in range(80)) for name in "abcdexy"]
+    near = words[2].replace("c20", "changed")
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [
+        (0, words[0]), (1, words[0]), (1, words[1]), (2, words[2]), (2, near), (None, near), (None, words[3]), (None, words[3]),
+        (3, words[4]), (3, words[4]), (4, passage), (None, f"{words[5]} {passage} {words[6]}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "cast(length(text) as bigint) AS n_chars")
+    left = docs.repartition(3)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        path = scratch_path(spark, name)
+        stage(spark, left, "").write.parquet(path)
+        left = spark.read.parquet(path)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text, r.n_chars) for r in left.collect())
+    texts = {(k, t) for _, k, t, _ in got}
+    # of two rows with one id the lesser text comes first
+    group = min(words[2], near)
+    assert texts == {(0, words[0]), (1, words[1]), (2, group), (0, words[3]), (3, words[4]), (4, passage), (0, f"{words[5]} {words[6]}")}
+    assert len(got) == 7 and all(n == len(t) for _, _, t, n in got)
