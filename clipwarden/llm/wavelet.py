@@ -25,8 +25,9 @@ from clipwarden.llm.tokens import encoded_rows
 
 MAGIC = b"WVM1"
 BLOCK_BITS = 512
-#: Ids per shard at which a new one begins; a longer document makes a longer shard.
-SHARD_TOKENS = 1 << 22
+#: Ids per shard at which a new one begins, so that a level stays in the processor's cache; a longer document makes
+#: a longer shard.
+SHARD_TOKENS = 1 << 19
 
 
 class WaveletMatrix:
