@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwarden.functions.numbers import field_equal
+from clipwarden.functions.numbers import comparable_text, field_equal
 from clipwarden.spec import COMPARE_FIELDS
 
 
@@ -52,6 +52,38 @@ def field_agreement(compared: DataFrame, fields: list[str] = COMPARE_FIELDS) ->
     )
 
 
+def versions_agreement(
+    original: DataFrame, processed: DataFrame, key: str = "clip_id", fields: list[str] = COMPARE_FIELDS
+) -> DataFrame:
+    """What `field_agreement` tells of `compare_versions`, without pairing the versions of a key.
+
+    Rows are counted per key, field and value; a value that n rows of one side and m of the other have stands for
+    n * m equal pairs. So a key of very many versions costs as much as its rows. Rows whose key is null or stands
+    on one side only have no partner, and agree where they have no value.
+    """
+    none = F.lit(0).cast("bigint")
+
+    def side(df: DataFrame, here: str) -> DataFrame:
+        values = F.array(*[F.struct(F.lit(f).alias("field"), comparable_text(F.col(f)).alias("value")) for f in fields])
+        one = F.lit(1).cast("bigint")
+        counts = {n: one if n == here else none for n in ("n_o", "n_t")}
+        return df.select(F.col(key).alias("key"), F.inline(values), *[v.alias(n) for n, v in counts.items()])
+
+    by_value = (
+        side(original, "n_o").unionByName(side(processed, "n_t"))
+        .groupBy("key", "field", "value").agg(F.sum("n_o").alias("n_o"), F.sum("n_t").alias("n_t"))
+    )
+    gone = F.col("value") == "missing"
+    by_key = by_value.groupBy("key", "field").agg(
+        F.sum("n_o").alias("n_o"), F.sum("n_t").alias("n_t"), F.sum(F.col("n_o") * F.col("n_t")).alias("equal"),
+        F.sum(F.when(gone, F.col("n_o") + F.col("n_t")).otherwise(0)).alias("empty"),
+    )
+    alone = F.col("key").isNull() | (F.col("n_o") == 0) | (F.col("n_t") == 0)
+    pairs = F.when(alone, F.col("n_o") + F.col("n_t")).otherwise(F.col("n_o") * F.col("n_t"))
+    same = F.when(alone, F.col("empty")).otherwise(F.col("equal"))
+    return by_key.groupBy("field").agg(F.sum(same).alias("same"), F.sum(pairs - same).alias("different"))
+
+
 def size_totals(compared: DataFrame, size_orig: str, size_target: str) -> DataFrame:
     """Total sizes of both versions and their ratio in percent."""
     o, t = F.sum(size_orig), F.sum(size_target)

@@ -214,6 +214,26 @@ def a16(spark, d):
     return compare.field_agreement(t, _AGREE)
 
 
+#: Compared by the source of a clip, which many clips have.
+_AGREE_BY_SOURCE = ["clip_id", "clip_start_sec", "width", "fps", "caption"]
+
+
+@query(
+    "A16_agreement_by_source",
+    f"WITH {b.RECORDS2_SQL}, j AS (SELECT o.*, t.* FROM (SELECT source_video_id AS id1, "
+    + ", ".join(f"{k} AS {k}_o" for k in _AGREE_BY_SOURCE)
+    + " FROM records) o FULL JOIN (SELECT source_video_id AS id2, "
+    + ", ".join(f"{k} AS {k}_t" for k in _AGREE_BY_SOURCE)
+    + " FROM records2) t ON o.id1 = t.id2) "
+    + " UNION ALL ".join(
+        f"SELECT '{k}' AS field, count(*) FILTER ({k}_o IS NOT DISTINCT FROM {k}_t) AS same, count(*) FILTER ({k}_o IS DISTINCT FROM {k}_t) AS different FROM j"
+        for k in _AGREE_BY_SOURCE
+    ),
+)
+def a16c(spark, d):
+    return compare.versions_agreement(b.records(spark, d), b.records_v2(spark, d), "source_video_id", _AGREE_BY_SOURCE)
+
+
 @query(
     "A16_size_totals",
     """SELECT sum(o_orderkey % 100)::BIGINT AS total_orig, sum(CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey % 90 END)::BIGINT AS total_target,

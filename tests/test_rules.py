@@ -370,3 +370,21 @@ def test_edge_rows_needs_no_sort_aggregate(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS o", "cast(id AS string) AS p")
     plan = edge_rows(df, ["k"], ["o"])._jdf.queryExecution().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan and "WindowGroupLimit" in plan
+
+
+def test_agreement_of_many_versions_against_pairs(spark):
+    """Null keys, keys on one side only, repeated keys, missing values and numbers written as text."""
+    a = [("k", "1", 1.0)] * 3 + [("k", "1.0", None), ("k", None, float("nan")), (None, "1", 1.0), ("a", None, 2.0), ("a", "x", None)]
+    b = [("k", "1", 1.0)] * 2 + [("k", None, None), ("k", "y", 3.0), (None, "1", None), ("b", "NaN", 2.0)]
+    schema = "clip_id string, x string, y double"
+    left, right = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+    fields = ["x", "y"]
+
+    def told(df):
+        return sorted((r["field"], r["same"], r["different"]) for r in df.collect())
+
+    want = told(compare.field_agreement(compare.compare_versions(left, right, fields=fields), fields))
+    assert told(compare.versions_agreement(left, right, fields=fields)) == want
+    # two thousand versions of one key: four million pairs that are never formed
+    many = spark.range(2000).select(F.lit("hot").alias("clip_id"), (F.col("id") % 2).cast("string").alias("x"))
+    assert told(compare.versions_agreement(many, many, fields=["x"])) == [("x", 2_000_000, 2_000_000)]
