@@ -226,6 +226,30 @@ def test_overlap_monitor_against_all_pairs(spark):
     assert got == {n: any(k == key and abs(s - q) < 0.7 for k, q, _ in starts[:i]) for i, (key, s, n) in enumerate(starts)}
 
 
+def test_overlap_writer_against_all_pairs(spark):
+    """Equal rows, equal arrivals, borders of cells, null keys and starts; every batch is one plan, not one call per group."""
+    draw = random.Random(6)
+    starts = [round(draw.uniform(-9, 9), draw.choice([0, 1, 1])) + 0.0 for _ in range(300)] + [0.7 * k for k in range(-20, 20)]
+    rows = [(draw.choice(["a", "b", None]), s, n // 2) for n, s in enumerate(starts)]
+    rows += [rows[-1], rows[-1], ("a", None, 900), ("a", float("nan"), 901), ("c", 5.0, None), ("c", 5.1, 1000), ("c", 5.0, None)]
+    schema, batches = "key string, start double, n long", [rows[:90], rows[90:150], rows[150:]]
+    path, out, state = (scratch_path(spark, n) for n in ("clips", "out", "state"))
+    want, seen = [], []
+    for part in batches:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = streams.file_stream(spark, path, schema)
+        streams.run_available(streams.overlap_monitor_writer(stream, "key", "start", "n", out, 0.7), state)
+        good = [r for r in part if r[1] is not None and r[1] == r[1]]
+        for key, s, n in sorted(good, key=lambda r: (-1 if r[2] is None else r[2], r[1])):
+            want.append((key, s, n, any(k == key and abs(s - q) < 0.7 for k, q in seen)))
+            seen.append((key, s))
+    got = [tuple(r) for r in spark.read.parquet(f"{out}/rows").select("key", "start", "arrival", "overlaps").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    batch = spark.createDataFrame(rows, schema).withColumnRenamed("n", "arrival")
+    plan = streams.judge_starts(batch, spark.createDataFrame([], "key string, cell bigint, low double, high double"), 0.7)
+    assert "Pandas" not in plan._jdf.queryExecution().toString()
+
+
 def test_overlap_monitor_forgets_by_event_time(spark):
     day = datetime.datetime(2024, 1, 1, tzinfo=datetime.UTC)
     batches = [
