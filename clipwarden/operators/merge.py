@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwarden.functions import paths
@@ -39,17 +40,21 @@ def unique_ids(
     if contested.join(repeated, column, "left_semi").isEmpty():
         return _suffix_simple(df, repeated, column, order, name, partitions)
 
-    ids = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first"))
+    # a plain minimum is a hash aggregate, that of a struct sorts the rows by id; a null comes first
+    least = F.when(~F.max(F.col(order[0]).isNull()), F.min(order[0]))
+    first = F.struct(least.alias(order[0])) if len(order) == 1 else F.min(F.struct(*order))
+    ids = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
     ids = ids.withColumns(
         {
             "_parent": suffixed,
             "_k": F.regexp_extract(column, _CHILD, 2).try_cast("bigint"),
-            "_depth": F.length(F.regexp_replace(F.regexp_extract(column, _TAIL, 1), "[^_]", "")),
+            "_depth": _depth(F.col(column)),
         }
     )
+    ids = cut_lineage(ids)  # it is looked at three times
     parents = ids.select(F.col(column).alias("_parent"))
     edges = cut_lineage(ids.filter("_k is not null").join(parents, "_parent").select(*ids.columns))
-    ids = cut_lineage(ids.filter("_n > 1").unionByName(edges).dropDuplicates([column]))
+    ids = ids.filter("_n > 1").unionByName(edges.filter("_n = 1"))
     displaced = edges.select(F.col(column).alias("_fam")).limit(0)
     # bounded by the longest chain of suffixes in one id
     last = max(
@@ -66,11 +71,13 @@ def unique_ids(
             .filter((F.col("_n") > 1) | F.col("_moved").isNotNull())
             .select("_fam", "_first", F.coalesce("_moved", F.lit(0)).alias("_moved"))
         )
-        rows = df.withColumn("_fam", F.col(column)).join(fams, "_fam")
+        # a row is only looked at in the level of its own id
+        rows = df.filter(_depth(F.col(column)) == depth).withColumn("_fam", F.col(column)).join(fams, "_fam")
         is_first = F.struct(*order) == F.col("_first")
         rows = rows.withColumn("_rep", F.when(is_first & (F.col("_moved") == 0), 0).otherwise(1))
         marks = (
-            edges.withColumn("_fam", F.col("_parent"))
+            edges.filter(F.col("_depth") == depth + 1)
+            .withColumn("_fam", F.col("_parent"))
             .join(fams.select("_fam"), "_fam")
             .select("_fam", F.col(column).alias("_child"), "_k", "_first.*", F.lit(0).alias("_rep"))
         )
@@ -86,6 +93,7 @@ def unique_ids(
             _judge,
             {"_at": "bigint", "_taken": "boolean"},
             partitions=partitions,
+            bulk=_judge_many,
         )
         judged = cut_lineage(judged)
         repeats = counted.filter("_child is null and _rep = 1")
@@ -111,6 +119,26 @@ def unique_ids(
     return reduce(DataFrame.unionByName, settled, rest.select(*df.columns, name))
 
 
+def _depth(column: Column) -> Column:
+    """Number of suffixes at the end of an id."""
+    return F.length(F.regexp_replace(F.regexp_extract(column, _TAIL, 1), "[^_]", ""))
+
+
+def _judge_many(rows: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray):
+    """`_judge` of many ids at a time, each from its start: their first suffixes, then their second ones, and so on."""
+    k, before = rows["_k"].to_numpy("int64"), rows["_c"].to_numpy("int64")
+    at, taken = np.empty(len(k), "int64"), np.empty(len(k), bool)
+    held = np.zeros(len(starts), "int64")
+    live = np.arange(len(starts))
+    for nth in range(int(sizes.max(initial=0))):
+        live = live[sizes[live] > nth]
+        here = starts[live] + nth
+        at[here] = k[here] - held[live]
+        taken[here] = before[here] >= at[here]
+        held[live] += ~taken[here]
+    return {"_at": at, "_taken": taken}
+
+
 def _judge(state, rows: pd.DataFrame):
     """Decide per suffixed id, by rising suffix, whether a repeat took it before its row came."""
     held = state or 0

@@ -413,21 +413,26 @@ ARROW_TYPES = {
 }
 
 
+#: Outputs of many keys at once: rows, first row of each key, rows of each key.
+Bulk = Callable[[pd.DataFrame, np.ndarray, np.ndarray], "dict[str, Any]"]
+
+
 def _key_runs(batch: pa.RecordBatch, keys: list[str], inputs: list[str]):
-    """(key, first row, rows) of consecutive rows of one key; whole numbers stay exact."""
+    """(rows, starts, sizes, key of a run) of the consecutive rows of one key in a batch; whole numbers stay exact."""
     names = list(dict.fromkeys([*keys, *inputs, BLOCK]))
     pdf = pa.Table.from_batches([batch]).select(names).to_pandas(integer_object_nulls=True)
-    if pdf.empty:
-        return
     changed = pd.Series(False, index=pdf.index)
     for k in keys:
         prev = pdf[k].shift()
         changed |= (pdf[k] != prev) & ~(pdf[k].isna() & prev.isna())
     changed.iloc[0] = True
-    starts = [*np.flatnonzero(changed.to_numpy()).tolist(), len(pdf)]
-    for lo, hi in zip(starts, starts[1:]):
-        part = pdf.iloc[lo:hi]
-        yield tuple(None if pd.isna(part[k].iloc[0]) else part[k].iloc[0] for k in keys), part
+    starts = np.flatnonzero(changed.to_numpy())
+
+    def key(run: int) -> tuple:
+        found = (pdf[k].iloc[starts[run]] for k in keys)
+        return tuple(None if pd.isna(v) else v for v in found)
+
+    return pdf, starts, np.diff(starts, append=len(pdf)), key
 
 
 def carry_fold(
@@ -440,6 +445,7 @@ def carry_fold(
     merge: Callable[[Any, Any], Any] | None = None,
     partitions: int | None = None,
     block_rows: int | None = None,
+    bulk: Bulk | None = None,
 ) -> DataFrame:
     """Ordered fold per key, split over blocks; adds the `outputs` columns to each row.
 
@@ -452,6 +458,9 @@ def carry_fold(
     far in each round, and the true state where the chain is known. The chain is followed through what was seen:
     a state that is soon forgotten, persists over many blocks or is one of a few that take turns costs a number
     of rounds that hardly grows with the blocks. The result is exact. All other columns pass through as Arrow data.
+
+    Borders ask for the state of the last key of a block alone. `bulk` gives the outputs of `step` for many keys that start and end within
+    an Arrow batch, in one call; without it each of them is a call of `step`.
     """
     keys, inputs = list(keys), list(inputs)
     laid = layout(df, [*keys, *order], partitions, block_rows)
@@ -461,14 +470,19 @@ def carry_fold(
             block = first = last = None
             states: list = []
             for batch in batches:
-                for key, rows in _key_runs(batch, keys, inputs):
-                    if block is None:
-                        block, first = int(rows[BLOCK].iloc[0]), key
-                        states = list(tried.get(block, [None]))
-                    elif key != last:
-                        states = [None]
-                    last = key
-                    states = [step(state, rows)[0] for state in states]
+                if not batch.num_rows:
+                    continue
+                pdf, starts, _, key = _key_runs(batch, keys, inputs)
+                if block is None:
+                    block, first = int(pdf[BLOCK].iloc[0]), key(0)
+                    states = list(tried.get(block, [None]))
+                    last = first
+                # of the keys that end within the batch nothing is carried on
+                if key(-1) != last:
+                    states = [None]
+                last = key(-1)
+                tail = pdf.iloc[starts[-1] :]
+                states = [step(state, tail)[0] for state in states]
             if block is not None:
                 body = pickle.dumps((first, last, states))
                 yield pa.RecordBatch.from_pydict(
@@ -530,16 +544,32 @@ def carry_fold(
         block = last = state = None
         for batch in batches:
             made: dict[str, list] = {name: [] for name in kinds}
-            for key, rows in _key_runs(batch, keys, inputs):
+            runs = 0
+            if batch.num_rows:
+                pdf, starts, sizes, key = _key_runs(batch, keys, inputs)
+                runs = len(starts)
+
+            def tell(out):
+                for name, kind in kinds.items():
+                    made[name].append(pa.array(out[name], kind, from_pandas=False))
+
+            i = 0
+            while i < runs:
+                if bulk and 0 < i < runs - 1:
+                    low, high = starts[i], starts[-1]
+                    tell(bulk(pdf.iloc[low:high], starts[i:-1] - low, sizes[i:-1]))
+                    i = runs - 1
+                    continue
                 if block is None:
-                    block = int(rows[BLOCK].iloc[0])
+                    block = int(pdf[BLOCK].iloc[0])
                     state = final.get(block)
-                elif key != last:
+                elif i or key(0) != last:
                     state = None
-                last = key
-                state, out = step(state, rows)
-                for name, kind in kinds.items():
-                    made[name].append(pa.array(out[name], kind, from_pandas=False))
+                state, out = step(state, pdf.iloc[starts[i] : starts[i] + sizes[i]])
+                tell(out)
+                i += 1
+            if runs:
+                last = key(-1)
             cols = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             cols += [pa.concat_arrays(made[n]) if made[n] else pa.array([], k) for n, k in kinds.items()]
             yield pa.RecordBatch.from_arrays(cols, names=[*kept, *kinds])

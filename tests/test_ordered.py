@@ -1,6 +1,7 @@
 """Order-dependent operators over several blocks, with one hot key, against plain loops."""
 
 import random
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -326,3 +327,37 @@ def test_run_monitor_over_blocks_and_batches(spark):
         want |= {(run, s): (e, f[0]) for (s, _), e, f in zip(own, emas, flags)}
     assert {(r.run, r.step): r.status for r in got} == {k: v[1] for k, v in want.items()}
     assert all(abs(r.loss_ema - want[r.run, r.step][0]) < 1e-9 for r in got)
+
+
+def test_fold_calls_do_not_grow_with_keys(spark, tmp_path):
+    """Keys that lie within a batch share one call; borders look at one key per block."""
+    df = spark.range(6000).select((F.col("id") / 3).cast("bigint").alias("k"), "id")
+
+    def step(state, rows):
+        with open(tmp_path / uuid.uuid4().hex, "w"):
+            return len(rows) + (state or 0), {"n": list(range(1 + (state or 0), 1 + (state or 0) + len(rows)))}
+
+    def bulk(rows, starts, sizes):
+        return {"n": np.arange(len(rows)) - np.repeat(starts, sizes) + 1}
+
+    got = ordered.carry_fold(df, ["k"], ["id"], ["id"], step, {"n": "bigint"}, partitions=4, bulk=bulk)
+    assert got.filter("n <> id % 3 + 1").count() == 0 and got.count() == 6000
+    assert len(list(tmp_path.iterdir())) < 40
+
+
+def test_contested_ids_of_many_families(spark):
+    """Ids whose suffixed forms are held by others, null order values, levels of suffixes; against a plain loop."""
+    draw = random.Random(8)
+    ends = ["", "", "_1", "_2", "_1_1", "_4", "_2_1_1"]
+    rows = [(None if i == 0 else i, f"c{draw.randrange(60)}{draw.choice(ends)}") for i in range(600)]
+    rows[0] = (None, "c7")
+    taken, want = set(), []
+    for _, name in rows:
+        new, k = name, 0
+        while new in taken:
+            k += 1
+            new = f"{name}_{k}"
+        taken.add(new)
+        want.append(new)
+    got = merge.unique_ids(spark.createDataFrame(rows, "o int, id string"), "id", ["o"], partitions=3).orderBy("o").collect()
+    assert [r["new_id"] for r in got] == want
