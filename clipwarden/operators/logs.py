@@ -24,6 +24,17 @@ def ema_values(values: np.ndarray, decay: float, before: float | None) -> np.nda
     return out
 
 
+def ema_many(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, decay: float) -> np.ndarray:
+    """`ema_values` of many runs at a time, each seeded by its first value: all second values, all third ones, and so on."""
+    out = np.asarray(values, dtype="float64").copy()
+    live = np.arange(len(starts))
+    for nth in range(1, int(sizes.max(initial=0))):
+        live = live[sizes[live] > nth]
+        here = starts[live] + nth
+        out[here] = decay * out[here - 1] + (1 - decay) * out[here]
+    return out
+
+
 def ema(
     df: DataFrame,
     keys: list[str],
@@ -51,8 +62,11 @@ def ema(
         joined = tail[1] * before[0] + tail[2]
         return (joined, before[1] * tail[1], tail[1] * before[2] + tail[2])
 
+    def bulk(rows: pd.DataFrame, starts, sizes):
+        return {name: ema_many(rows[value].to_numpy(dtype="float64"), starts, sizes, decay)}
+
     return carry_fold(
-        df, keys, order, [value], step, {name: "double"}, merge=merge, partitions=partitions, block_rows=block_rows
+        df, keys, order, [value], step, {name: "double"}, merge=merge, partitions=partitions, block_rows=block_rows, bulk=bulk
     )
 
 
@@ -74,6 +88,50 @@ def early_stop_scan(state, steps, losses, warmup: int, min_delta: float, patienc
     return (best, best_step, misses, stopped), flags
 
 
+def early_stop_many(
+    steps: np.ndarray, losses: np.ndarray, starts: np.ndarray, sizes: np.ndarray, warmup: int, min_delta: float, patience: int,
+    seeds: tuple | None = None,
+) -> dict[str, np.ndarray]:
+    """`early_stop_scan` of many runs at a time: all first rows, all second ones, and so on.
+
+    `seeds` are (is a state, best, best step, misses, stopped step) per row; a state is the first row of its run. Returns per
+    row: status, best, best_step, misses, and the step of the stop once there was one; absent values are masked.
+    """
+    n, runs = len(steps), len(starts)
+    best, misses = np.full(runs, np.inf), np.zeros(runs, "int64")
+    best_step, stopped = (np.ma.masked_all(runs, "int64") for _ in range(2))
+    out = {
+        "status": np.full(n, "ignored", object), "best": np.ma.masked_all(n, "float64"), "best_step": np.ma.masked_all(n, "int64"),
+        "misses": np.zeros(n, "int64"), "stopped": np.ma.masked_all(n, "int64"),
+    }
+    live = np.arange(runs)
+    for nth in range(int(sizes.max(initial=0))):
+        live = live[sizes[live] > nth]
+        here = starts[live] + nth
+        real = np.ones(len(live), bool)
+        if nth == 0 and seeds is not None:
+            real = ~seeds[0][here]
+            r, h = live[~real], here[~real]
+            best[r] = np.where(np.isnan(seeds[1][h]), np.inf, seeds[1][h])
+            best_step[r], misses[r], stopped[r] = seeds[2][h], seeds[3][h], seeds[4][h]
+            out["status"][h] = "state"
+        gone = ~np.ma.getmaskarray(stopped)[live]
+        judged = real & ~gone & (steps[here] >= warmup) & ~np.isnan(losses[here])
+        better = judged & (losses[here] < best[live] - min_delta)
+        worse = judged & ~better
+        best[live[better]] = losses[here[better]]
+        best_step[live[better]] = steps[here[better]]
+        misses[live[better]] = 0
+        misses[live[worse]] += 1
+        ends = worse & (patience > 0) & (misses[live] >= patience)
+        stopped[live[ends]] = steps[here[ends]]
+        for flag, hit in (("after_stop", real & gone), ("improved", better), ("no_improvement", worse), ("stopped", ends)):
+            out["status"][here[hit]] = flag
+        out["best"][here] = np.ma.masked_invalid(best[live])
+        out["best_step"][here], out["misses"][here], out["stopped"][here] = best_step[live], misses[live], stopped[live]
+    return out
+
+
 def early_stop(
     df: DataFrame,
     keys: list[str],
@@ -94,8 +152,13 @@ def early_stop(
         )
         return state, dict(zip(outputs, zip(*flags)))
 
+    def bulk(rows: pd.DataFrame, starts, sizes):
+        steps, losses = rows[step_col].to_numpy("int64"), rows[loss].to_numpy("float64")
+        told = early_stop_many(steps, losses, starts, sizes, warmup, min_delta, patience)
+        return dict(zip(outputs, (told[k] for k in ("status", "best", "best_step", "misses"))))
+
     return carry_fold(
-        df, keys, [step_col], [step_col, loss], advance, outputs, partitions=partitions, block_rows=block_rows
+        df, keys, [step_col], [step_col, loss], advance, outputs, partitions=partitions, block_rows=block_rows, bulk=bulk
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from clipwarden.operators import grade, lint
 from clipwarden.operators.joins import maybe_in
-from clipwarden.operators.logs import early_stop_scan, ema_values
+from clipwarden.operators.logs import early_stop_many, early_stop_scan, ema_many, ema_values
 from clipwarden.operators.ordered import carry_fold, join_null_safe
 from clipwarden.session import cut_lineage
 from clipwarden.sources.manifests import classify_lines, parsed_rows, path_exists, read_issues
@@ -140,9 +141,13 @@ def watched(
         now = tail[1] * before[0] + tail[2]
         return (now, before[1] * tail[1], tail[1] * before[2] + tail[2])
 
+    def averages(part: pd.DataFrame, starts, sizes):
+        values = np.where(part["kind"] == 0, part["ema"].to_numpy(dtype="float64"), part["loss"].to_numpy(dtype="float64"))
+        return {"loss_ema": ema_many(values, starts, sizes, decay)}
+
     smooth = carry_fold(
         lined, ["run"], ["kind", "step"], ["loss", "ema", "kind"], average, {"loss_ema": "double"}, merge=joined,
-        block_rows=block_rows,
+        block_rows=block_rows, bulk=averages,
     )
     outputs = {"status": "string", "now_best": "double", "now_best_step": "bigint", "now_misses": "bigint", "now_stopped": "bigint"}
 
@@ -161,8 +166,20 @@ def watched(
             made.append((flag, best, at, misses, gone))
         return state, dict(zip(outputs, zip(*made)))
 
+    def judge_many(part: pd.DataFrame, starts, sizes):
+        def whole(name):
+            return np.ma.masked_array(part[name].fillna(0).to_numpy("int64"), part[name].isna().to_numpy())
+
+        state = (part["kind"] == 0).to_numpy()
+        seeds = (state, part["best"].to_numpy("float64"), whole("best_step"), whole("misses").data, whole("stopped"))
+        found = early_stop_many(
+            whole("step").data, part["loss"].to_numpy("float64"), starts, sizes, warmup, min_delta, patience, seeds
+        )
+        return dict(zip(outputs, (found[k] for k in ("status", "best", "best_step", "misses", "stopped"))))
+
     kept = ["step", "loss", "kind", "best", "best_step", "misses", "stopped"]
-    told = cut_lineage(carry_fold(smooth, ["run"], ["kind", "step"], kept, judge, outputs, block_rows=block_rows))
+    fold = carry_fold(smooth, ["run"], ["kind", "step"], kept, judge, outputs, block_rows=block_rows, bulk=judge_many)
+    told = cut_lineage(fold)
     last = F.struct("kind", "step")
     ends = told.groupBy("run").agg(
         *[F.max_by(v, last).alias(n) for n, v in {

@@ -1,5 +1,6 @@
 """Order-dependent operators over several blocks, with one hot key, against plain loops."""
 
+import math
 import random
 import uuid
 
@@ -329,6 +330,41 @@ def test_run_monitor_over_blocks_and_batches(spark):
     assert all(abs(r.loss_ema - want[r.run, r.step][0]) < 1e-9 for r in got)
 
 
+def test_many_runs_at_once_against_one_by_one():
+    """The bulk forms of the folds, runs with and without a state row, null losses, ties and late stops."""
+    draw, parts = random.Random(3), []
+    for run in range(400):
+        n, state = draw.randint(1, 9), draw.random() < 0.5
+        losses = [draw.choice([float("nan"), round(draw.uniform(0, 1), 1)]) for _ in range(n)]
+        seed = (draw.choice([None, 0.5]), draw.choice([None, 3]), draw.randint(0, 2), draw.choice([None, None, 4]), 0.25) if state else None
+        parts.append((seed, list(range(draw.randint(0, 3), 12))[:n], losses[:n]))
+    rows = [(seed is not None and i < 0, s, v, seed) for seed, steps, losses in parts
+            for i, s, v in ([(-1, 0, float("nan"))] if seed else []) + list(zip(range(99), steps, losses))]
+    sizes = np.array([len(steps) + (seed is not None) for seed, steps, _ in parts])
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    first = np.array([r[0] for r in rows])
+    nums = lambda i, f: np.array([f if not r[0] or r[3][i] is None else r[3][i] for r in rows])
+    absent = lambda i: np.ma.masked_array(nums(i, 0).astype("int64"), [not r[0] or r[3][i] is None for r in rows])
+    got = logs.early_stop_many(
+        np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), starts, sizes, 1, 0.05, 2,
+        (first, nums(0, np.nan).astype(float), absent(1), nums(2, 0).astype("int64"), absent(3)),
+    )
+    values = np.where(first, nums(4, 0.0).astype(float), [r[2] for r in rows])
+    averages = logs.ema_many(values, starts, sizes, 0.9)
+    want, smooth = [], []
+    for seed, steps, losses in parts:
+        state = None
+        if seed:
+            state = (math.inf if seed[0] is None else seed[0], *seed[1:4])
+            want.append(("state", *seed[:4]))
+        smooth += [*([seed[4]] if seed else []), *logs.ema_values(np.array(losses), 0.9, seed[4] if seed else None)]
+        for s, v in zip(steps, losses):
+            state, [(flag, best, at, misses)] = logs.early_stop_scan(state, [s], [v], 1, 0.05, 2)
+            want.append((flag, best, at, misses, state[3]))
+    assert list(zip(*[v.tolist() for v in got.values()])) == want
+    np.testing.assert_array_equal(averages, np.array(smooth))
+
+
 def test_fold_calls_do_not_grow_with_keys(spark, tmp_path):
     """Keys that lie within a batch share one call; borders look at one key per block."""
     df = spark.range(6000).select((F.col("id") / 3).cast("bigint").alias("k"), "id")
