@@ -167,7 +167,8 @@ def merge_datasets(
     frames: list[DataFrame | None], order: list[str], partitions: int | None = None
 ) -> DataFrame:
     """Union of clip datasets with unique ids and file paths that follow the new id."""
-    stacked = stack_datasets(frames)
+    # the paths are made anew from the id: they need not be sorted and stored with the rows
+    stacked = stack_datasets([f if f is None else f.drop("clip_uri", "first_frame_uri") for f in frames])
     named = unique_ids(stacked, "clip_id", ["dataset_no", *order], "new_id", partitions)
     renamed = named.withColumns({"original_id": F.col("clip_id"), "clip_id": F.col("new_id")}).drop("new_id")
     return renamed.withColumns(

@@ -493,7 +493,9 @@ def t08(spark, d):
     SELECT dataset_no, o_orderkey, clip_id AS original_id, nid AS clip_id, 'clips/' || nid || '.mp4' AS clip_uri, 'frames/' || nid || '.jpg' AS first_frame_uri FROM m""",
 )
 def u01(spark, d):
-    t = merge.merge_datasets([b.records(spark, d), None, b.records_v2(spark, d)], ["o_orderkey"])
+    # numbering stores what it is given, so only the columns of the result go in
+    old, new = (t.select("o_orderkey", "clip_id") for t in (b.records(spark, d), b.records_v2(spark, d)))
+    t = merge.merge_datasets([old, None, new], ["o_orderkey"])
     return t.select("dataset_no", "o_orderkey", "original_id", "clip_id", "clip_uri", "first_frame_uri")
 
 

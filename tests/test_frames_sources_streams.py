@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clipwarden.operators import frames as fr
 from clipwarden.operators.rowmap import map_rows_with_retry
+from clipwarden.plans import bindings, join_queries, source_queries
 from clipwarden.session import scratch_path
 from clipwarden.sinks import writers
 from clipwarden.sources import documents, files, manifests, tables
@@ -319,3 +320,34 @@ def test_replayed_batch_changes_nothing(spark):
     for _ in range(2):
         streams.unseen(batch, "id", seen.filter("batch_id < 1")).write.mode("overwrite").parquet(f"{out}/batch_id=1")
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def _plans(spark, run):
+    """Physical plans of what `run` executes, and its result."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    result = run()
+    spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    new = store.executionsList(int(before), int(store.executionsCount() - before))
+    return [new.apply(i).physicalPlanDescription() for i in range(new.size())], result
+
+
+def _names(spark, path):
+    files_ = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return [r["path"].rsplit("/", 1)[1] for r in files_.select("path").collect()]
+
+
+def test_merge_sorts_no_columns_it_replaces(spark, monkeypatch):
+    from clipwarden.operators import merge
+
+    seen = []
+    whole = merge.unique_ids
+    monkeypatch.setattr(merge, "unique_ids", lambda df, *a, **k: seen.append(df.columns) or whole(df, *a, **k))
+    records = bindings.records(spark, SF)
+    merged = merge.merge_datasets([records, None, records], ["o_orderkey"])
+    assert set(merged.columns) == {*records.columns, "dataset_no", "original_id"}
+    join_queries.u01(spark, SF)
+    assert not {"clip_uri", "first_frame_uri"} & set(seen[0]) and set(seen[1]) == {"o_orderkey", "clip_id", "dataset_no"}
