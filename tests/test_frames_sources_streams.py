@@ -351,3 +351,11 @@ def test_merge_sorts_no_columns_it_replaces(spark, monkeypatch):
     assert set(merged.columns) == {*records.columns, "dataset_no", "original_id"}
     join_queries.u01(spark, SF)
     assert not {"clip_uri", "first_frame_uri"} & set(seen[0]) and set(seen[1]) == {"o_orderkey", "clip_id", "dataset_no"}
+
+
+def test_search_pages_are_compressed(spark, monkeypatch):
+    landed = scratch_path(spark, "pages")
+    monkeypatch.setattr(source_queries, "scratch_path", lambda *_: landed)
+    assert source_queries.s14(spark, SF).count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    names = [n for n in _names(spark, landed) if n.startswith("part-")]
+    assert names and all(n.endswith(".json.gz") for n in names)
