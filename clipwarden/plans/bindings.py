@@ -21,11 +21,11 @@ def epoch_micros(ts: str) -> Column:
     return (gap.cast("interval second").cast("decimal(20,6)") * 1000000).cast("bigint")
 
 
-def clips(spark: SparkSession, d: str) -> DataFrame:
-    """Line items seen as measured clips."""
+def clips(spark: SparkSession, d: str, items: DataFrame | None = None) -> DataFrame:
+    """Line items seen as measured clips: all of them, or `items`."""
     c = F.col
     cid = F.concat(F.lit("clip_"), c("l_orderkey").cast("string"), F.lit("_node"), c("l_linenumber").cast("string"))
-    return table(spark, d, "lineitem").select(
+    return (table(spark, d, "lineitem") if items is None else items).select(
         cid.alias("clip_id"),
         F.concat(F.lit("clips/"), cid, F.lit(".mp4")).alias("path"),
         F.concat(F.lit("src"), c("l_suppkey").cast("string")).alias("source"),
@@ -100,8 +100,8 @@ GRADED_SQL = (
 )
 
 
-def graded(spark: SparkSession, d: str) -> DataFrame:
-    return grade_clips(score_clips(clips(spark, d)))
+def graded(spark: SparkSession, d: str, items: DataFrame | None = None) -> DataFrame:
+    return grade_clips(score_clips(clips(spark, d, items)))
 
 
 def starts(spark: SparkSession, d: str) -> DataFrame:

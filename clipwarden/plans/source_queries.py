@@ -100,8 +100,10 @@ _QUALITY = ["path", "source_width", "source_frames", "source_fps", "duplicate_fr
 
 def _quality_csv(spark, d, keep):
     path = scratch_path(spark, "quality_report")
-    rows = b.graded(spark, d).filter(keep).repartitionByRange(*b.ROW_ORDER).sortWithinPartitions(*b.ROW_ORDER)
-    writers.write_quality_csv(_report_rows(rows), path)
+    # line items are put in order before they are measured and graded: they are much narrower
+    items = b.table(spark, d, "lineitem").filter(keep)
+    rows = items.repartitionByRange(*b.ROW_ORDER).sortWithinPartitions(*b.ROW_ORDER)
+    writers.write_quality_csv(_report_rows(b.graded(spark, d, rows)), path, items)
     return path
 
 

@@ -27,11 +27,16 @@ INTERVAL_HEAD = {
 NO_HASH = "0" * 64
 
 
-def write_quality_csv(graded: DataFrame, path: str) -> bool:
-    """Quality report with header and fixed column order; an empty report writes nothing."""
-    if graded.isEmpty():
+def write_quality_csv(graded: DataFrame, path: str, made_of: DataFrame | None = None) -> bool:
+    """Quality report with header and fixed column order, as gzip; an empty report writes nothing.
+
+    A report that has been put in order is shuffled to see whether it is empty: `made_of` has a row for each of its rows
+    and is looked at instead.
+    """
+    if (graded if made_of is None else made_of).isEmpty():
         return False
-    graded.select(*[c for c in QUALITY_COLUMNS if c in graded.columns]).write.mode("overwrite").csv(path, header=True)
+    shown = graded.select(*[c for c in QUALITY_COLUMNS if c in graded.columns])
+    shown.write.mode("overwrite").csv(path, header=True, compression="gzip")
     return True
 
 

@@ -359,3 +359,17 @@ def test_search_pages_are_compressed(spark, monkeypatch):
     assert source_queries.s14(spark, SF).count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     names = [n for n in _names(spark, landed) if n.startswith("part-")]
     assert names and all(n.endswith(".json.gz") for n in names)
+
+
+def test_reports_are_compressed_and_ordered_narrow(spark):
+    """Rows are put in order before they are measured, and only once; the report is the same."""
+    plans, path = _plans(spark, lambda: source_queries._quality_csv(spark, SF, F.lit(True)))
+    lines = [line for p in plans for line in p.splitlines()]
+    # the line above names the columns that are shuffled
+    shuffled = [above for above, line in zip(lines, lines[1:]) if line.startswith("Arguments: rangepartitioning")]
+    assert 1 <= len(shuffled) <= 2  # the plan before and after adaptive execution of one write
+    assert all("l_orderkey" in above and "path" not in above and "reason" not in above for above in shuffled)
+    names = [n for n in _names(spark, path) if n.startswith("part-")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+    got = spark.read.csv(path, header=True).count()
+    assert got == spark.read.parquet(f"{SF}/lineitem.parquet").count()
