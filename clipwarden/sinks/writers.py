@@ -126,9 +126,19 @@ def write_prescreen(screened: DataFrame, path: str) -> None:
 
 
 def write_quarantine(graded: DataFrame, path: str) -> None:
-    """Route rows by grade: FAIL to quarantine, the rest to kept."""
+    """Route rows by grade: FAIL to quarantine, the rest to kept.
+
+    Each task keeps a file of either route open, so the rows are not sorted by route, which would spill them. The limit is
+    one more than the routes: once it is reached, Spark begins to sort.
+    """
     routed = graded.withColumn("route", F.when(F.col("grade") == "FAIL", "quarantine").otherwise("kept"))
-    routed.write.mode("overwrite").partitionBy("route").parquet(path)
+    conf, key = graded.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, "3")
+    try:
+        routed.write.mode("overwrite").partitionBy("route").parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def name_collisions(graded: DataFrame) -> DataFrame:

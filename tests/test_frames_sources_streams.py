@@ -373,3 +373,13 @@ def test_reports_are_compressed_and_ordered_narrow(spark):
     assert names and all(n.endswith(".csv.gz") for n in names)
     got = spark.read.csv(path, header=True).count()
     assert got == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
+def test_quarantine_is_not_sorted(spark):
+    key, path = "spark.sql.maxConcurrentOutputFileWriters", scratch_path(spark, "routed")
+    before = spark.conf.get(key)
+    rows = spark.range(3000).select("id", F.element_at(F.array(F.lit("PASS"), F.lit("FAIL"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("grade"))
+    plans, _ = _plans(spark, lambda: writers.write_quarantine(rows, path))
+    assert plans and not any("Sort" in p for p in plans) and spark.conf.get(key) == before
+    got = {r["id"]: r["route"] for r in spark.read.parquet(path).collect()}
+    assert got == {i: "quarantine" if i % 3 == 1 else "kept" for i in range(3000)}
