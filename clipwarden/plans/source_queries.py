@@ -286,7 +286,10 @@ def s15(spark, d):
     body = F.to_json(F.struct("url", "title", "description", "duration", "width", "height", "fps", "error"))
     # a dump of every twenty documents, one file each: their number grows with the table
     rows = infos.select(F.floor(c("n") / 20).alias("dump"), "n", F.concat(body, F.lit("\n  ")).alias("value"))
-    rows.repartition("dump").sortWithinPartitions("dump", "n").select("dump", "value").write.partitionBy("dump").text(path)
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("n", "value"))), lambda line: line["value"])
+    dumps = rows.groupBy("dump").agg(F.array_join(lines, "\n").alias("value")).select("value")
+    # a record is a whole dump; files of one folder, as a folder of its own for each would have to be made and listed
+    dumps.write.option("maxRecordsPerFile", 1).text(path)
     dumps = documents.read_source_dumps(spark, path)
     return dumps.select("url", "duration", "width", "height", "fps", "error")
 

@@ -54,8 +54,13 @@ def read_source_dumps(spark: SparkSession, path: str, title_limit: int | None =
 
     An unparsable document yields `error = json_parse_failed`. Titles are whole unless `title_limit` is given.
     """
-    lines = numbered_lines(spark, path).filter(text.strip(F.col("raw")) != "")
-    last = lines.groupBy("file").agg(F.max_by("raw", "line").alias("raw"))
+    # the order of lines is enough, their numbers are not needed: each split passes on one line of a file
+    lines = spark.read.text(path).select(
+        F.col("value").alias("raw"),
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"),
+    )
+    last = lines.filter(text.strip(F.col("raw")) != "").groupBy("file").agg(F.max_by("raw", "_at").alias("raw"))
     doc = F.from_json("raw", SOURCE_INFO_SCHEMA)
     bad = F.try_parse_json("raw").isNull()
     return last.withColumns({"_d": doc, "_bad": bad}).select(

@@ -383,3 +383,31 @@ def test_quarantine_is_not_sorted(spark):
     assert plans and not any("Sort" in p for p in plans) and spark.conf.get(key) == before
     got = {r["id"]: r["route"] for r in spark.read.parquet(path).collect()}
     assert got == {i: "quarantine" if i % 3 == 1 else "kept" for i in range(3000)}
+
+
+def test_source_dumps_in_splits_without_line_numbers(spark, tmp_path):
+    """Files larger than a split, blank ends, empty files; read once, with no join."""
+    for name, n in (("a", 400), ("b", 1), ("c", 0)):
+        lines = [f'{{"url": "{name}{i}", "title": "{"t" * 50}"}}' for i in range(n)]
+        (tmp_path / f"{name}.txt").write_text("\n".join([*lines, "  ", ""]) if n else " \n")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        dumps = documents.read_source_dumps(spark, str(tmp_path))
+        assert sorted(r["url"] for r in dumps.collect()) == ["a399", "b0"]
+        assert "Join" not in dumps._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_dumps_land_in_one_folder(spark, monkeypatch):
+    landed = scratch_path(spark, "dumps")
+    monkeypatch.setattr(source_queries, "scratch_path", lambda *_: landed)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    dumps = docs.select(F.floor(F.col("doc_id") / 20)).distinct().count()
+    assert source_queries.s15(spark, SF).count() == dumps
+    texts = spark.read.text(landed, wholetext=True)
+    assert texts.count() == dumps and texts.filter("value NOT LIKE '%}\n  \n'").count() == 0
+    assert texts.select(F.sum(F.size(F.split("value", "\n")) - 1)).first()[0] == 2 * docs.count()
+    assert "dump=" not in spark.read.text(landed).select("_metadata.file_path").first()[0]
