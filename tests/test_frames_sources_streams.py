@@ -411,3 +411,9 @@ def test_dumps_land_in_one_folder(spark, monkeypatch):
     assert texts.count() == dumps and texts.filter("value NOT LIKE '%}\n  \n'").count() == 0
     assert texts.select(F.sum(F.size(F.split("value", "\n")) - 1)).first()[0] == 2 * docs.count()
     assert "dump=" not in spark.read.text(landed).select("_metadata.file_path").first()[0]
+
+
+def test_names_by_stem_are_not_filtered_by_an_expression(spark):
+    for query in (join_queries.j02, join_queries.j03):
+        plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "isnotnull(regexp_replace" not in plan
